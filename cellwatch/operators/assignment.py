@@ -1,0 +1,69 @@
+"""Stratified assignment of cells to daily scenario types."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# Scenario types and their shares of the selected cells.
+NORMAL = "NORMAL"
+SELECTED_SHARE = 0.05
+SHARES = {"SENSOR_ONLY": 0.50, "SENSOR_AND_FIRE": 0.30, "FIRE_ONLY": 0.10}
+REST = "VOLUNTARY"
+
+
+def draw_key(cell: Column, date: Column, seed: int) -> Column:
+    """Reproducible random order: 32 hex digits per cell, date and seed."""
+    return F.md5(F.concat_ws("|", cell, date.cast("string"), F.lit(str(seed))))
+
+
+def _at_least_one(x: Column) -> Column:
+    return F.greatest(F.lit(1), x.cast("int"))
+
+
+def assign_scenarios(cells: DataFrame, seed: int = 42) -> DataFrame:
+    """A type for every (h3_cell, event_date) row: 5% of each date are selected.
+
+    Rows are ranked inside 4096 buckets of the hash and the bucket sizes are
+    summed per date, so no task ever sorts all cells of a date.
+    """
+    keyed = cells.select("h3_cell", "event_date").withColumn(
+        "_draw", draw_key(F.col("h3_cell"), F.col("event_date"), seed)
+    ).withColumn("_bucket", F.substring("_draw", 1, 3))
+    date_buckets = Window.partitionBy("event_date").orderBy("_bucket")
+    sizes = (
+        keyed.groupBy("event_date", "_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(
+            "event_date",
+            "_bucket",
+            F.coalesce(
+                F.sum("_n").over(date_buckets.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ).alias("_before"),
+            F.sum("_n").over(Window.partitionBy("event_date")).alias("total"),
+        )
+    )
+    in_bucket = Window.partitionBy("event_date", "_bucket").orderBy("_draw", "h3_cell")
+    ranked = (
+        keyed.withColumn("_rank", F.row_number().over(in_bucket))
+        .join(sizes, ["event_date", "_bucket"])
+        .withColumn("_rank", F.col("_rank") + F.col("_before"))
+        .withColumn("_selected", _at_least_one(F.ceil(F.col("total") * SELECTED_SHARE)))
+    )
+    kind = F.when(F.col("_rank") > F.col("_selected"), NORMAL)
+    upper: Column = F.lit(0)
+    for name, share in SHARES.items():
+        upper = upper + _at_least_one(F.floor(F.col("_selected") * share + 0.5))
+        kind = kind.when(F.col("_rank") <= upper, name)
+    return ranked.select("h3_cell", "event_date", kind.otherwise(REST).alias("scenario"))
+
+
+def count_by_type(plan: DataFrame) -> DataFrame:
+    return plan.groupBy("event_date", "scenario").agg(F.count(F.lit(1)).alias("n_cells"))
+
+
+def with_scenario(df: DataFrame, plan: DataFrame) -> DataFrame:
+    """The planned type of each row's cell and date, NORMAL where there is none."""
+    return df.join(plan, ["h3_cell", "event_date"], "left").withColumn(
+        "scenario", F.coalesce("scenario", F.lit(NORMAL))
+    )

@@ -19,6 +19,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellwatch.functions.calendar import slot_label
 from cellwatch.functions.scalars import same_text
@@ -36,11 +37,20 @@ from cellwatch.schemas import (
 SEED = "state"
 _BEFORE_ALL = -(2**63)
 
-_ROW_COLUMNS = ["h3_cell", "seq", "event_date", "event_time", "source", "snapshot", "prediction"]
 _SEED_FLAGS = ["seed_sensor", "seed_fire", "seed_alert"]
 
 # Columns of the state frame handed from one run to the next.
-STATE_COLUMNS = ["h3_cell", "event_date", "snapshot", "prediction", "sensor_on", "fire_on", "alerted"]
+STATE_SCHEMA = T.StructType(
+    [
+        T.StructField("h3_cell", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("snapshot", SNAPSHOT_SCHEMA),
+        T.StructField("prediction", PREDICTION_SCHEMA),
+        T.StructField("sensor_on", T.BooleanType()),
+        T.StructField("fire_on", T.BooleanType()),
+        T.StructField("alerted", T.BooleanType()),
+    ]
+)
 
 
 def _meteo_rows(scored: DataFrame) -> DataFrame:
@@ -255,7 +265,14 @@ def timeline(
     holds the state of the closed island. Rows of source ``state`` only carry
     earlier state and never emit anything.
     """
-    rows = _with_seed_flags(merge_inputs(scored, control))
+    return timeline_of_rows(merge_inputs(scored, control), state, policy)
+
+
+def timeline_of_rows(
+    rows: DataFrame, state: DataFrame | None = None, policy: SplitPolicy = SplitPolicy()
+) -> DataFrame:
+    """``timeline`` over rows that ``merge_inputs`` has already put together."""
+    rows = _with_seed_flags(rows)
     if state is not None:
         rows = rows.unionByName(_seed_rows(state))
     rows, cut = split_hot_keys(rows, "h3_cell", "seq", policy)
