@@ -36,11 +36,15 @@ def export_encoder(df: DataFrame, column: str) -> DataFrame:
 
 
 def fill_cell_ids(df: DataFrame) -> DataFrame:
-    """A blank commune takes the cell's value and a blank cell the commune's."""
+    """A blank commune takes the cell's value and a blank cell the commune's.
+
+    Where both are blank nothing changes.
+    """
+    commune, cell = not_blank(F.col("h3_commune")), not_blank(F.col("h3_cell"))
     return df.withColumns(
         {
-            "h3_commune": first_not_blank(F.col("h3_commune"), F.col("h3_cell")),
-            "h3_cell": first_not_blank(F.col("h3_cell"), F.col("h3_commune")),
+            "h3_commune": F.coalesce(commune, cell, F.col("h3_commune")),
+            "h3_cell": F.coalesce(cell, commune, F.col("h3_cell")),
         }
     )
 

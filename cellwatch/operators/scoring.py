@@ -84,9 +84,6 @@ class ColumnScorer:
         return df.withColumns({"p_ge_1": self.ge_1(), "p_ge_2": self.ge_2()})
 
 
-_loaded: dict[str, tuple] = {}
-
-
 @dataclass(frozen=True)
 class BatchScorer:
     """Two models called once per Arrow batch.
@@ -103,9 +100,9 @@ class BatchScorer:
 
         @F.pandas_udf("p_ge_1 double, p_ge_2 double")
         def positive(vectors: pd.Series) -> pd.DataFrame:
-            if key not in _loaded:
-                _loaded[key] = load()
-            ge_1, ge_2 = _loaded[key]
+            from cellwatch.operators import loaded_models
+
+            ge_1, ge_2 = loaded_models.get(key, load)
             matrix = np.stack(vectors.to_numpy()).astype(np.float32) if len(vectors) else np.empty((0, 0), np.float32)
             return pd.DataFrame(
                 {"p_ge_1": np.asarray(ge_1(matrix), float), "p_ge_2": np.asarray(ge_2(matrix), float)}

@@ -72,7 +72,7 @@ def weather(ev: DataFrame) -> DataFrame:
         (F.col("value") * 0.25).alias("wind_speed"),
         F.when(~F.col("k").between(30, 39), k / 8.0).alias("precipitation"),
         (k / 256.0).alias("soil_moisture"),
-        (F.col("value") / 32.0).alias("vpd"),
+        (F.col("value") / 2.0).alias("vpd"),
     )
 
 

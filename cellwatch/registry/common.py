@@ -73,7 +73,7 @@ WEATHER = """weather AS (
          CASE WHEN k NOT BETWEEN 20 AND 24 THEN CAST(k AS DOUBLE) END AS humidity,
          value * 0.25::DOUBLE AS wind_speed,
          CASE WHEN k NOT BETWEEN 30 AND 39 THEN CAST(k AS DOUBLE) / 8 END AS precipitation,
-         CAST(k AS DOUBLE) / 256 AS soil_moisture, value / 32 AS vpd
+         CAST(k AS DOUBLE) / 256 AS soil_moisture, value / 2 AS vpd
   FROM ev WHERE event_type IN ('view', 'click', 'signup'))"""
 
 UNIFIED = """uni AS (

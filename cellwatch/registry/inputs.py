@@ -30,8 +30,6 @@ from cellwatch.sources.dimensions import parse_cell_list, static_numeric
 
 # ---- JSON decoding: the events as JSON text, damaged where k says so ----
 
-_DAY_TEXT = F.date_format("event_date", "yyyy-MM-dd")
-
 
 def _json(**members):
     parts = [F.concat(F.lit(f'"{name}":'), value) for name, value in members.items()]
@@ -61,7 +59,7 @@ def _keys():
     return {
         "h3Cell": F.when(k != 16, _text(F.col("h3_cell"))),
         "eventTime": F.when(k != 15, _plain(F.col("event_time"))),
-        "eventDate": _text(F.when(k == 14, "2024-13-45").otherwise(_DAY_TEXT)),
+        "eventDate": _text(F.when(k == 14, "2024-13-45").otherwise(F.date_format("event_date", "yyyy-MM-dd"))),
         "unknownField": F.when(k == 17, F.lit("[1,2]")),
     }
 
