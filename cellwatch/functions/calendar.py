@@ -17,6 +17,8 @@ LOCAL_ZONE = "Africa/Algiers"
 # Local hours at which a daily weather row becomes an event.
 DAILY_HOURS = (8, 14, 20)
 
+CALENDAR_COLUMNS = ["month", "month_sin", "month_cos", "doy_sin", "doy_cos", "is_weekend"]
+
 DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 

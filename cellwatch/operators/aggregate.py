@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.calendar import calendar_columns, utc_date
+from cellwatch.functions.calendar import CALENDAR_COLUMNS, calendar_columns, utc_date
 from cellwatch.functions.scalars import same_text
 from cellwatch.schemas import SNAPSHOT_COLUMNS, STATIC_COLUMNS
 
@@ -128,20 +128,18 @@ def window_snapshots(windows: DataFrame, date_from: str = "end") -> DataFrame:
     if date_from not in ("end", "start"):
         raise ValueError(f"date_from must be end or start, not {date_from}")
     dated = windows.withColumn("_date", utc_date(F.col(f"window_{date_from}")))
-    named = {
-        "h3_commune": F.col("h3_cell"),
-        "event_time": F.col("window_end"),
-        "event_date": F.col("_date"),
-        "humidity_min": F.col("min_humidity"),
-        "temperature_moy": F.col("avg_temp"),
-        "wind_speed_max": F.col("max_wind_speed"),
-        "precipitation_1d_mm": F.col("total_precipitation_1d"),
-        "precipitation_7d_sum_mm": F.col("total_precipitation_7d"),
-        "soil_moisture": F.col("avg_soil_moisture"),
-        "vpd_kpa": F.col("avg_vpd"),
+    renamed = {
+        "h3_commune": "h3_cell",
+        "event_time": "window_end",
+        "event_date": "_date",
+        "humidity_min": "min_humidity",
+        "temperature_moy": "avg_temp",
+        "wind_speed_max": "max_wind_speed",
+        "precipitation_1d_mm": "total_precipitation_1d",
+        "precipitation_7d_sum_mm": "total_precipitation_7d",
+        "soil_moisture": "avg_soil_moisture",
+        "vpd_kpa": "avg_vpd",
     }
-    computed = {"month", "month_sin", "month_cos", "doy_sin", "doy_cos", "is_weekend"}
-    return dated.select(
-        *[named.get(c, F.col(c)).alias(c) for c in SNAPSHOT_COLUMNS if c not in computed],
-        *calendar_columns(F.col("_date")),
-    )
+    plain = [c for c in SNAPSHOT_COLUMNS if c not in CALENDAR_COLUMNS]
+    columns = [f"{renamed.get(c, c)} AS {c}" for c in plain]
+    return dated.selectExpr(*columns).select("*", *calendar_columns(F.col("event_date"))).select(*SNAPSHOT_COLUMNS)

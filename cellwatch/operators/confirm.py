@@ -31,7 +31,6 @@ from cellwatch.schemas import (
     SNAPSHOT_COLUMNS,
     SNAPSHOT_SCHEMA,
     TRAINING_COLUMNS,
-    TRAINING_FEATURES,
 )
 
 SEED = "state"
@@ -61,9 +60,7 @@ def _meteo_rows(scored: DataFrame) -> DataFrame:
         "event_time",
         F.lit("meteo").alias("source"),
         F.struct(*SNAPSHOT_COLUMNS).cast(SNAPSHOT_SCHEMA).alias("snapshot"),
-        F.struct(*[F.col(f"p.{c}").alias(c) for c in PREDICTION_COLUMNS])
-        .cast(PREDICTION_SCHEMA)
-        .alias("prediction"),
+        F.struct(*[f"p.{c}" for c in PREDICTION_COLUMNS]).cast(PREDICTION_SCHEMA).alias("prediction"),
     )
 
 
@@ -269,13 +266,23 @@ def timeline(
 
 
 def timeline_of_rows(
-    rows: DataFrame, state: DataFrame | None = None, policy: SplitPolicy = SplitPolicy()
+    rows: DataFrame,
+    state: DataFrame | None = None,
+    policy: SplitPolicy = SplitPolicy(),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """``timeline`` over rows that ``merge_inputs`` has already put together."""
+    """``timeline`` over rows that ``merge_inputs`` has already put together.
+
+    ``sizes`` is any frame of (h3_cell, seq) that covers the rows and is cheap
+    to read, such as the events before scoring. Hot cells are found from it,
+    so that finding them does not run the scorer.
+    """
+    if sizes is None:
+        sizes = rows
     rows = _with_seed_flags(rows)
     if state is not None:
         rows = rows.unionByName(_seed_rows(state))
-    rows, cut = split_hot_keys(rows, "h3_cell", "seq", policy)
+    rows, cut = split_hot_keys(rows, "h3_cell", "seq", policy, sizes)
     if not cut:
         return _walk(rows, ["h3_cell"])
     seeded = rows.unionByName(_part_seeds(rows.filter(HOT)))
@@ -335,7 +342,7 @@ def alert_predictions(alerts: DataFrame) -> DataFrame:
         "suspected_voluntary": suspected_voluntary(F.col("fire_on"), F.col("last.risk_level")),
     }
     return alerts.select(
-        *[replaced.get(c, F.col(f"last.{c}")).alias(c) for c in PREDICTION_COLUMNS], "seq"
+        *[replaced[c].alias(c) if c in replaced else f"last.{c}" for c in PREDICTION_COLUMNS], "seq"
     )
 
 
@@ -360,7 +367,7 @@ def neighbor_predictions(
     )
     own = {"h3_cell": F.col("neighbor"), "h3_commune": F.col("neighbor")}
     snapshots = spread.select(
-        *[own.get(c, F.col(f"snapshot.{c}")).alias(c) for c in SNAPSHOT_COLUMNS],
+        *[own[c].alias(c) if c in own else f"snapshot.{c}" for c in SNAPSHOT_COLUMNS],
         "origin",
         "seq",
         "confirmed_at",
@@ -379,7 +386,7 @@ def neighbor_predictions(
         "suspected_voluntary": F.lit(0),
     }
     return score(snapshots).select(
-        *[replaced.get(c, F.col(f"p.{c}")).alias(c) for c in PREDICTION_COLUMNS], "seq"
+        *[replaced[c].alias(c) if c in replaced else f"p.{c}" for c in PREDICTION_COLUMNS], "seq"
     )
 
 
@@ -437,9 +444,7 @@ def training_log(walked: DataFrame) -> DataFrame:
     def labelled(snapshot: str, date: Column, time: Column, origin: Column, label: int, risk: Column, fire: Column,
                  sensor: Column) -> Column:
         values = {
-            "h3_cell": F.col(f"{snapshot}.h3_cell"),
             "event_date": date,
-            **{c: F.col(f"{snapshot}.{c}") for c in TRAINING_FEATURES},
             "input_event_time": time,
             "input_slot": slot_label(time),
             "label": F.lit(label),
@@ -449,7 +454,9 @@ def training_log(walked: DataFrame) -> DataFrame:
             "sensor_confirmed": sensor,
         }
         return F.struct(
-            *[values[c].alias(c) for c in TRAINING_COLUMNS], F.col("seq").alias("seq"), F.lit(label).alias("sub")
+            *[values[c].alias(c) if c in values else f"{snapshot}.{c}" for c in TRAINING_COLUMNS],
+            "seq",
+            F.lit(label).alias("sub"),
         )
 
     positive = labelled(
@@ -501,7 +508,7 @@ def flush_open_days(walked: DataFrame) -> DataFrame:
         "h3_cell": F.col("h3_cell"),
         "event_date": F.col("event_date"),
     }
-    return open_days.select(*[values.get(c, F.col(f"snapshot.{c}")).alias(c) for c in TRAINING_COLUMNS])
+    return open_days.select(*[values[c].alias(c) if c in values else f"snapshot.{c}" for c in TRAINING_COLUMNS])
 
 
 def latest_per_key(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

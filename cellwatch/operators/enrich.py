@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.calendar import calendar_columns
-from cellwatch.functions.scalars import true_only
+from cellwatch.functions.calendar import CALENDAR_COLUMNS, calendar_columns
 from cellwatch.operators.cells import resolve_cell
-from cellwatch.schemas import METADATA_COLUMNS, SNAPSHOT_COLUMNS, STATIC_COLUMNS, UNIFIED_SCHEMA
+from cellwatch.schemas import (
+    METADATA_COLUMNS,
+    SENSOR_MEASURES,
+    SNAPSHOT_COLUMNS,
+    STATIC_COLUMNS,
+    UNIFIED_SCHEMA,
+    WEATHER_MEASURES,
+)
 from cellwatch.sources.decode import require_keys
 
 # The joins below carry no hint. Spark broadcasts a dimension while its size
@@ -28,19 +34,19 @@ def weather_snapshots(events: DataFrame, static: DataFrame, index: DataFrame | N
     """
     located = require_keys(locate(events, index))
     joined = located.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell")
-    named = {
-        "h3_commune": F.col("h3_cell"),
-        "humidity_min": F.col("humidity"),
-        "temperature_moy": F.col("temperature"),
-        "wind_speed_max": F.col("wind_speed"),
-        "precipitation_1d_mm": F.col("precipitation"),
-        "precipitation_7d_sum_mm": F.col("precipitation"),
-        "vpd_kpa": F.col("vpd"),
+    renamed = {
+        "h3_commune": "h3_cell",
+        "humidity_min": "humidity",
+        "temperature_moy": "temperature",
+        "wind_speed_max": "wind_speed",
+        "precipitation_1d_mm": "precipitation",
+        "precipitation_7d_sum_mm": "precipitation",
+        "vpd_kpa": "vpd",
     }
-    calendar = calendar_columns(F.col("event_date"))
-    computed = {"month", "month_sin", "month_cos", "doy_sin", "doy_cos", "is_weekend"}
-    return joined.select(
-        *[named.get(c, F.col(c)).alias(c) for c in SNAPSHOT_COLUMNS if c not in computed], *calendar, *extra
+    plain = [c for c in SNAPSHOT_COLUMNS if c not in CALENDAR_COLUMNS]
+    columns = [f"{renamed.get(c, c)} AS {c}" for c in plain]
+    return joined.selectExpr(*columns, *extra).select("*", *calendar_columns(F.col("event_date"))).select(
+        *SNAPSHOT_COLUMNS, *extra
     )
 
 
@@ -50,39 +56,35 @@ def static_misses(events: DataFrame, static: DataFrame) -> DataFrame:
     return missed.groupBy("h3_cell").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def _unified(events: DataFrame, static: DataFrame, source: str, given: dict[str, Column], extra: tuple) -> DataFrame:
+def _unified(events: DataFrame, static: DataFrame, source: str, given: dict[str, str], extra: tuple) -> DataFrame:
+    """All unified columns; those the source does not have are typed nulls."""
     joined = events.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell", "left")
-    values = {"source_type": F.lit(source), **given}
-    own = {"h3_cell", "event_time", "event_date", "lat", "lon", *STATIC_COLUMNS}
+    own = {c: c for c in ("h3_cell", "event_time", "event_date", "lat", "lon", *STATIC_COLUMNS)}
+    values = {**own, "source_type": f"'{source}'", **given}
     columns = [
-        (values[f.name] if f.name in values else F.col(f.name) if f.name in own else F.lit(None))
-        .cast(f.dataType)
-        .alias(f.name)
-        for f in UNIFIED_SCHEMA.fields
+        f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in UNIFIED_SCHEMA.fields
     ]
-    return require_keys(joined.select(*columns, *extra))
+    return require_keys(joined.selectExpr(*columns, *extra))
 
 
 def unify_sensor(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
     """Sensor events as unified events; alert level and fire flag are dropped."""
-    given = {c: F.col(c) for c in ("co2", "smoke", "sensor_temperature", "battery")}
-    return _unified(locate(events, index), static, "sensor", given, extra)
+    return _unified(locate(events, index), static, "sensor", {c: c for c in SENSOR_MEASURES}, extra)
 
 
 def unify_fire(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
     """Fire reports as unified events; an absent declaration counts as none."""
     given = {
-        "fire_declared": F.when(true_only(F.col("declared")), 1).otherwise(0),
-        "intensity": F.col("intensity"),
-        "burned_area": F.col("burned_area"),
+        "fire_declared": "CASE WHEN declared THEN 1 ELSE 0 END",
+        "intensity": "intensity",
+        "burned_area": "burned_area",
     }
     return _unified(locate(events, index), static, "fire", given, extra)
 
 
 def unify_weather(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
     """Weather events as unified events, the third source of the cell window."""
-    given = {c: F.col(c) for c in ("temperature", "humidity", "wind_speed", "precipitation", "soil_moisture", "vpd")}
-    return _unified(locate(events, index), static, "meteo", given, extra)
+    return _unified(locate(events, index), static, "meteo", {c: c for c in WEATHER_MEASURES}, extra)
 
 
 def control_events(sensor: DataFrame, fire: DataFrame) -> DataFrame:

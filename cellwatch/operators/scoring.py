@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.functions.calendar import slot_label
-from cellwatch.functions.scalars import float_or_zero, round_half_up, same_text
+from cellwatch.functions.scalars import round_half_up
 from cellwatch.operators.encode import encode_strict, fill_cell_ids, known
 from cellwatch.schemas import PREDICTION_SCHEMA
 
@@ -53,10 +53,11 @@ class Thresholds:
     high: float = 0.70
 
 
-def feature_column(name: str) -> Column:
+def feature_text(name: str) -> str:
+    """SQL text of one feature: float32, null as 0."""
     if name not in MODEL_FEATURES:
         raise ValueError(f"unsupported feature: {name}")
-    return float_or_zero(F.col(MODEL_FEATURES[name]))
+    return f"coalesce(CAST({MODEL_FEATURES[name]} AS FLOAT), CAST(0 AS FLOAT))"
 
 
 def feature_vector(df: DataFrame, features: list[str] | None = None) -> DataFrame:
@@ -64,7 +65,7 @@ def feature_vector(df: DataFrame, features: list[str] | None = None) -> DataFram
     names = list(MODEL_FEATURES) if features is None else features
     if not names:
         raise ValueError("the feature list is empty")
-    return df.withColumn("features", F.array(*[feature_column(n) for n in names]))
+    return df.withColumn("features", F.expr(f"array({', '.join(feature_text(n) for n in names)})"))
 
 
 class Scorer(Protocol):
@@ -166,43 +167,26 @@ def ordinal_classes(df: DataFrame, thresholds: Thresholds = Thresholds()) -> Dat
     P(y>=2) is held below P(y>=1), the three class probabilities are scaled to
     one, and the class comes from the two thresholds, not from the largest.
     """
-    zero = F.lit(0.0)
     clamped = df.withColumn("p_ge_2", F.least("p_ge_2", "p_ge_1"))
-    shares = clamped.withColumns(
+    shares = clamped.selectExpr(
+        "*",
+        "greatest(0.0D, 1.0D - p_ge_1) AS _0",
+        "greatest(0.0D, p_ge_1 - p_ge_2) AS _1",
+        "greatest(0.0D, p_ge_2) AS _2",
+        f"CASE WHEN p_ge_2 >= {thresholds.high}D THEN 2 WHEN p_ge_1 >= {thresholds.medium}D THEN 1 "
+        "WHEN p_ge_1 IS NOT NULL THEN 0 END AS prediction",
+    ).selectExpr("*", "CASE WHEN _0 + _1 + _2 > 0 THEN _0 + _1 + _2 ELSE 1.0D END AS _sum")
+    scaled = shares.selectExpr(*df.columns, "prediction", *[f"_{i} / _sum AS class_{i}" for i in range(3)])
+    return scaled.withColumns(
         {
-            "_0": F.greatest(zero, F.lit(1.0) - F.col("p_ge_1")),
-            "_1": F.greatest(zero, F.col("p_ge_1") - F.col("p_ge_2")),
-            "_2": F.greatest(zero, F.col("p_ge_2")),
-        }
-    ).withColumn("_sum", F.col("_0") + F.col("_1") + F.col("_2"))
-    scaled = shares.withColumns(
-        {
-            f"class_{i}": F.when(F.col("_sum") > 0, F.try_divide(F.col(f"_{i}"), F.col("_sum"))).otherwise(
-                F.col(f"_{i}")
-            )
-            for i in range(3)
+            "probability": round_half_up(chosen("prediction", "class_0", "class_1", "class_2"), 4),
+            "risk_level": risk_name(F.col("prediction")),
         }
     )
-    return (
-        scaled.withColumn(
-            "prediction",
-            F.when(F.col("p_ge_2") >= thresholds.high, 2)
-            .when(F.col("p_ge_1") >= thresholds.medium, 1)
-            .when(F.col("p_ge_1").isNotNull(), 0),
-        )
-        .withColumns(
-            {
-                "probability": round_half_up(chosen("prediction", "class_0", "class_1", "class_2"), 4),
-                "risk_level": risk_name(F.col("prediction")),
-            }
-        )
-        .drop("_0", "_1", "_2", "_sum")
-    )
 
 
 def chosen(prediction: str, p0: str, p1: str, p2: str) -> Column:
-    c = F.col(prediction)
-    return F.when(c == 2, F.col(p2)).when(c == 1, F.col(p1)).otherwise(F.col(p0))
+    return F.expr(f"CASE {prediction} WHEN 2 THEN {p2} WHEN 1 THEN {p1} ELSE {p0} END")
 
 
 def risk_name(prediction: Column) -> Column:
@@ -222,24 +206,19 @@ def score_record(df: DataFrame, thresholds: Thresholds = Thresholds()) -> Column
     )
 
 
-def _prediction_struct(trigger: str, marks: dict[str, Column]) -> Column:
-    low_fire = same_text(F.lit(trigger), "fire") & (F.col("prediction") == 0)
+def _prediction_text(trigger: str, marks: dict[str, str]) -> str:
+    """SQL text of the prediction struct of a scored row."""
+    scored = ("h3_cell", "event_time", "event_date", "prediction", "probability", "risk_level")
     values = {
-        "h3_cell": F.col("h3_cell"),
-        "event_time": F.col("event_time"),
-        "event_date": F.col("event_date"),
-        "prediction": F.col("prediction"),
-        "probability": F.col("probability"),
-        "risk_level": F.col("risk_level"),
-        "suspected_voluntary": F.when(low_fire, 1).otherwise(0),
+        **{c: c for c in scored},
+        "suspected_voluntary": "CASE WHEN prediction = 0 THEN 1 ELSE 0 END" if trigger.lower() == "fire" else "0",
         **marks,
     }
-    return F.struct(
-        *[
-            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in PREDICTION_SCHEMA.fields
-        ]
-    )
+    members = [
+        f"'{f.name}', CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in PREDICTION_SCHEMA.fields
+    ]
+    return f"named_struct({', '.join(members)})"
 
 
 @dataclass(frozen=True)
@@ -259,23 +238,23 @@ class RiskModel:
         """Snapshots plus their prediction in a struct ``p``; unscored rows drop out."""
         keep = snapshots.columns
         scored = self._classes(snapshots).filter("prediction is not null")
-        return scored.select(*keep, _prediction_struct(trigger, {}).alias("p"))
+        return scored.select(*keep, F.expr(_prediction_text(trigger, {})).alias("p"))
 
     def predict_regular(self, snapshots: DataFrame) -> DataFrame:
         """Scores of weather snapshots, marked as regular predictions."""
         keep = snapshots.columns
         scored = self._classes(snapshots).filter("prediction is not null")
-        no = F.lit(False)
         marks = {
-            "trigger_type": F.lit("regular_meteo"),
-            "trigger_source": F.lit("meteo"),
-            "is_neighbor_prediction": no,
-            "confirmed_alert": no,
-            "fire_observed": no,
-            "sensor_confirmed": no,
-            "prediction_slot": slot_label(F.col("event_time")),
+            "trigger_type": "'regular_meteo'",
+            "trigger_source": "'meteo'",
+            "is_neighbor_prediction": "false",
+            "confirmed_alert": "false",
+            "fire_observed": "false",
+            "sensor_confirmed": "false",
+            "prediction_slot": "_slot",
         }
-        return scored.select(*keep, _prediction_struct("meteo", marks).alias("p"))
+        marked = scored.withColumn("_slot", slot_label(F.col("event_time")))
+        return marked.select(*keep, F.expr(_prediction_text("meteo", marks)).alias("p"))
 
     def predict_neighbor(self, snapshots: DataFrame) -> DataFrame:
         return self.predict(snapshots, "neighbor")

@@ -89,14 +89,19 @@ def part_of(cuts: Column, order: Column, max_parts: int) -> Column:
 
 
 def split_hot_keys(
-    df: DataFrame, key: str, order: str, policy: SplitPolicy = SplitPolicy()
+    df: DataFrame,
+    key: str,
+    order: str,
+    policy: SplitPolicy = SplitPolicy(),
+    sizes: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """Add ``_part`` and ``_hot``; the flag says whether any key was cut.
 
     Parts of a key are contiguous in ``order``, and equal values share a part.
-    Runs one narrow count job, and a second one only over the hot keys.
+    Runs one narrow count job over ``sizes`` (by default ``df`` itself), and a
+    second one only over the hot keys.
     """
-    cuts = _cut_points(df, key, order, policy)
+    cuts = _cut_points(df if sizes is None else sizes, key, order, policy)
     if not cuts:
         return df.withColumns({PART: F.lit(0), HOT: F.lit(False)}), False
     schema = T.StructType([df.schema[key], T.StructField("_cuts", T.ArrayType(T.LongType()))])

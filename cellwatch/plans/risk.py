@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.operators import confirm
-from cellwatch.operators.enrich import control_events, unify_fire, unify_sensor, weather_snapshots
+from cellwatch.operators.enrich import control_events, locate, unify_fire, unify_sensor, weather_snapshots
 from cellwatch.operators.scoring import RiskModel
 from cellwatch.operators.skew import SplitPolicy
 from cellwatch.schemas import PREDICTION_COLUMNS, SNAPSHOT_COLUMNS
@@ -47,7 +48,13 @@ class RiskJob:
         return confirm.merge_inputs(self.scored(weather), self.control(sensor, fire))
 
     def timeline(self, weather: DataFrame, sensor: DataFrame, fire: DataFrame, state: DataFrame | None = None):
-        return confirm.timeline_of_rows(self.rows(weather, sensor, fire), state, self.policy)
+        rows = self.rows(weather, sensor, fire)
+        return confirm.timeline_of_rows(rows, state, self.policy, self.sizes(weather, sensor, fire))
+
+    def sizes(self, *events: DataFrame) -> DataFrame:
+        """Cell and order of all events, before any lookup or score."""
+        parts = [locate(e, self.index).select("h3_cell", F.col("seq").cast("bigint").alias("seq")) for e in events]
+        return reduce(DataFrame.unionByName, parts).dropna()
 
     def alerts(self, walked: DataFrame) -> DataFrame:
         return confirm.alert_predictions(confirm.alert_rows(walked))
@@ -82,10 +89,11 @@ def write_batch(job: RiskJob, rows: DataFrame, tables: Tables, batch_id: int) ->
     """Confirm one batch of keyed rows, starting from the state of the batch before.
 
     Every write replaces what an earlier try of the same batch left behind, so
-    the batch can be run again after a failure. The walked rows are kept for
-    the few writes that share them; lost blocks are recomputed from the input.
+    the batch can be run again after a failure. The scored and the walked rows
+    are kept for the steps that share them; lost blocks are recomputed.
     """
     spark = rows.sparkSession
+    rows = rows.persist()
     state = read_if_present(spark, tables.state(batch_id - 1), confirm.STATE_SCHEMA) if batch_id else None
     walked = confirm.timeline_of_rows(rows, state, job.policy).persist()
     try:
@@ -108,6 +116,7 @@ def write_batch(job: RiskJob, rows: DataFrame, tables: Tables, batch_id: int) ->
         confirm.final_state(walked).write.mode("overwrite").parquet(tables.state(batch_id))
     finally:
         walked.unpersist()
+        rows.unpersist()
 
 
 def snapshot_scores(snapshots: DataFrame, model: RiskModel) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,11 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stages that enrich and score rows compile to long methods, which the JVM
+    # would otherwise leave uncompiled.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

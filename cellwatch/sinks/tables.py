@@ -18,7 +18,9 @@ DATE = "event_date"
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    """Rows are gathered by date first, so a date becomes few files; AQE splits a large one."""
+    by_date = df.hint("rebalance", DATE)
+    by_date.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -52,7 +54,7 @@ def upsert_batch(df: DataFrame, path: str, staging: str, batch_id: int, keys: tu
         merged = merged.unionByName(old)
     rows = latest_per_key(merged, list(keys), ["_new"]).drop("_new")
     staged = os.path.join(staging, f"batch={batch_id}")
-    rows.write.mode("overwrite").partitionBy(DATE).parquet(staged)
+    rows.write.mode("overwrite").parquet(staged)
     _overwrite_partitions(spark.read.schema(df.schema).parquet(staged), path, DATE)
 
 

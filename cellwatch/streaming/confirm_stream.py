@@ -11,16 +11,16 @@ the offsets of a topic keyed by cell do. Inside a micro-batch order is free.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cellwatch.plans.risk import RiskJob, Tables, write_batch
 from cellwatch.schemas import PREDICTION_SCHEMA, SNAPSHOT_SCHEMA
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 _STATE = "event_date date, held string, sensor_on boolean, fire_on boolean, alerted boolean"
 _OUT = (
     "h3_cell string, seq bigint, event_date date, event_time bigint, source string, held string, "
@@ -30,42 +30,34 @@ _OUT = (
 _HELD = f"snapshot {SNAPSHOT_SCHEMA.simpleString()}, prediction {PREDICTION_SCHEMA.simpleString()}"
 
 
-class _DayFollower(StatefulProcessor):
-    """Memory of one cell; the scored snapshot travels as JSON text."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.memory = handle.getValueState("day", _STATE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        date, held, sensor, fire, alerted = self.memory.get() if self.memory.exists() else (None, None, False, False, False)
-        out = []
-        for r in batch.itertuples(index=False):
-            closed = (None, None, None, None)
-            negative = False
-            if date is not None and r.event_date != date:
-                negative = held is not None and not alerted
-                closed = (date, held, sensor, fire)
-                held, sensor, fire, alerted = None, False, False, False
-            date = r.event_date
-            alert = False
-            if r.source == "meteo":
-                held = r.held
-            else:
-                sensor = sensor or r.source == "sensor"
-                fire = fire or r.source == "fire"
-                confirms = r.source == "sensor" or (r.source == "fire" and sensor)
-                alert = confirms and held is not None and not alerted
-                alerted = alerted or alert
-            if alert or negative or r.source == "fire":
-                out.append(
-                    (key[0], r.seq, r.event_date, r.event_time, r.source, held, sensor, fire, alert, negative, *closed)
-                )
-        self.memory.update((date, held, sensor, fire, alerted))
-        yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in _OUT.split(", ")])
-
-    def close(self) -> None:
-        pass
+def _follow_day(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Follow one cell through a micro-batch; the scored snapshot travels as JSON text."""
+    rows = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
+    date, held, sensor, fire, alerted = state.get if state.exists else (None, None, False, False, False)
+    out = []
+    for r in rows.itertuples(index=False):
+        closed = (None, None, None, None)
+        negative = False
+        if date is not None and r.event_date != date:
+            negative = held is not None and not alerted
+            closed = (date, held, sensor, fire)
+            held, sensor, fire, alerted = None, False, False, False
+        date = r.event_date
+        alert = False
+        if r.source == "meteo":
+            held = r.held
+        else:
+            sensor = sensor or r.source == "sensor"
+            fire = fire or r.source == "fire"
+            confirms = r.source == "sensor" or (r.source == "fire" and sensor)
+            alert = confirms and held is not None and not alerted
+            alerted = alerted or alert
+        if alert or negative or r.source == "fire":
+            out.append(
+                (key[0], r.seq, r.event_date, r.event_time, r.source, held, sensor, fire, alert, negative, *closed)
+            )
+    state.update((date, held, sensor, fire, alerted))
+    yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in _OUT.split(", ")])
 
 
 def keyed_timeline(rows: DataFrame) -> DataFrame:
@@ -86,8 +78,8 @@ def keyed_timeline(rows: DataFrame) -> DataFrame:
             F.col("snapshot").isNotNull(), F.to_json(F.struct("snapshot", "prediction"), {"ignoreNullFields": "false"})
         ).alias("held"),
     )
-    followed = packed.groupBy("h3_cell").transformWithStateInPandas(
-        statefulProcessor=_DayFollower(), outputStructType=_OUT, outputMode="Append", timeMode="None"
+    followed = packed.groupBy("h3_cell").applyInPandasWithState(
+        _follow_day, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     return followed.select(
         "h3_cell",
