@@ -2,8 +2,7 @@
 
 Day-level products aggregate to one row per cell and day first, so their
 windows run over days, not events. The ten-minute maxima need the events
-themselves; they are cut into time blocks with an overlap, and a block, not a
-cell, is the unit of work.
+themselves and are cut into short time segments.
 """
 
 from __future__ import annotations
@@ -63,47 +62,61 @@ def precipitation_7d(unified: DataFrame) -> DataFrame:
     )
 
 
-def recent_maxima(unified: DataFrame, span_ms: int = 600_000, block_ms: int = 6 * 3_600_000) -> DataFrame:
-    """Sensor maxima and event times over the ten minutes up to each event.
+def recent_maxima(unified: DataFrame, span_ms: int = 600_000) -> DataFrame:
+    """Sensor maxima and event times over the ten minutes up to each event, ends included.
 
-    Rows near the end of a block are also handed to the next one, so every row
-    finds its full span inside its own block. ``block_ms`` bounds the rows a
-    cell can bring into one task.
+    Time is cut into segments as long as the span, so the span of an event is
+    the start of its own segment up to the event, plus the end of the segment
+    before. The first part is a running maximum forwards; the second is a
+    running maximum backwards, read off at a probe row placed one span earlier.
+    Both take one pass however dense the events are, and a (cell, segment) is
+    the unit of work.
     """
-    if block_ms < span_ms:
-        raise ValueError("a block must be at least as long as the span")
     fire, sensor = (same_text(F.col("source_type"), s) for s in ("fire", "sensor"))
-    block = F.floor(F.col("event_time") / F.lit(block_ms)).cast("bigint")
-    reaches = F.floor((F.col("event_time") + span_ms) / F.lit(block_ms)).cast("bigint")
-    rows = (
-        unified.select(
-            "h3_cell",
-            "seq",
-            "event_time",
-            F.when(sensor, F.col("smoke")).alias("smoke"),
-            F.when(sensor, F.col("co2")).alias("co2"),
-            F.when(sensor, F.col("sensor_temperature")).alias("sensor_temperature"),
-            F.when(sensor, F.col("event_time")).alias("sensor_time"),
-            F.when(fire, F.col("event_time")).alias("fire_time"),
-            block.alias("_home"),
-            F.explode(F.array_distinct(F.array(block, reaches))).alias("_block"),
-        )
+    rows = unified.select(
+        "h3_cell",
+        "seq",
+        "event_time",
+        F.when(sensor, F.col("smoke")).alias("smoke"),
+        F.when(sensor, F.col("co2")).alias("co2"),
+        F.when(sensor, F.col("sensor_temperature")).alias("sensor_temperature"),
+        F.when(sensor, F.col("event_time")).alias("sensor_time"),
+        F.when(fire, F.col("event_time")).alias("fire_time"),
+    )
+    values = ["smoke", "co2", "sensor_temperature", "sensor_time", "fire_time"]
+    placed = rows.select("*", F.posexplode(F.array("event_time", F.col("event_time") - span_ms)).alias("_probe", "_at"))
+    placed = placed.select(
+        "h3_cell",
+        "seq",
+        "event_time",
+        "_probe",
+        "_at",
+        F.floor(F.col("_at") / F.lit(span_ms)).cast("bigint").alias("_segment"),
+        *[F.when(F.col("_probe") == 0, F.col(v)).alias(v) for v in values],
     )
-    recent = Window.partitionBy("h3_cell", "_block").orderBy("event_time").rangeBetween(-span_ms, 0)
-    measured = rows.select(
+    segment = Window.partitionBy("h3_cell", "_segment")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    forwards = segment.orderBy("_at").rangeBetween(*so_far)
+    backwards = segment.orderBy(F.desc("_at")).rangeBetween(*so_far)
+
+    def covered(aggregate, value: str):
+        return F.when(F.col("_probe") == 0, aggregate(value).over(forwards)).otherwise(aggregate(value).over(backwards))
+
+    halves = placed.select(
         "h3_cell",
         "seq",
         "event_time",
-        F.max("smoke").over(recent).alias("max_smoke_10m"),
-        F.max("co2").over(recent).alias("max_co2_10m"),
-        F.max("sensor_temperature").over(recent).alias("max_sensor_temp_10m"),
-        F.count("sensor_time").over(recent).alias("sensor_alerts_10m"),
-        F.max("sensor_time").over(recent).alias("last_sensor_time"),
-        F.max("fire_time").over(recent).alias("last_fire_time"),
-        "_home",
-        "_block",
+        *[covered(F.max, v).alias(v) for v in values],
+        covered(F.count, "sensor_time").alias("sensor_alerts"),
+    )
+    return halves.groupBy("h3_cell", "seq", "event_time").agg(
+        F.max("smoke").alias("max_smoke_10m"),
+        F.max("co2").alias("max_co2_10m"),
+        F.max("sensor_temperature").alias("max_sensor_temp_10m"),
+        F.sum("sensor_alerts").alias("sensor_alerts_10m"),
+        F.max("sensor_time").alias("last_sensor_time"),
+        F.max("fire_time").alias("last_fire_time"),
     )
-    return measured.filter("_home = _block").drop("_home", "_block")
 
 
 def latest_weather(unified: DataFrame) -> DataFrame:

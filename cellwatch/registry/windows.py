@@ -298,7 +298,7 @@ GROUP BY a.seq, a.h3_cell, a.event_time""",
 def recent_maxima(spark, sf_dir):
     """Ten hours instead of ten minutes, since a cell here has three events a day."""
     hours = 3_600_000
-    recent = history.recent_maxima(unified(spark, sf_dir), span_ms=10 * hours, block_ms=24 * hours)
+    recent = history.recent_maxima(unified(spark, sf_dir), span_ms=10 * hours)
     return recent.select(
         "seq",
         "h3_cell",

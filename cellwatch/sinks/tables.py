@@ -41,7 +41,7 @@ def upsert_batch(df: DataFrame, path: str, staging: str, batch_id: int, keys: tu
     """Replace stored rows by new ones with the same key.
 
     ``df`` has one row per key. Only the date partitions it touches are read
-    and rewritten. The merged partitions are staged first, because a table
+    and rewritten; the driver sees just their dates. The merged partitions are staged first, because a table
     cannot be overwritten while it is being read; if the job dies in between,
     running the batch again gives the same table.
     """
@@ -49,8 +49,8 @@ def upsert_batch(df: DataFrame, path: str, staging: str, batch_id: int, keys: tu
     merged = df.select("*", F.lit(1).alias("_new"))
     stored = read_if_present(spark, path, df.schema)
     if stored is not None:
-        touched = df.select(DATE).distinct()
-        old = stored.join(touched, DATE, "left_semi").select(*df.columns, F.lit(0).alias("_new"))
+        touched = [r[0] for r in df.select(DATE).distinct().collect()]
+        old = stored.filter(F.col(DATE).isin(touched)).select(*df.columns, F.lit(0).alias("_new"))
         merged = merged.unionByName(old)
     rows = latest_per_key(merged, list(keys), ["_new"]).drop("_new")
     staged = os.path.join(staging, f"batch={batch_id}")
