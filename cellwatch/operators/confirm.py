@@ -124,7 +124,12 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
     has_row = F.col("snapshot").isNotNull()
 
     step = rows.withColumns(
-        {"prev_date": F.lag("event_date").over(in_order), "prev_seq": F.lag("seq").over(in_order)}
+        {
+            "prev_date": F.lag("event_date").over(in_order),
+            "prev_seq": F.lag("seq").over(in_order),
+            "next_date": F.lead("event_date").over(in_order),
+            "next_seq": F.lead("seq").over(in_order),
+        }
     ).withColumn(
         "opens",
         F.when(
@@ -140,7 +145,7 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
             "fire_at": latest(is_fire | F.col("seed_fire")),
             "held": F.last(F.when(has_row, F.struct("snapshot", "prediction")), ignorenulls=True).over(so_far),
         }
-    )
+    ).drop("snapshot", "prediction")
     step = step.withColumns(
         {
             "has_snapshot": _at_or_after(F.col("snap_at"), F.col("island_at")),
@@ -153,22 +158,22 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
             "candidate": F.col("has_snapshot") & (is_sensor | (is_fire & F.col("sensor_on"))),
         }
     )
-    step = step.withColumn("alert_at", latest(F.col("candidate") | F.col("seed_alert")))
-    step = step.withColumn("alerted", _at_or_after(F.col("alert_at"), F.col("island_at")))
-    step = step.withColumn(
-        "closing",
-        F.lag(F.struct("event_date", "has_snapshot", "held", "sensor_on", "fire_on", "alerted", "alert_at")).over(
-            in_order
-        ),
-    )
-    return step.withColumns(
+    alerting = F.max(F.when(F.col("candidate") | F.col("seed_alert"), F.col("seq")))
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    step = step.withColumns({"alert_at": alerting.over(so_far), "_earlier_alert_at": alerting.over(before)})
+    step = step.withColumns(
         {
-            "alert": F.col("candidate") & ~_at_or_after(F.col("closing.alert_at"), F.col("island_at")),
-            "negative": F.col("opens")
-            & F.coalesce(F.col("closing.has_snapshot") & ~F.col("closing.alerted"), F.lit(False)),
-            "is_last": F.lead("seq").over(in_order).isNull(),
+            "alerted": _at_or_after(F.col("alert_at"), F.col("island_at")),
+            "alert": F.col("candidate") & ~_at_or_after(F.col("_earlier_alert_at"), F.col("island_at")),
+            "is_last": F.col("next_seq").isNull(),
         }
     )
+    return step.withColumn(
+        "negative",
+        F.coalesce(F.col("next_date") != F.col("event_date"), F.lit(False))
+        & F.col("has_snapshot")
+        & ~F.col("alerted"),
+    ).drop("_earlier_alert_at")
 
 
 def _part_seeds(hot_rows: DataFrame) -> DataFrame:
@@ -258,9 +263,9 @@ def timeline(
     """Every input row with the state of its cell and day after that row.
 
     ``alert`` marks the row that confirms the incident of its island and
-    ``negative`` a row that closes an island without one; ``closing`` then
-    holds the state of the closed island. Rows of source ``state`` only carry
-    earlier state and never emit anything.
+    ``negative`` the last row of an island that had none when the row at
+    ``next_seq`` closed it. Rows of source ``state`` carry earlier state into
+    the run; of these only an island closed by the run's first row is emitted.
     """
     return timeline_of_rows(merge_inputs(scored, control), state, policy)
 
@@ -439,55 +444,26 @@ def outcome_log(walked: DataFrame) -> DataFrame:
 
 
 def training_log(walked: DataFrame) -> DataFrame:
-    """Labelled rows in emission order: 1 at an alert, 0 at a day without one."""
+    """Labelled rows: 1 at an alert, 0 for a closed day without one.
 
-    def labelled(snapshot: str, date: Column, time: Column, origin: Column, label: int, risk: Column, fire: Column,
-                 sensor: Column) -> Column:
-        values = {
-            "event_date": date,
-            "input_event_time": time,
-            "input_slot": slot_label(time),
-            "label": F.lit(label),
-            "confirmation_source": origin,
-            "suspected_voluntary": risk,
-            "fire_observed": fire,
-            "sensor_confirmed": sensor,
-        }
-        return F.struct(
-            *[values[c].alias(c) if c in values else f"{snapshot}.{c}" for c in TRAINING_COLUMNS],
-            "seq",
-            F.lit(label).alias("sub"),
-        )
-
-    positive = labelled(
-        "held.snapshot",
-        F.col("event_date"),
-        F.col("event_time"),
-        _confirmation_source(F.col("fire_on")),
-        1,
-        suspected_voluntary(F.col("fire_on"), F.col("held.prediction.risk_level")),
-        F.col("fire_on"),
-        F.lit(True),
-    )
-    negative = labelled(
-        "closing.held.snapshot",
-        F.col("closing.event_date"),
-        F.col("closing.held.snapshot.event_time"),
-        F.lit("none"),
-        0,
-        F.lit(0),
-        F.col("closing.fire_on"),
-        F.col("closing.sensor_on"),
-    )
-    return (
-        walked.filter(F.col("alert") | F.col("negative"))
-        .select(
-            F.inline(
-                F.array_compact(
-                    F.array(F.when(F.col("negative"), negative), F.when(F.col("alert"), positive))
-                )
-            )
-        )
+    ``seq`` is the order of the event that emitted the row.
+    """
+    alert = F.col("alert")
+    snapshot_time = F.col("held.snapshot.event_time")
+    time = F.when(alert, F.col("event_time")).otherwise(snapshot_time)
+    values = {
+        "event_date": F.col("event_date"),
+        "input_event_time": time,
+        "input_slot": slot_label(time),
+        "label": F.when(alert, 1).otherwise(0),
+        "confirmation_source": F.when(alert, _confirmation_source(F.col("fire_on"))).otherwise("none"),
+        "suspected_voluntary": suspected_voluntary(alert & F.col("fire_on"), F.col("held.prediction.risk_level")),
+        "fire_observed": F.col("fire_on"),
+        "sensor_confirmed": F.col("sensor_on"),
+    }
+    return walked.filter(alert | F.col("negative")).select(
+        *[values[c].alias(c) if c in values else f"held.snapshot.{c}" for c in TRAINING_COLUMNS],
+        F.when(alert, F.col("seq")).otherwise(F.col("next_seq")).alias("seq"),
     )
 
 
@@ -522,4 +498,4 @@ def daily_outcomes(walked: DataFrame) -> DataFrame:
 
 
 def daily_training(walked: DataFrame) -> DataFrame:
-    return latest_per_key(training_log(walked), ["h3_cell", "event_date"], ["seq", "sub"]).select(TRAINING_COLUMNS)
+    return latest_per_key(training_log(walked), ["h3_cell", "event_date"], ["seq"]).select(TRAINING_COLUMNS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.functions.scalars import first_not_blank_or_null, round_half_up
-from cellwatch.operators.scoring import MODEL_FEATURES, risk_name
+from cellwatch.operators.scoring import MODEL_FEATURES, chosen, risk_name
 
 # Short feature names accepted in requests. Every other accepted
 # name is its own alias and needs no entry.
@@ -17,6 +17,12 @@ ALIASES = {
 }
 
 
+_RESPONSE = (
+    "prediction_status string, known_h3 string, prediction struct<risk_level: string, "
+    "probabilities: struct<class_0: string, class_1: string, class_2: string>>"
+)
+
+
 def request_json(snapshots: DataFrame, keep: list[str]) -> DataFrame:
     """``{"data": {...}}`` with the model's feature names; null members are left out."""
     members = [
@@ -71,37 +77,27 @@ def decode_response(df: DataFrame, value: str = "response") -> DataFrame:
     Unknown cells come back as class 0 with their own level. A response without
     a prediction object has ``reject_reason`` set and no class.
     """
-    text = F.col(value)
-
-    def member(path: str) -> Column:
-        return F.get_json_object(text, path)
-
-    def share(name: str) -> Column:
-        return F.coalesce(member(f"$.prediction.probabilities.{name}").try_cast("double"), F.lit(0.0))
-
-    p0, p1, p2 = share("class_0"), share("class_1"), share("class_2")
-    refused = F.coalesce(member("$.prediction_status") == "rejected_unknown_h3", F.lit(False)) | F.coalesce(
-        F.lower(member("$.known_h3")) != "true", F.lit(False)
-    )
-    is_object = F.coalesce(member("$.prediction").startswith("{"), F.lit(False))
-    level = member("$.prediction.risk_level").try_cast("double").cast("int")
-    out = df.withColumns(
-        {
-            "_refused": refused,
-            "reject_reason": F.when(~refused & ~is_object, "missing_prediction"),
-            "_class": F.coalesce(level, _largest(p0, p1, p2)),
-            "_p0": p0,
-            "_p1": p1,
-            "_p2": p2,
-        }
+    members = F.from_json(F.col(value), _RESPONSE)
+    parsed = df.select("*", F.inline(F.array(members)).alias("_status", "_known", "_prediction"))
+    shares = [F.coalesce(F.col(f"_prediction.probabilities.class_{i}").try_cast("double"), F.lit(0.0)) for i in range(3)]
+    refused = F.coalesce(F.col("_status") == "rejected_unknown_h3", F.lit(False)) | F.coalesce(
+        F.lower("_known") != "true", F.lit(False)
     )
+    out = parsed.select(
+        *df.columns,
+        refused.alias("_refused"),
+        F.when(~refused & F.col("_prediction").isNull(), "missing_prediction").alias("reject_reason"),
+        F.col("_prediction.risk_level").try_cast("double").cast("int").alias("_level"),
+        *[s.alias(f"_p{i}") for i, s in enumerate(shares)],
+    ).withColumn("_class", F.coalesce("_level", _largest(F.col("_p0"), F.col("_p1"), F.col("_p2"))))
     usable = ~F.col("_refused") & F.col("reject_reason").isNull()
-    chosen = F.when(F.col("_class") == 2, F.col("_p2")).when(F.col("_class") == 1, F.col("_p1")).otherwise(F.col("_p0"))
     level_name = F.coalesce(risk_name(F.when(F.col("_class").isin(1, 2), F.col("_class"))), F.lit("LOW"))
-    return out.withColumns(
-        {
-            "prediction": F.when(F.col("_refused"), 0).when(usable, F.col("_class")),
-            "probability": F.when(F.col("_refused"), 0.0).when(usable, round_half_up(chosen, 4)),
-            "risk_level": F.when(F.col("_refused"), "REJECTED_UNKNOWN_H3").when(usable, level_name),
-        }
-    ).drop("_refused", "_class", "_p0", "_p1", "_p2")
+    return out.select(
+        *df.columns,
+        F.when(F.col("_refused"), 0).when(usable, F.col("_class")).alias("prediction"),
+        F.when(F.col("_refused"), 0.0)
+        .when(usable, round_half_up(chosen("_class", "_p0", "_p1", "_p2"), 4))
+        .alias("probability"),
+        F.when(F.col("_refused"), "REJECTED_UNKNOWN_H3").when(usable, level_name).alias("risk_level"),
+        "reject_reason",
+    )

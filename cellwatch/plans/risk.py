@@ -64,7 +64,7 @@ class RiskJob:
 
     def predictions(self, walked: DataFrame) -> DataFrame:
         """Regular, alert and neighbour predictions, all with ``seq``."""
-        regular = walked.filter("source = 'meteo'").select("prediction.*", "seq")
+        regular = walked.filter("source = 'meteo'").select("held.prediction.*", "seq")
         return (
             regular.select(*PREDICTION_COLUMNS, "seq")
             .unionByName(self.alerts(walked))
@@ -97,7 +97,7 @@ def write_batch(job: RiskJob, rows: DataFrame, tables: Tables, batch_id: int) ->
     state = read_if_present(spark, tables.state(batch_id - 1), confirm.STATE_SCHEMA) if batch_id else None
     walked = confirm.timeline_of_rows(rows, state, job.policy).persist()
     try:
-        snapshots = walked.filter("source = 'meteo'").select("snapshot.*").select(*SNAPSHOT_COLUMNS)
+        snapshots = walked.filter("source = 'meteo'").select("held.snapshot.*").select(*SNAPSHOT_COLUMNS)
         append_batch(snapshots, tables.path("feature_snapshots"), batch_id)
         append_batch(job.predictions(walked).drop("seq"), tables.path("predictions"), batch_id)
         staging = tables.path("staging")

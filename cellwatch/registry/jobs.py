@@ -120,7 +120,7 @@ def stream_keyed_training(spark, sf_dir):
     walked = keyed_timeline(_rows(dt.job(spark, sf_dir), event_stream(spark, sf_dir)))
     _finish(append_stream(confirm.training_log(walked), path, checkpoint, availableNow=True))
     log = spark.read.parquet(path)
-    return confirm.latest_per_key(log, ["h3_cell", "event_date"], ["seq", "sub"]).select(TRAINING_COLUMNS)
+    return confirm.latest_per_key(log, ["h3_cell", "event_date"], ["seq"]).select(TRAINING_COLUMNS)
 
 
 @query("stream_batch_outcomes", DAILY_OUTCOMES_SQL)

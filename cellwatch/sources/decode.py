@@ -10,6 +10,7 @@ from cellwatch.functions.scalars import whole_number
 from cellwatch.schemas import EVENT_FIELDS
 
 REASON = "reject_reason"
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 # JSON field to column name of the typed rows.
 COLUMN_NAMES = {
@@ -49,19 +50,21 @@ def decode_events(raw: DataFrame, kind: str, value: str = "value") -> DataFrame:
     """
     fields = EVENT_FIELDS[kind]
     schema = ", ".join(f"{f} string" for f in fields) + ", _corrupt string"
-    parsed = raw.withColumn(
-        "_j",
-        F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
+    # Parsed through a generator: a filter on the result stays above it, so
+    # each text is parsed once however many conditions look at its fields.
+    members = F.from_json(F.col(value), schema, _PERMISSIVE)
+    keep = [c for c in raw.columns if c != value]
+    parsed = raw.select(*keep, F.col(value).alias("raw"), F.inline(F.array(members)).alias(*[f"_{f}" for f in fields], "_corrupt"))
+    typed = {f: _typed(F.col(f"_{f}"), t) for f, t in fields.items()}
+    reason = F.when(
+        F.col("raw").isNull() | (F.trim(F.col("raw")) == "") | F.col("_corrupt").isNotNull(), "malformed_json"
     )
-    typed = {f: _typed(F.col(f"_j.{f}"), t) for f, t in fields.items()}
-    reason = F.when(F.col("_j").isNull() | F.col("_j._corrupt").isNotNull(), "malformed_json")
     for f, t in fields.items():
         if t != "string":
-            reason = reason.when(F.col(f"_j.{f}").isNotNull() & typed[f].isNull(), f"bad_{t}:{f}")
-    keep = [c for c in raw.columns if c != value]
+            reason = reason.when(F.col(f"_{f}").isNotNull() & typed[f].isNull(), f"bad_{t}:{f}")
     return parsed.select(
         *keep,
-        F.col(value).alias("raw"),
+        "raw",
         reason.alias(REASON),
         *[typed[f].alias(COLUMN_NAMES.get(f, f)) for f in fields],
     )

@@ -41,20 +41,52 @@ def daily_mean(date_text: Column, times: Column, values: Column) -> Column:
 
 
 def flatten_payload(df: DataFrame, keep: list[str], value: str = "payload") -> DataFrame:
-    """One row per payload and day."""
-    parsed = parse_payload(df, value)
-    exploded = parsed.select(*keep, "_p", F.posexplode("_p.daily.time").alias("_i", "date_text"))
-    return exploded.select(
-        *keep,
-        strict_date(F.col("date_text")).alias("event_date"),
-        *[
-            rounded_element(F.col(f"_p.daily.{member}"), F.col("_i")).alias(name)
-            for member, name in DAILY_MEMBERS.items()
-        ],
-        daily_mean(F.col("date_text"), F.col("_p.hourly.time"), F.col(f"_p.hourly.{HOURLY_MEMBER}")).alias(
-            "soil_moisture"
+    """One row per payload and day; the first entry of a day counts.
+
+    Daily and hourly entries are laid out once and summed per payload and day
+    where they are, so the work grows with the payload and not with its days
+    times its hours. Batch only.
+    """
+
+    def listed(name: str, kind: str) -> Column:
+        return F.coalesce(F.col(name), F.array().cast(f"array<{kind}>"))
+
+    daily = [listed(f"_p.daily.{m}", "double").alias(n) for m, n in DAILY_MEMBERS.items()]
+    entries = F.concat(
+        F.transform(
+            F.arrays_zip(listed("_p.daily.time", "string").alias("time"), *daily),
+            lambda d, i: F.struct(
+                d["time"].alias("day"),
+                F.when(d["time"].isNotNull(), i).alias("at"),
+                *[d[n].alias(n) for n in DAILY_MEMBERS.values()],
+                F.lit(None).cast("double").alias("soil_moisture"),
+            ),
+        ),
+        F.transform(
+            F.arrays_zip(
+                listed("_p.hourly.time", "string").alias("time"),
+                listed(f"_p.hourly.{HOURLY_MEMBER}", "double").alias("v"),
+            ),
+            lambda h: F.struct(
+                F.substring(h["time"], 1, 10).alias("day"),
+                F.lit(None).cast("int").alias("at"),
+                *[F.lit(None).cast("double").alias(n) for n in DAILY_MEMBERS.values()],
+                h["v"].alias("soil_moisture"),
+            ),
         ),
     )
+    numbered = parse_payload(df, value).withColumn("_row", F.monotonically_increasing_id())
+    laid_out = numbered.select(*keep, "_row", F.inline(entries))
+    per_day = laid_out.groupBy(*keep, "_row", "day").agg(
+        F.min("at").alias("at"),
+        *[F.min_by(n, "at").alias(n) for n in DAILY_MEMBERS.values()],
+        F.avg("soil_moisture").alias("soil_moisture"),
+    )
+    return per_day.filter("at is not null").select(
+        *keep,
+        strict_date(F.col("day")).alias("event_date"),
+        *[round_half_up(F.col(n), 3).alias(n) for n in (*DAILY_MEMBERS.values(), "soil_moisture")],
+    )
 
 
 def payload_day(df: DataFrame, keep: list[str], date: Column, fallback: dict[str, Column], value: str = "payload"):

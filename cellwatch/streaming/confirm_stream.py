@@ -24,8 +24,7 @@ from cellwatch.schemas import PREDICTION_SCHEMA, SNAPSHOT_SCHEMA
 _STATE = "event_date date, held string, sensor_on boolean, fire_on boolean, alerted boolean"
 _OUT = (
     "h3_cell string, seq bigint, event_date date, event_time bigint, source string, held string, "
-    "sensor_on boolean, fire_on boolean, alert boolean, negative boolean, "
-    "closed_date date, closed_held string, closed_sensor boolean, closed_fire boolean"
+    "sensor_on boolean, fire_on boolean, alert boolean, negative boolean, next_seq bigint"
 )
 _HELD = f"snapshot {SNAPSHOT_SCHEMA.simpleString()}, prediction {PREDICTION_SCHEMA.simpleString()}"
 
@@ -36,11 +35,9 @@ def _follow_day(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
     date, held, sensor, fire, alerted = state.get if state.exists else (None, None, False, False, False)
     out = []
     for r in rows.itertuples(index=False):
-        closed = (None, None, None, None)
-        negative = False
         if date is not None and r.event_date != date:
-            negative = held is not None and not alerted
-            closed = (date, held, sensor, fire)
+            if held is not None and not alerted:
+                out.append((key[0], None, date, None, "state", held, sensor, fire, False, True, r.seq))
             held, sensor, fire, alerted = None, False, False, False
         date = r.event_date
         alert = False
@@ -52,12 +49,12 @@ def _follow_day(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
             confirms = r.source == "sensor" or (r.source == "fire" and sensor)
             alert = confirms and held is not None and not alerted
             alerted = alerted or alert
-        if alert or negative or r.source == "fire":
-            out.append(
-                (key[0], r.seq, r.event_date, r.event_time, r.source, held, sensor, fire, alert, negative, *closed)
-            )
+        if alert or r.source == "fire":
+            out.append((key[0], r.seq, r.event_date, r.event_time, r.source, held, sensor, fire, alert, False, None))
     state.update((date, held, sensor, fire, alerted))
-    yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in _OUT.split(", ")])
+    if out:
+        frame = pd.DataFrame(out, columns=[c.split(" ")[0] for c in _OUT.split(", ")])
+        yield frame.astype({c: "Int64" for c in ("seq", "event_time", "next_seq")})
 
 
 def keyed_timeline(rows: DataFrame) -> DataFrame:
@@ -92,12 +89,7 @@ def keyed_timeline(rows: DataFrame) -> DataFrame:
         "fire_on",
         "alert",
         "negative",
-        F.struct(
-            F.col("closed_date").alias("event_date"),
-            F.from_json("closed_held", _HELD).alias("held"),
-            F.col("closed_sensor").alias("sensor_on"),
-            F.col("closed_fire").alias("fire_on"),
-        ).alias("closing"),
+        "next_seq",
     )
 
 
