@@ -13,8 +13,9 @@ def export_encoder(df: DataFrame, column: str) -> DataFrame:
     """Distinct values in order with codes 0, 1, 2, ... as (class, code).
 
     The values are range partitioned and numbered inside their partition; only
-    the partition sizes are summed up in one place. The checkpoint pins the
-    partitions, so sizes and numbers can never come from different layouts.
+    the partition sizes are summed up in one place. The first checkpoint pins
+    the partitions, so sizes and numbers can never come from different layouts;
+    the second keeps the finished table, which every scoring job reads.
     """
     ensure_checkpoints(df.sparkSession)
     ordered = (
@@ -30,9 +31,10 @@ def export_encoder(df: DataFrame, column: str) -> DataFrame:
     runs = ordered.groupBy("_run").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     starts = runs.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    return ordered.join(starts, "_run").select(
+    codes = ordered.join(starts, "_run").select(
         "class", (F.col("_start") + F.col("_id") - F.col("_first")).cast("int").alias("code")
     )
+    return codes.checkpoint()
 
 
 def fill_cell_ids(df: DataFrame) -> DataFrame:

@@ -2,40 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellwatch.schemas import TOPICS
 
+_OFFSET_BITS = 19
 
-def kafka_events(spark: SparkSession, kind: str, servers: str, max_offsets: int | None = None, **options: str):
-    """A topic from its earliest offset: value as text, and the offset as order.
 
-    Events are keyed by cell, so a cell stays in one topic partition and its
-    offsets are its arrival order. Needs the Kafka connector on the class path.
+def arrival_order(kind: str, timestamp: Column, offset: Column) -> Column:
+    """One order over the three topics: broker time, then offset, then topic.
+
+    Unique per cell, since a cell stays in one partition of a topic and a
+    partition does not take 2^19 records in one millisecond.
     """
-    reader = (
-        spark.readStream.format("kafka")
+    rank = list(TOPICS).index(kind)
+    low = offset.bitwiseAND(F.lit(2**_OFFSET_BITS - 1))
+    return F.shiftleft(F.unix_millis(timestamp), _OFFSET_BITS + 2) + low * 4 + rank
+
+
+def _records(reader, kind: str, servers: str, options: dict[str, str]) -> DataFrame:
+    records = (
+        reader.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", TOPICS[kind])
         .option("startingOffsets", "earliest")
         .options(**options)
+        .load()
+    )
+    return records.select(
+        F.col("value").cast("string").alias("value"),
+        arrival_order(kind, F.col("timestamp"), F.col("offset")).alias("seq"),
     )
+
+
+def kafka_events(spark: SparkSession, kind: str, servers: str, max_offsets: int | None = None, **options: str):
+    """A topic as a stream from its earliest offset. Needs the Kafka connector."""
     if max_offsets:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().selectExpr("cast(value as string) as value", "offset as seq", "partition")
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return _records(spark.readStream, kind, servers, options)
 
 
 def kafka_events_batch(spark: SparkSession, kind: str, servers: str, **options: str) -> DataFrame:
     """The same topic as a bounded table, for backfills."""
-    return (
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", TOPICS[kind])
-        .option("startingOffsets", "earliest")
-        .options(**options)
-        .load()
-        .selectExpr("cast(value as string) as value", "offset as seq", "partition")
-    )
+    return _records(spark.read, kind, servers, options)
 
 
 def json_file_events(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
