@@ -163,7 +163,7 @@ def placed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
             "seq",
             "h3_cell",
             F.when(known, F.col("h3_center_lat") + (F.col("k") - 50) * F.lit(0.0001)).alias("lat"),
-            F.when(known, F.col("h3_center_lon") + (F.col("seq") % 11 - 5) * F.lit(0.0013)).alias("lon"),
+            F.when(known, F.col("h3_center_lon") + (F.col("seq") % 11 - 5) * F.lit(0.0011)).alias("lon"),
         )
     )
 

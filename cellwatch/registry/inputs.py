@@ -389,7 +389,7 @@ _KM = """12742.0::DOUBLE * asin(sqrt(least(1.0::DOUBLE, pow(sin(radians(b.h3_cen
         STATIC,
         """pts AS (
   SELECT e.seq, e.h3_cell, CASE WHEN k < 95 THEN h3_center_lat + (k - 50) * 0.0001::DOUBLE END AS lat,
-         CASE WHEN k < 95 THEN h3_center_lon + (seq % 11 - 5) * 0.0013::DOUBLE END AS lon
+         CASE WHEN k < 95 THEN h3_center_lon + (seq % 11 - 5) * 0.0011::DOUBLE END AS lon
   FROM ev e JOIN cells c ON c.h3_cell = e.h3_cell WHERE event_type IN ('view', 'click', 'signup'))""",
         f"""near AS (
   SELECT a.seq, b.h3_cell AS cell, {_KM} AS km
