@@ -90,12 +90,18 @@ def write_batch(job: RiskJob, rows: DataFrame, tables: Tables, batch_id: int) ->
 
     Every write replaces what an earlier try of the same batch left behind, so
     the batch can be run again after a failure. The scored and the walked rows
-    are kept for the steps that share them; lost blocks are recomputed.
+    are kept for the steps that share them; lost blocks are recomputed. The
+    state of cells without rows is copied past the walk.
     """
     spark = rows.sparkSession
     rows = rows.persist()
     state = read_if_present(spark, tables.state(batch_id - 1), confirm.STATE_SCHEMA) if batch_id else None
-    walked = confirm.timeline_of_rows(rows, state, job.policy).persist()
+    active = idle = None
+    if state is not None:
+        cells = rows.select("h3_cell").distinct()
+        active = state.join(cells, "h3_cell", "left_semi").select(state.columns)
+        idle = state.join(cells, "h3_cell", "left_anti").select(state.columns)
+    walked = confirm.timeline_of_rows(rows, active, job.policy).persist()
     try:
         snapshots = walked.filter("source = 'meteo'").select("held.snapshot.*").select(*SNAPSHOT_COLUMNS)
         append_batch(snapshots, tables.path("feature_snapshots"), batch_id)
@@ -113,7 +119,9 @@ def write_batch(job: RiskJob, rows: DataFrame, tables: Tables, batch_id: int) ->
             os.path.join(staging, "training"),
             batch_id,
         )
-        confirm.final_state(walked).write.mode("overwrite").parquet(tables.state(batch_id))
+        newest = confirm.final_state(walked)
+        newest = newest if idle is None else newest.unionByName(idle)
+        newest.write.mode("overwrite").parquet(tables.state(batch_id))
     finally:
         walked.unpersist()
         rows.unpersist()
