@@ -24,7 +24,9 @@ HEADLINE = [
     "window_snapshots",
     "payload_flatten",
     "response_decode",
-    "scenario_plan",
+    "all_predictions",
+    "encoder_export",
+    "incremental_outcomes",
     "fire_history",
     "recent_maxima",
     "latest_weather",

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: zone of the slot labels and of the daily event hours.
 LOCAL_ZONE = "Africa/Algiers"
-# Local hours at which a daily weather row becomes an event.
-DAILY_HOURS = (8, 14, 20)
-
 CALENDAR_COLUMNS = ["month", "month_sin", "month_cos", "doy_sin", "doy_cos", "is_weekend"]
 
 DAY_MS = 86_400_000

@@ -12,10 +12,6 @@ def round_half_up(x: Column, digits: int) -> Column:
     return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
-def float_or_zero(x: Column) -> Column:
-    return F.coalesce(x.cast("float"), F.lit(0.0).cast("float"))
-
-
 def not_blank(x: Column) -> Column:
     """The value itself, or null where it is empty after trimming."""
     return F.when(F.trim(x) != "", x)
@@ -35,10 +31,6 @@ def same_text(x: Column, value: str) -> Column:
     return F.coalesce(F.lower(x) == value.lower(), F.lit(False))
 
 
-def true_only(x: Column) -> Column:
-    return F.coalesce(x, F.lit(False))
-
-
 def whole_number(text: Column) -> Column:
     """Text to bigint; also accepts forms such as ``1.7E12`` that are whole."""
     as_double = text.try_cast("double")

@@ -84,25 +84,34 @@ def _last_known(name: str) -> Column:
     return F.max_by(name, F.when(F.col(name).isNotNull(), F.col("seq"))).alias(name)
 
 
-def cell_windows(unified: DataFrame, length: str = "1 day", watermark: str | None = None) -> DataFrame:
+def cell_windows(
+    unified: DataFrame, length: str = "1 day", watermark: str | None = None, static: DataFrame | None = None
+) -> DataFrame:
     """One row per cell and tumbling UTC window over the unified events.
 
     ``seq`` gives the arrival order behind "last seen" values. The bounds of
     the window are epoch milliseconds, the end exclusive; ``first_event_time``
     and ``last_event_time`` are what really arrived. A stream needs a
     ``watermark``: how late events may be before their window is closed.
+
+    With ``static``, a dimension of one row per cell, the static columns are
+    joined to the finished windows and those of the events are not read;
+    without it they are the last values that the events themselves carried.
     """
     timed = unified.withColumn("event_ts", F.timestamp_millis("event_time"))
     if watermark:
         timed = timed.withWatermark("event_ts", watermark)
     grouped = timed.groupBy("h3_cell", F.window("event_ts", length).alias("w"))
-    return grouped.agg(
+    windows = grouped.agg(
         *measure_columns(),
-        *[_last_known(c) for c in STATIC_COLUMNS],
+        *([_last_known(c) for c in STATIC_COLUMNS] if static is None else []),
         F.max_by("event_date", "seq").alias("event_date"),
         F.min("event_time").alias("first_event_time"),
         F.max("event_time").alias("last_event_time"),
-    ).select(
+    )
+    if static is not None:
+        windows = windows.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell", "left")
+    return windows.select(
         "h3_cell",
         "event_date",
         F.unix_millis("w.start").alias("window_start"),

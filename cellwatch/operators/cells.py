@@ -54,7 +54,7 @@ def grid_index(
 ) -> DataFrame:
     """Bucket to nearby centres, for points at most ``max_km`` from a centre.
 
-    Two different centres closer than about ``min_spacing_km`` are refused
+    A cell that is listed several times with one centre counts once. Two different centres closer than about ``min_spacing_km`` are refused
     while counting, before any list is built. That bounds every list by how
     many centres fit around a bucket.
     """
@@ -143,7 +143,11 @@ def adjacency(
     elsewhere can be used in place of this one.
     """
     index = grid_index(centres, touch_km, min_spacing_km, cell, lat, lon)
-    points = centres.select(F.col(cell).alias("h3_cell"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
+    points = (
+        centres.groupBy(F.col(cell).alias("h3_cell"))
+        .agg(F.max(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"))).alias("c"))
+        .select("h3_cell", "c.lat", "c.lon")
+    )
     near = F.filter(
         F.col("_centres"),
         lambda c: (haversine_km(F.col("lat"), F.col("lon"), c["lat"], c["lon"]) <= touch_km)

@@ -11,6 +11,10 @@ are cut into ordered parts (see ``skew``). Each part is first walked on its
 own, the state at the part ends is folded in part order, and every later part
 then starts from a seed row with the state the parts before it left behind.
 The same seed rows let a run continue from the state of an earlier run.
+
+``seq`` may be of any type that sorts, such as a number or the struct that
+``sources.streams`` makes. Rows of a cell with equal ``seq`` are ordered by
+their source, time and contents.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import types as T
 
 from cellwatch.functions.calendar import slot_label
 from cellwatch.functions.scalars import same_text
-from cellwatch.operators.skew import HOT, PART, SplitPolicy, split_hot_keys
+from cellwatch.operators.skew import CUTS, PART, SplitPolicy, cut_points, part_of
 from cellwatch.schemas import (
     OUTCOME_COLUMNS,
     PREDICTION_COLUMNS,
@@ -32,9 +36,9 @@ from cellwatch.schemas import (
     SNAPSHOT_SCHEMA,
     TRAINING_COLUMNS,
 )
+from cellwatch.session import materialise
 
 SEED = "state"
-_BEFORE_ALL = -(2**63)
 
 _SEED_FLAGS = ["seed_sensor", "seed_fire", "seed_alert"]
 
@@ -55,7 +59,7 @@ STATE_SCHEMA = T.StructType(
 def _meteo_rows(scored: DataFrame) -> DataFrame:
     return scored.filter("p.prediction is not null").select(
         "h3_cell",
-        F.col("seq").cast("bigint").alias("seq"),
+        "seq",
         "event_date",
         "event_time",
         F.lit("meteo").alias("source"),
@@ -67,7 +71,7 @@ def _meteo_rows(scored: DataFrame) -> DataFrame:
 def _control_rows(control: DataFrame) -> DataFrame:
     return control.select(
         "h3_cell",
-        F.col("seq").cast("bigint").alias("seq"),
+        "seq",
         "event_date",
         "event_time",
         F.lower("source_type").alias("source"),
@@ -91,10 +95,10 @@ def _with_seed_flags(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.lit(False) for c in _SEED_FLAGS})
 
 
-def _seed_rows(state: DataFrame) -> DataFrame:
+def _seed_rows(state: DataFrame, seq_type: T.DataType) -> DataFrame:
     return state.select(
         "h3_cell",
-        F.lit(_BEFORE_ALL).cast("bigint").alias("seq"),
+        F.lit(None).cast(seq_type).alias("seq"),
         "event_date",
         F.lit(None).cast("bigint").alias("event_time"),
         F.lit(SEED).alias("source"),
@@ -103,7 +107,7 @@ def _seed_rows(state: DataFrame) -> DataFrame:
         F.col("sensor_on").alias("seed_sensor"),
         F.col("fire_on").alias("seed_fire"),
         F.col("alerted").alias("seed_alert"),
-        *[F.col(c) for c in (PART, HOT) if c in state.columns],
+        *[F.col(c) for c in (PART,) if c in state.columns],
     )
 
 
@@ -111,13 +115,25 @@ def _at_or_after(position: Column, start: Column) -> Column:
     return F.coalesce(position >= start, F.lit(False))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Columns that order a cell's rows: seeds first, and what tells rows of equal ``seq`` apart."""
+    return rows.withColumns(
+        {"_rank": F.col("source") != SEED, "_tie": F.xxhash64("source", "event_time", "event_date", "snapshot")}
+    )
+
+
+def _in_order(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy("_rank", "seq", "_tie")
+
+
 def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """State of every row's island after the row, by running windows."""
-    in_order = Window.partitionBy(*keys).orderBy("seq")
+    """State of every row's island after the row, by running windows over row numbers."""
+    in_order = _in_order(keys)
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _ranked(rows)
 
     def latest(condition: Column) -> Column:
-        return F.max(F.when(condition, F.col("seq"))).over(so_far)
+        return F.max(F.when(condition, F.col("pos"))).over(so_far)
 
     is_sensor = F.col("source") == "sensor"
     is_fire = F.col("source") == "fire"
@@ -125,18 +141,12 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     step = rows.withColumns(
         {
+            "pos": F.row_number().over(in_order),
             "prev_date": F.lag("event_date").over(in_order),
-            "prev_seq": F.lag("seq").over(in_order),
             "next_date": F.lead("event_date").over(in_order),
             "next_seq": F.lead("seq").over(in_order),
         }
-    ).withColumn(
-        "opens",
-        F.when(
-            F.col("prev_seq") == F.col("seq"),
-            F.raise_error(F.concat(F.lit("two rows share seq in cell "), F.col("h3_cell"))).cast("boolean"),
-        ).otherwise(F.col("prev_date").isNull() | (F.col("prev_date") != F.col("event_date"))),
-    )
+    ).withColumn("opens", F.col("prev_date").isNull() | (F.col("prev_date") != F.col("event_date")))
     step = step.withColumns(
         {
             "island_at": latest(F.col("opens")),
@@ -158,14 +168,14 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
             "candidate": F.col("has_snapshot") & (is_sensor | (is_fire & F.col("sensor_on"))),
         }
     )
-    alerting = F.max(F.when(F.col("candidate") | F.col("seed_alert"), F.col("seq")))
+    alerting = F.max(F.when(F.col("candidate") | F.col("seed_alert"), F.col("pos")))
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     step = step.withColumns({"alert_at": alerting.over(so_far), "_earlier_alert_at": alerting.over(before)})
     step = step.withColumns(
         {
             "alerted": _at_or_after(F.col("alert_at"), F.col("island_at")),
             "alert": F.col("candidate") & ~_at_or_after(F.col("_earlier_alert_at"), F.col("island_at")),
-            "is_last": F.col("next_seq").isNull(),
+            "is_last": F.col("next_date").isNull(),
         }
     )
     return step.withColumn(
@@ -177,18 +187,17 @@ def _walk(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _part_seeds(hot_rows: DataFrame) -> DataFrame:
-    """Seed rows for every part of a hot cell after its first one."""
+    """Seed rows for every part of a cut cell after its first one."""
     keys = ["h3_cell", PART]
-    in_order = Window.partitionBy(*keys).orderBy("seq")
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = _in_order(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_control = F.col("source").isin("sensor", "fire")
 
     walked = _walk(hot_rows, keys).withColumns(
         {
             "first_date": F.first("event_date").over(so_far),
             "changed": F.max(F.col("opens") & F.col("prev_date").isNotNull()).over(so_far),
-            "control_at": F.max(F.when(is_control, F.col("seq"))).over(so_far),
-            "informed_at": F.max(F.when(is_control & F.col("has_snapshot"), F.col("seq"))).over(so_far),
+            "control_at": F.max(F.when(is_control, F.col("pos"))).over(so_far),
+            "informed_at": F.max(F.when(is_control & F.col("has_snapshot"), F.col("pos"))).over(so_far),
         }
     )
     # One row per part: what its last island looks like on its own, and whether
@@ -249,9 +258,25 @@ def _part_seeds(hot_rows: DataFrame) -> DataFrame:
         _at_or_after(F.col("fire_part"), F.col("run_at")).alias("fire_on"),
         _at_or_after(F.col("alert_part"), F.col("run_at")).alias("alerted"),
         F.lead(PART).over(by_part).alias(PART),
-        F.lit(True).alias(HOT),
     ).filter(F.col(PART).isNotNull())
-    return _seed_rows(state)
+    return _seed_rows(state, hot_rows.schema["seq"].dataType)
+
+
+def _without_late(rows: DataFrame) -> DataFrame:
+    """Rows whose date is not before the newest date that their cell had until then.
+
+    Parts look back within themselves; the newest date of the parts before
+    comes from one row per part.
+    """
+    keys = ["h3_cell", PART]
+    so_far = _in_order(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("h3_cell").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    newest = rows.groupBy(*keys).agg(F.max("event_date").alias("_date")).withColumn("_before", F.max("_date").over(earlier))
+    dated = _ranked(rows).withColumn("_newest", F.max("event_date").over(so_far)).join(newest.select(*keys, "_before"), keys)
+    return dated.filter(F.col("event_date") >= F.greatest("_newest", "_before")).select(rows.columns)
+
+
+LATE = ("rollover", "ignore")
 
 
 def timeline(
@@ -259,6 +284,7 @@ def timeline(
     control: DataFrame,
     state: DataFrame | None = None,
     policy: SplitPolicy = SplitPolicy(),
+    late: str = "rollover",
 ) -> DataFrame:
     """Every input row with the state of its cell and day after that row.
 
@@ -266,32 +292,40 @@ def timeline(
     ``negative`` the last row of an island that had none when the row at
     ``next_seq`` closed it. Rows of source ``state`` carry earlier state into
     the run; of these only an island closed by the run's first row is emitted.
+    A date change in either direction closes the day; with ``late="ignore"``
+    rows dated before the newest date that their cell has had are left out.
     """
-    return timeline_of_rows(merge_inputs(scored, control), state, policy)
+    return timeline_of_rows(merge_inputs(scored, control), state, policy, late=late)
 
 
 def timeline_of_rows(
     rows: DataFrame,
     state: DataFrame | None = None,
     policy: SplitPolicy = SplitPolicy(),
-    sizes: DataFrame | None = None,
+    pairs: DataFrame | None = None,
+    late: str = "rollover",
 ) -> DataFrame:
     """``timeline`` over rows that ``merge_inputs`` has already put together.
 
-    ``sizes`` is any frame of (h3_cell, seq) that covers the rows and is cheap
-    to read, such as the events before scoring. Hot cells are found from it,
-    so that finding them does not run the scorer.
+    ``pairs`` is any frame of (h3_cell, seq) that covers the rows and is cheap
+    to read, such as the events before scoring; cells to cut are found from it.
+    Their rows are written once, so that both walks over them share the scores.
     """
-    if sizes is None:
-        sizes = rows
+    if late not in LATE:
+        raise ValueError(f"late must be one of {', '.join(LATE)}, not {late}")
+    cuts = cut_points(rows if pairs is None else pairs, "h3_cell", "seq", policy)
     rows = _with_seed_flags(rows)
     if state is not None:
-        rows = rows.unionByName(_seed_rows(state))
-    rows, cut = split_hot_keys(rows, "h3_cell", "seq", policy, sizes)
-    if not cut:
-        return _walk(rows, ["h3_cell"])
-    seeded = rows.unionByName(_part_seeds(rows.filter(HOT)))
-    return _walk(seeded, ["h3_cell", PART])
+        rows = rows.unionByName(_seed_rows(state, rows.schema["seq"].dataType))
+    if not cuts.head(1):
+        whole = rows.withColumn(PART, F.lit(0))
+        return _walk(_without_late(whole) if late == "ignore" else whole, ["h3_cell", PART])
+    cut = rows.join(cuts, "h3_cell").withColumn(PART, part_of(F.col(CUTS), F.col("seq"))).drop(CUTS)
+    whole = rows.join(cuts.select("h3_cell"), "h3_cell", "left_anti").withColumn(PART, F.lit(0))
+    if late == "ignore":
+        cut, whole = _without_late(cut), _without_late(whole)
+    cut = materialise(cut, "cut-rows")
+    return _walk(cut.unionByName(_part_seeds(cut)).unionByName(whole), ["h3_cell", PART])
 
 
 def final_state(walked: DataFrame) -> DataFrame:
@@ -351,33 +385,34 @@ def alert_predictions(alerts: DataFrame) -> DataFrame:
     )
 
 
-def neighbor_predictions(
-    alerts: DataFrame, adjacency: DataFrame, score: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Alerts propagated to the adjacent cells and scored again there.
+def neighbor_snapshots(alerts: DataFrame, adjacency: DataFrame) -> DataFrame:
+    """Snapshots of alerting cells, taken over by each adjacent cell.
 
-    The neighbour takes over the whole snapshot of the alerting cell except the
-    two cell ids. ``score`` maps snapshots to predictions in a struct ``p``.
+    The neighbour takes over everything except the two cell ids. Equal pairs in
+    ``adjacency`` count once.
     """
-    spread = (
-        alerts.select(
-            F.col("h3_cell").alias("origin"),
-            "seq",
-            F.col("event_time").alias("confirmed_at"),
-            "fire_on",
-            "snapshot",
-        )
-        .join(adjacency.select(F.col("h3_cell").alias("origin"), "neighbor"), "origin")
-        .filter("neighbor is not null and neighbor <> origin")
-    )
+    pairs = adjacency.select(F.col("h3_cell").alias("origin"), "neighbor").filter("neighbor <> origin").distinct()
+    spread = alerts.select(
+        F.col("h3_cell").alias("origin"), "seq", F.col("event_time").alias("confirmed_at"), "fire_on", "snapshot"
+    ).join(pairs, "origin")
     own = {"h3_cell": F.col("neighbor"), "h3_commune": F.col("neighbor")}
-    snapshots = spread.select(
+    return spread.select(
         *[own[c].alias(c) if c in own else f"snapshot.{c}" for c in SNAPSHOT_COLUMNS],
         "origin",
         "seq",
         "confirmed_at",
         "fire_on",
     )
+
+
+def neighbor_predictions(
+    alerts: DataFrame, adjacency: DataFrame, score: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Alerts propagated to the adjacent cells and scored again there.
+
+    ``score`` maps snapshots to predictions in a struct ``p``.
+    """
+    snapshots = neighbor_snapshots(alerts, adjacency)
     replaced = {
         "trigger_type": F.lit("neighbor_propagation"),
         "trigger_source": _confirmation_source(F.col("fire_on")),

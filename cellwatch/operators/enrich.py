@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.functions.calendar import CALENDAR_COLUMNS, calendar_columns
@@ -15,6 +15,7 @@ from cellwatch.schemas import (
     UNIFIED_SCHEMA,
     WEATHER_MEASURES,
 )
+from cellwatch.sources import decode
 from cellwatch.sources.decode import require_keys
 
 # The joins below carry no hint. Spark broadcasts a dimension while its size
@@ -27,13 +28,44 @@ def locate(events: DataFrame, index: DataFrame | None) -> DataFrame:
     return events if index is None else resolve_cell(events, index)
 
 
+# What a refused row says about itself: where it fell out, and why.
+STAGE, REASON = "stage", "reason"
+
+
+def refuse(df: DataFrame, stage: str, reason: Column) -> DataFrame:
+    """Marks rows that have a ``reason`` now and had none before."""
+    first = F.col(REASON).isNull() & reason.isNotNull()
+    return df.withColumns(
+        {STAGE: F.when(first, F.lit(stage)).otherwise(F.col(STAGE)), REASON: F.coalesce(F.col(REASON), reason)}
+    )
+
+
+def marked_keys(events: DataFrame) -> DataFrame:
+    """Adds ``stage`` and ``reason``: of decoding where it refused the row, or for a missing key."""
+    refused = F.col(decode.REASON) if decode.REASON in events.columns else F.lit(None).cast("string")
+    marked = events.withColumns({STAGE: F.when(refused.isNotNull(), F.lit("decode")), REASON: refused})
+    missing = F.col("h3_cell").isNull() | F.col("event_date").isNull() | F.col("event_time").isNull()
+    return refuse(marked, "decode", F.when(missing, "missing_key"))
+
+
+def marked_snapshots(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
+    """``weather_snapshots`` that keeps every row, the lost ones with ``stage`` and ``reason``."""
+    marked = marked_keys(locate(events, index))
+    joined = marked.join(static.select("h3_cell", *STATIC_COLUMNS, F.lit(True).alias("_there")), "h3_cell", "left")
+    found = refuse(joined, "static", F.when(F.col("_there").isNull(), "no_static"))
+    return _snapshots(found, (*extra, STAGE, REASON))
+
+
 def weather_snapshots(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
     """Weather events to feature snapshots; cells without static data drop out.
 
     The one precipitation reading fills both the 1-day and the 7-day column.
     """
     located = require_keys(locate(events, index))
-    joined = located.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell")
+    return _snapshots(located.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell"), extra)
+
+
+def _snapshots(joined: DataFrame, extra: tuple) -> DataFrame:
     renamed = {
         "h3_commune": "h3_cell",
         "humidity_min": "humidity",
@@ -56,10 +88,13 @@ def static_misses(events: DataFrame, static: DataFrame) -> DataFrame:
     return missed.groupBy("h3_cell").agg(F.count(F.lit(1)).alias("n_events"))
 
 
-def _unified(events: DataFrame, static: DataFrame, source: str, given: dict[str, str], extra: tuple) -> DataFrame:
-    """All unified columns; those the source does not have are typed nulls."""
-    joined = events.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell", "left")
-    own = {c: c for c in ("h3_cell", "event_time", "event_date", "lat", "lon", *STATIC_COLUMNS)}
+def _unified(events: DataFrame, static: DataFrame | None, source: str, given: dict[str, str], extra: tuple) -> DataFrame:
+    """All unified columns; those the source does not have are typed nulls.
+
+    Without a dimension the static columns are the events' own, or null.
+    """
+    joined = events if static is None else events.join(static.select("h3_cell", *STATIC_COLUMNS), "h3_cell", "left")
+    own = {c: c for c in ("h3_cell", "event_time", "event_date", "lat", "lon", *STATIC_COLUMNS) if c in joined.columns}
     values = {**own, "source_type": f"'{source}'", **given}
     columns = [
         f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in UNIFIED_SCHEMA.fields
@@ -67,12 +102,12 @@ def _unified(events: DataFrame, static: DataFrame, source: str, given: dict[str,
     return require_keys(joined.selectExpr(*columns, *extra))
 
 
-def unify_sensor(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
+def unify_sensor(events: DataFrame, static: DataFrame | None, index: DataFrame | None = None, extra: tuple = ()):
     """Sensor events as unified events; alert level and fire flag are dropped."""
     return _unified(locate(events, index), static, "sensor", {c: c for c in SENSOR_MEASURES}, extra)
 
 
-def unify_fire(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
+def unify_fire(events: DataFrame, static: DataFrame | None, index: DataFrame | None = None, extra: tuple = ()):
     """Fire reports as unified events; an absent declaration counts as none."""
     given = {
         "fire_declared": "CASE WHEN declared THEN 1 ELSE 0 END",
@@ -82,7 +117,7 @@ def unify_fire(events: DataFrame, static: DataFrame, index: DataFrame | None = N
     return _unified(locate(events, index), static, "fire", given, extra)
 
 
-def unify_weather(events: DataFrame, static: DataFrame, index: DataFrame | None = None, extra: tuple = ()):
+def unify_weather(events: DataFrame, static: DataFrame | None, index: DataFrame | None = None, extra: tuple = ()):
     """Weather events as unified events, the third source of the cell window."""
     return _unified(locate(events, index), static, "meteo", {c: c for c in WEATHER_MEASURES}, extra)
 

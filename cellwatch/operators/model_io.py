@@ -16,7 +16,8 @@ ALIASES = {
     "wind_speed_max": "wind_speed_max(km/h)",
 }
 
-
+# Member names of responses and the level of a refused cell.
+REFUSED_LEVEL = "REJECTED_UNKNOWN_H3"
 _RESPONSE = (
     "prediction_status string, known_h3 string, prediction struct<risk_level: string, "
     "probabilities: struct<class_0: string, class_1: string, class_2: string>>"
@@ -55,17 +56,6 @@ def missing_features(data: Column, required: list[str] | None = None) -> Column:
     return F.filter(names, lambda n: ~F.map_contains_key(data, n))
 
 
-def absent_columns(df: DataFrame, required: list[str]) -> list[str]:
-    """The same check for a wide frame: required columns it does not have."""
-    return [c for c in required if c not in df.columns]
-
-
-def normalise_columns(df: DataFrame) -> DataFrame:
-    """Alias columns of a wide frame, added where the full name is absent."""
-    new = {full: F.col(short) for short, full in ALIASES.items() if short in df.columns and full not in df.columns}
-    return df.withColumns(new) if new else df
-
-
 def _largest(p0: Column, p1: Column, p2: Column) -> Column:
     """Index of the largest; ties go to the higher class."""
     return F.when((p2 >= p1) & (p2 >= p0), 2).when(p1 >= p0, 1).otherwise(0)
@@ -98,6 +88,6 @@ def decode_response(df: DataFrame, value: str = "response") -> DataFrame:
         F.when(F.col("_refused"), 0.0)
         .when(usable, round_half_up(chosen("_class", "_p0", "_p1", "_p2"), 4))
         .alias("probability"),
-        F.when(F.col("_refused"), "REJECTED_UNKNOWN_H3").when(usable, level_name).alias("risk_level"),
+        F.when(F.col("_refused"), REFUSED_LEVEL).when(usable, level_name).alias("risk_level"),
         "reject_reason",
     )

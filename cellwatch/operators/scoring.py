@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cellwatch.functions.calendar import slot_label
 from cellwatch.functions.scalars import round_half_up
 from cellwatch.operators.encode import encode_strict, fill_cell_ids, known
+from cellwatch.operators.enrich import refuse
 from cellwatch.schemas import PREDICTION_SCHEMA
 
 # The model's features in order, with the snapshot column of each.
@@ -90,10 +91,10 @@ class BatchScorer:
     """Two models called once per Arrow batch.
 
     ``load`` runs once per Python worker and returns two functions from a
-    float32 matrix to the probability of the positive class per row.
+    float32 matrix to whatever a classifier gives (``positive_class``).
     """
 
-    load: Callable[[], tuple[Callable[[np.ndarray], np.ndarray], Callable[[np.ndarray], np.ndarray]]]
+    load: Callable[[], tuple[Callable[[np.ndarray], object], Callable[[np.ndarray], object]]]
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -104,10 +105,10 @@ class BatchScorer:
             from cellwatch.operators import loaded_models
 
             ge_1, ge_2 = loaded_models.get(key, load)
-            matrix = np.stack(vectors.to_numpy()).astype(np.float32) if len(vectors) else np.empty((0, 0), np.float32)
-            return pd.DataFrame(
-                {"p_ge_1": np.asarray(ge_1(matrix), float), "p_ge_2": np.asarray(ge_2(matrix), float)}
-            )
+            if not len(vectors):
+                return pd.DataFrame({"p_ge_1": np.empty(0), "p_ge_2": np.empty(0)})
+            matrix = np.stack(vectors.to_numpy()).astype(np.float32)
+            return pd.DataFrame({"p_ge_1": positive_class(ge_1(matrix)), "p_ge_2": positive_class(ge_2(matrix))})
 
         scored = df.withColumn("_s", positive("features"))
         return scored.withColumns({"p_ge_1": F.col("_s.p_ge_1"), "p_ge_2": F.col("_s.p_ge_2")}).drop("_s")
@@ -128,39 +129,6 @@ def positive_class(output) -> np.ndarray:
     raise ValueError(f"no class probabilities in an output of shape {values.shape}")
 
 
-def onnx_models(path_ge_1: str, path_ge_2: str) -> Callable:
-    """Loader for two ONNX classifiers reachable by every worker."""
-
-    def load():
-        import onnxruntime
-
-        def model(path):
-            session = onnxruntime.InferenceSession(path, providers=["CPUExecutionProvider"])
-            name = session.get_inputs()[0].name
-            return lambda matrix: positive_class(session.run(None, {name: matrix})[-1])
-
-        return model(path_ge_1), model(path_ge_2)
-
-    return load
-
-
-@dataclass(frozen=True)
-class SparkMlScorer:
-    """Two fitted Spark ML classifiers over a vector column named ``vector``."""
-
-    model_ge_1: object
-    model_ge_2: object
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-
-        out = df.withColumn("vector", array_to_vector(F.col("features").cast("array<double>")))
-        for name, model in (("p_ge_1", self.model_ge_1), ("p_ge_2", self.model_ge_2)):
-            keep = [F.col(f"`{c}`") for c in out.columns]
-            out = model.transform(out).select(*keep, vector_to_array("probability")[1].alias(name))
-        return out.drop("vector")
-
-
 def ordinal_classes(df: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
     """Classes from P(y>=1) and P(y>=2).
 
@@ -221,6 +189,18 @@ def _prediction_text(trigger: str, marks: dict[str, str]) -> str:
     return f"named_struct({', '.join(members)})"
 
 
+# How a prediction from a weather snapshot is marked.
+REGULAR_MARKS = {
+    "trigger_type": "'regular_meteo'",
+    "trigger_source": "'meteo'",
+    "is_neighbor_prediction": "false",
+    "confirmed_alert": "false",
+    "fire_observed": "false",
+    "sensor_confirmed": "false",
+    "prediction_slot": "_slot",
+}
+
+
 @dataclass(frozen=True)
 class RiskModel:
     """Encoder, scorer and thresholds: everything that turns snapshots into scores."""
@@ -244,17 +224,21 @@ class RiskModel:
         """Scores of weather snapshots, marked as regular predictions."""
         keep = snapshots.columns
         scored = self._classes(snapshots).filter("prediction is not null")
-        marks = {
-            "trigger_type": "'regular_meteo'",
-            "trigger_source": "'meteo'",
-            "is_neighbor_prediction": "false",
-            "confirmed_alert": "false",
-            "fire_observed": "false",
-            "sensor_confirmed": "false",
-            "prediction_slot": "_slot",
-        }
         marked = scored.withColumn("_slot", slot_label(F.col("event_time")))
-        return marked.select(*keep, F.expr(_prediction_text("meteo", marks)).alias("p"))
+        return marked.select(*keep, F.expr(_prediction_text("meteo", REGULAR_MARKS)).alias("p"))
+
+    def predict_marked(self, snapshots: DataFrame) -> DataFrame:
+        """``predict_regular`` that keeps every row; ``p`` is null where ``reason`` says why.
+
+        ``snapshots`` has ``stage`` and ``reason`` already.
+        """
+        keep = snapshots.columns
+        coded = encode_strict(fill_cell_ids(snapshots), self.encoder, "quarantine")
+        scored = ordinal_classes(self.scorer.apply(feature_vector(coded)), self.thresholds)
+        marked = refuse(refuse(scored, "encoder", F.col("reject_reason")), "score", F.when(F.col("prediction").isNull(), "no_score"))
+        slots = marked.withColumn("_slot", slot_label(F.col("event_time")))
+        p = F.when(F.col("reason").isNull(), F.expr(_prediction_text("meteo", REGULAR_MARKS)))
+        return slots.select(*keep, p.alias("p"))
 
     def predict_neighbor(self, snapshots: DataFrame) -> DataFrame:
         return self.predict(snapshots, "neighbor")

@@ -1,13 +1,12 @@
-"""Cutting very hot keys into ordered parts.
-
-A window over one key runs in one task. When a single key holds a large share
-of the rows that task never ends, so ordered operators first cut such keys
-into contiguous ranges of their order column and work on (key, part).
-
-What reaches the driver is bounded whatever the data looks like: at most
-``max_keys`` key names, and at most ``rows / target_rows + max_keys`` cut
-points. A key that is not among the ``max_keys`` largest holds less than
-1/max_keys of all rows, so leaving it whole is safe.
+"""Cutting the rows of large keys into ordered parts.
+
+A window over one key runs in one task. So the (key, order) pairs alone are
+dealt into ranges, as for a global sort: a key whose pairs fill several ranges
+is cut where the ranges meet, every other key stays whole. Spark picks the
+ranges from a sample and AQE merges small ones, so small inputs are not cut at
+all and no size is compared here. Neither the number of keys nor that of the
+parts of a key has a limit, and nothing passes through the driver: the cuts
+are a written table with one row per key that has any.
 """
 
 from __future__ import annotations
@@ -16,101 +15,48 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from cellwatch.session import materialise
 
 PART = "_part"
-HOT = "_hot"
+CUTS = "_cuts"
 
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When a key counts as hot and how finely it is cut."""
+    """Into how many ranges the pairs are dealt; by default Spark's number of shuffle partitions."""
 
-    target_rows: int = 5_000_000
-    max_keys: int = 4096
-    max_parts: int = 4096
+    ranges: int | None = None
 
 
-def _cut_points(df: DataFrame, key: str, order: str, policy: SplitPolicy) -> list[tuple[str, list[int]]]:
-    sizes = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"))
-        .limit(policy.max_keys)
-        .filter(F.col("n") > policy.target_rows)
-        .collect()
-    )
-    if not sizes:
-        return []
-    spark = df.sparkSession
-    parts = {r[0]: min(policy.max_parts, -(-r["n"] // policy.target_rows)) for r in sizes}
-    finest = max(parts.values())
-    schema = T.StructType([df.schema[key], T.StructField("parts", T.IntegerType())])
-    hot = F.broadcast(spark.createDataFrame(list(parts.items()), schema))
-    quantiles = [i / finest for i in range(1, finest)]
+def cut_points(pairs: DataFrame, key: str, order: str, policy: SplitPolicy = SplitPolicy()) -> DataFrame:
+    """Keys that fill several ranges, with the first order value of each range after their first.
+
+    ``pairs`` needs just the two columns; ``order`` may be of any type that
+    sorts. Equal orders of a key never straddle a cut.
+    """
+    number = [policy.ranges] if policy.ranges else []
+    dealt = pairs.select(key, order).repartitionByRange(*number, key, order)
+    starts = dealt.withColumn("_range", F.spark_partition_id()).groupBy(key, "_range").agg(F.min(order).alias("_start"))
     cuts = (
-        df.select(key, order)
-        .join(hot, key)
-        .groupBy(key)
-        .agg(
-            F.first("parts").alias("parts"),
-            F.percentile_approx(order, quantiles, max(10_000, 100 * finest)).alias("q"),
-        )
-        .select(
-            key,
-            F.array_sort(
-                F.array_distinct(
-                    F.expr(
-                        f"transform(sequence(1, parts - 1), j -> q[cast(j * {finest} / parts as int) - 1])"
-                    )
-                )
-            ).alias("cuts"),
-        )
+        starts.groupBy(key)
+        .agg(F.sort_array(F.collect_list("_start")).alias("_starts"))
+        .filter(F.size("_starts") > 1)
+        .select(key, F.slice("_starts", F.lit(2), F.size("_starts") - 1).alias(CUTS))
     )
-    return [(r[0], list(r["cuts"])) for r in cuts.collect()]
+    # Written, because another run could sample other ranges.
+    return materialise(cuts, "cuts")
 
 
-def part_of(cuts: Column, order: Column, max_parts: int) -> Column:
-    """How many cut points are at or below the value, by binary search."""
-    steps = []
-    step = 1
-    while step < max_parts:
-        steps.append(step)
-        step *= 2
-    descending = F.array(*[F.lit(s) for s in reversed(steps)])
+def part_of(cuts: Column, order: Column) -> Column:
+    """How many cuts are at or below the value, by binary search; 0 for a null value."""
+    # Halving steps from the largest that an array can need.
+    steps = F.array(*[F.lit(1 << j) for j in range(30, -1, -1)])
     search = F.aggregate(
-        descending,
+        steps,
         F.lit(0),
         lambda found, s: F.when(
-            (found + s <= F.size(cuts)) & (F.get(cuts, found + s - 1) <= order), found + s
+            (s <= F.size(cuts) - found) & (F.get(cuts, found + s - 1) <= order), found + s
         ).otherwise(found),
     )
     return F.when(cuts.isNull(), 0).otherwise(search)
-
-
-def split_hot_keys(
-    df: DataFrame,
-    key: str,
-    order: str,
-    policy: SplitPolicy = SplitPolicy(),
-    sizes: DataFrame | None = None,
-) -> tuple[DataFrame, bool]:
-    """Add ``_part`` and ``_hot``; the flag says whether any key was cut.
-
-    Parts of a key are contiguous in ``order``, and equal values share a part.
-    Runs one narrow count job over ``sizes`` (by default ``df`` itself), and a
-    second one only over the hot keys.
-    """
-    cuts = _cut_points(df if sizes is None else sizes, key, order, policy)
-    if not cuts:
-        return df.withColumns({PART: F.lit(0), HOT: F.lit(False)}), False
-    schema = T.StructType([df.schema[key], T.StructField("_cuts", T.ArrayType(T.LongType()))])
-    table = F.broadcast(df.sparkSession.createDataFrame(cuts, schema))
-    out = (
-        df.join(table, key, "left")
-        .withColumns(
-            {PART: part_of(F.col("_cuts"), F.col(order), policy.max_parts), HOT: F.col("_cuts").isNotNull()}
-        )
-        .drop("_cuts")
-    )
-    return out, True

@@ -9,7 +9,8 @@ def _logistic(shift: float):
     def positive(matrix: np.ndarray) -> np.ndarray:
         x = matrix.astype(np.float64)
         z = (x[:, 8] - 40.0) * 0.03 + (50.0 - x[:, 7]) * 0.01 + x[:, 0] * 0.0005 - shift
-        return 1.0 / (1.0 + np.exp(-z))
+        p = 1.0 / (1.0 + np.exp(-z))
+        return np.stack([1.0 - p, p], axis=1)
 
     return positive
 

@@ -51,7 +51,9 @@ def day(name: str = "event_date", of: str = "") -> str:
 
 EV = """ev AS (
   SELECT event_id AS seq, 'u' || user_id AS h3_cell, epoch_us(ts) // 1000 AS event_time, CAST(ts AS DATE) AS event_date,
-         event_type, value, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k
+         event_type, value, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k,
+         CASE WHEN event_id % 5 <> 0 THEN 36.0::DOUBLE + (event_id % 97) * 0.01::DOUBLE END AS lat,
+         CASE WHEN event_id % 7 <> 0 THEN 3.0::DOUBLE + (event_id % 89) * 0.01::DOUBLE END AS lon
   FROM events)"""
 
 CELLS = f"""cells AS (
@@ -73,23 +75,23 @@ WEATHER = """weather AS (
          CASE WHEN k NOT BETWEEN 20 AND 24 THEN CAST(k AS DOUBLE) END AS humidity,
          value * 0.25::DOUBLE AS wind_speed,
          CASE WHEN k NOT BETWEEN 30 AND 39 THEN CAST(k AS DOUBLE) / 8 END AS precipitation,
-         CAST(k AS DOUBLE) / 256 AS soil_moisture, value / 2 AS vpd
+         CAST(k AS DOUBLE) / 256 AS soil_moisture, value / 2 AS vpd, lat, lon
   FROM ev WHERE event_type IN ('view', 'click', 'signup'))"""
 
 UNIFIED = """uni AS (
   SELECT seq, h3_cell, event_time, event_date, 'meteo' AS source_type, temperature, humidity, wind_speed,
          precipitation, soil_moisture, vpd, NULL::DOUBLE AS co2, NULL::DOUBLE AS smoke,
          NULL::DOUBLE AS sensor_temperature, NULL::DOUBLE AS battery, NULL::INTEGER AS fire_declared,
-         NULL::DOUBLE AS intensity, NULL::DOUBLE AS burned_area
+         NULL::DOUBLE AS intensity, NULL::DOUBLE AS burned_area, lat, lon
   FROM weather
   UNION ALL
   SELECT seq, h3_cell, event_time, event_date, 'sensor', NULL, NULL, NULL, NULL, NULL, NULL, value + 400,
          CASE WHEN k NOT BETWEEN 20 AND 24 THEN CAST(k AS DOUBLE) END, value / 2, CAST(100 - k AS DOUBLE),
-         NULL, NULL, NULL
+         NULL, NULL, NULL, lat, lon
   FROM ev WHERE event_type = 'error'
   UNION ALL
   SELECT seq, h3_cell, event_time, event_date, 'fire', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-         CASE WHEN k >= 30 THEN 1 ELSE 0 END, value, CASE WHEN k <= 90 THEN CAST(k AS DOUBLE) / 8 END
+         CASE WHEN k >= 30 THEN 1 ELSE 0 END, value, CASE WHEN k <= 90 THEN CAST(k AS DOUBLE) / 8 END, lat, lon
   FROM ev WHERE event_type = 'purchase')"""
 
 TURN = "2 * pi() *"

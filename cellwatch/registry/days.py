@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cellwatch.operators import confirm
 from cellwatch.plans import driver_tables as dt
-from cellwatch.registry.common import UNIFIED, day, num, query, scores, slot, sql
+from cellwatch.registry.common import EV, UNIFIED, day, num, query, scores, slot, sql
 from cellwatch.registry.inputs import ADJACENCY
 from cellwatch.registry.scores import PREDICTION_SELECT, REGULAR, SCORED
 from cellwatch.schemas import PREDICTION_COLUMNS, TRAINING_FEATURES
@@ -84,7 +86,7 @@ def confirmed_alerts(spark, sf_dir):
 @query("neighbor_propagation", sql(*CONFIRM, *NEIGHBORS, select=f"SELECT {PREDICTION_SELECT} FROM nb"))
 def neighbor_propagation(spark, sf_dir):
     job = dt.job(spark, sf_dir)
-    return job.neighbors(walked(spark, sf_dir))
+    return job.neighbors(confirm.alert_rows(walked(spark, sf_dir)))
 
 
 @query(
@@ -99,7 +101,9 @@ def neighbor_propagation(spark, sf_dir):
     ),
 )
 def all_predictions(spark, sf_dir):
-    return dt.job(spark, sf_dir).predictions(walked(spark, sf_dir)).select("seq", *PREDICTION_COLUMNS)
+    ev = dt.events(spark, sf_dir)
+    found = dt.job(spark, sf_dir).all_predictions(dt.weather(ev), dt.sensors(ev), dt.fires(ev))
+    return found.select("seq", *PREDICTION_COLUMNS)
 
 
 OUTCOMES = f"""outs AS (
@@ -172,3 +176,47 @@ FROM facts f WHERE NOT f.closed AND f.last_snap IS NOT NULL
 def open_days(spark, sf_dir):
     rows = confirm.flush_open_days(walked(spark, sf_dir))
     return rows.select("h3_cell", "event_date", "label", "fire_observed", "sensor_confirmed")
+
+
+# ---- dates that go back ----
+
+# Every tenth value of k puts an event on the day before.
+EV_BACK = EV.replace(
+    "CAST(ts AS DATE) AS event_date",
+    "CAST(ts AS DATE) - CASE WHEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 10 = 3 THEN 1 ELSE 0 END AS event_date",
+)
+_NOT_LATE = """rows AS (
+  SELECT * EXCLUDE (newest) FROM (SELECT *, max(event_date) OVER (PARTITION BY h3_cell ORDER BY seq) AS newest FROM all_rows)
+  WHERE event_date >= newest)"""
+
+
+def _with_dates_back(text: str, ignore: bool) -> str:
+    text = text.replace(EV, EV_BACK)
+    return text.replace("WITH rows AS", "WITH all_rows AS").replace(",\nrows AS (", ",\nall_rows AS (").replace(
+        "'meteo' FROM sc),\nmarked", f"'meteo' FROM sc),\n{_NOT_LATE},\nmarked"
+    ) if ignore else text
+
+
+def walked_back(spark, sf_dir, late):
+    ev = dt.events(spark, sf_dir).withColumn("event_date", F.date_sub("event_date", F.when(F.col("k") % 10 == 3, 1).otherwise(0)))
+    return dt.job(spark, sf_dir, late=late).timeline(dt.weather(ev), dt.sensors(ev), dt.fires(ev))
+
+
+@query("rollover_outcomes", _with_dates_back(DAILY_OUTCOMES_SQL, False))
+def rollover_outcomes(spark, sf_dir):
+    return confirm.daily_outcomes(walked_back(spark, sf_dir, "rollover"))
+
+
+@query("rollover_training", _with_dates_back(DAILY_TRAINING_SQL, False))
+def rollover_training(spark, sf_dir):
+    return confirm.daily_training(walked_back(spark, sf_dir, "rollover"))
+
+
+@query("ignore_late_outcomes", _with_dates_back(DAILY_OUTCOMES_SQL, True))
+def ignore_late_outcomes(spark, sf_dir):
+    return confirm.daily_outcomes(walked_back(spark, sf_dir, "ignore"))
+
+
+@query("ignore_late_training", _with_dates_back(DAILY_TRAINING_SQL, True))
+def ignore_late_training(spark, sf_dir):
+    return confirm.daily_training(walked_back(spark, sf_dir, "ignore"))

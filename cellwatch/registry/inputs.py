@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from cellwatch.functions import calendar as cal
 from cellwatch.functions.scalars import round_half_up
 from cellwatch.operators import enrich
+from cellwatch.operators.cells import adjacency as cell_adjacency
 from cellwatch.operators.cells import resolve_cell
 from cellwatch.plans import driver_tables as dt
+from cellwatch.plans.risk import RiskJob
 from cellwatch.registry.common import (
     BASE,
     CELLS,
@@ -361,6 +363,15 @@ def unified(spark, sf_dir):
     return control.unionByName(enrich.unify_weather(dt.weather(ev), static, extra=("seq",)))
 
 
+def unified_alone(spark, sf_dir):
+    """All events without the dimension's columns."""
+    ev = dt.events(spark, sf_dir)
+    control = enrich.control_events(
+        enrich.unify_sensor(dt.sensors(ev), None, extra=("seq",)), enrich.unify_fire(dt.fires(ev), None, extra=("seq",))
+    )
+    return control.unionByName(enrich.unify_weather(dt.weather(ev), None, extra=("seq",)))
+
+
 @query("unified_events", sql(*BASE, UNIFIED, select=_UNIFIED_SELECT))
 def unified_events(spark, sf_dir):
     return unified(spark, sf_dir).drop("lat", "lon")
@@ -415,4 +426,24 @@ def adjacency(spark, sf_dir):
     return dt.touching(spark, sf_dir)
 
 
-__all__ = ["ADJACENCY", "SNAPSHOT_SELECT", "WEATHER", "unified"]
+@query("adjacency_of_repeated_cells", sql(CELLS, STATIC, ADJACENCY, select="SELECT h3_cell, neighbor FROM adj"))
+def adjacency_of_repeated_cells(spark, sf_dir):
+    """A dimension that lists every cell three times gives every pair once."""
+    static = dt.static(spark, sf_dir)
+    return cell_adjacency(static.unionByName(static).unionByName(static))
+
+
+@query(
+    "snapshots_of_repeated_cells",
+    sql(*BASE, SNAPSHOTS, select=f"SELECT seq, {SNAPSHOT_SELECT} FROM snap"),
+)
+def snapshots_of_repeated_cells(spark, sf_dir):
+    """A dimension with outdated rows: the job takes the last row of a cell."""
+    static = dt.static(spark, sf_dir)
+    old = static.withColumns({"altitude_moy": F.col("altitude_moy") - 1, "pente_moy": F.lit(-5.0)})
+    both = old.withColumn("version", F.lit(1)).unionByName(static.withColumn("version", F.lit(2)))
+    job = RiskJob(both, None, None, static_order="version")
+    return job.snapshots(dt.weather(dt.events(spark, sf_dir)))
+
+
+__all__ = ["ADJACENCY", "SNAPSHOT_SELECT", "WEATHER", "unified", "unified_alone"]

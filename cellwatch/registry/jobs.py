@@ -8,31 +8,63 @@ from cellwatch.operators import aggregate, confirm
 from cellwatch.operators.enrich import unify_fire, unify_sensor, unify_weather
 from cellwatch.plans import driver_tables as dt
 from cellwatch.plans.risk import RiskJob, Tables, write_batch
-from cellwatch.registry.common import BASE, SNAPSHOTS, UNIFIED, day, num, query, sql
-from cellwatch.registry.days import DAILY_OUTCOMES_SQL, DAILY_TRAINING_SQL
+from cellwatch.registry.common import BASE, EV, SNAPSHOTS, UNIFIED, day, num, query, sql
+from cellwatch.registry.days import (
+    ALERTS,
+    CONFIRM,
+    DAILY_OUTCOMES_SQL,
+    DAILY_TRAINING_SQL,
+    NEIGHBORS,
+)
 from cellwatch.registry.inputs import SNAPSHOT_SELECT
+from cellwatch.registry.scores import PREDICTION_SELECT, REGULAR, SCORED
 from cellwatch.registry.windows import WINDOWS
-from cellwatch.schemas import OUTCOME_COLUMNS, SNAPSHOT_COLUMNS, TRAINING_COLUMNS
-from cellwatch.session import scratch_path
-from cellwatch.sinks.tables import append_batch, upsert_batch
-from cellwatch.sources.streams import table_stream
-from cellwatch.streaming.confirm_stream import confirm_batches, keyed_timeline
+from cellwatch.schemas import (
+    OUTCOME_COLUMNS,
+    PREDICTION_COLUMNS,
+    SNAPSHOT_COLUMNS,
+    SNAPSHOT_SCHEMA,
+    TRAINING_COLUMNS,
+)
+from cellwatch.session import materialise, scratch_path
+from cellwatch.sinks.tables import Table
+from cellwatch.sources.decode import accepted, decode_events, require_keys
+from cellwatch.sources.streams import RECORD_SCHEMA, json_file_events, table_stream, with_arrival_order
+from cellwatch.streaming.confirm_stream import confirm_batches, confirm_records
 from cellwatch.streaming.outputs import append_stream
 
+STEPS = 3
+
+
+def arriving(df, order: str, path: str, start: int = 0, stop: int = STEPS, form: str = "parquet"):
+    """Write ``df`` step by step in ``order``, so that a stream over ``path`` finds older files first."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    for i in range(start, stop):
+        a, b = (low + (high + 1 - low) * k // STEPS for k in (i, i + 1))
+        step = df.filter((F.col(order) >= a) & (F.col(order) < b))
+        # One file a step here; a step could as well be a day's folder of files.
+        step.coalesce(1).write.mode("append").format(form).save(path)
+    return path
+
 
-def event_stream(spark, sf_dir):
-    schema = dt.table(spark, sf_dir, "events").schema
-    return dt.shape_events(table_stream(spark, sf_dir, schema, max_files=1, pattern="events.parquet"))
+def _events_arriving(spark, sf_dir):
+    raw = dt.table(spark, sf_dir, "events")
+    path = arriving(raw, "event_id", scratch_path(spark, "events"))
+    return dt.shape_events(table_stream(spark, path, raw.schema, max_files=1))
 
 
 def _rows(job: RiskJob, ev):
     return job.rows(dt.weather(ev), dt.sensors(ev), dt.fires(ev))
 
 
-def _finish(running):
+def finish(running, batches: int = STEPS):
+    """Wait for a stream over all that has arrived; it must have taken so many micro-batches."""
     running.awaitTermination()
     if running.exception():
         raise running.exception()
+    taken = sum(1 for p in running.recentProgress if p["numInputRows"])
+    if taken < batches:
+        raise ValueError(f"the stream took {taken} micro-batches, not {batches}")
 
 
 def _halves(spark, sf_dir):
@@ -42,38 +74,45 @@ def _halves(spark, sf_dir):
     return ev.filter(F.col("seq") <= middle), ev.filter(F.col("seq") > middle)
 
 
-@query(
-    "append_replayed",
-    sql(*BASE, SNAPSHOTS, select=f"SELECT CAST(seq % 2 AS INTEGER) AS batch_id, {SNAPSHOT_SELECT} FROM snap"),
-)
+@query("append_replayed", sql(*BASE, SNAPSHOTS, select=f"SELECT {SNAPSHOT_SELECT} FROM snap"))
 def append_replayed(spark, sf_dir):
-    """Two batches appended, the first of them twice, as after a restart."""
-    path = scratch_path(spark, "append")
-    job = dt.job(spark, sf_dir)
-    ev = dt.events(spark, sf_dir)
-    snapshots = job.snapshots(dt.weather(ev))
-    for batch in (0, 1, 0):
-        append_batch(snapshots.filter(F.col("seq") % 2 == batch).select(SNAPSHOT_COLUMNS), path, batch)
-    return spark.read.parquet(path).select("batch_id", *SNAPSHOT_COLUMNS)
+    """Batches of two runs with the same numbers; one is written twice, as after a restart."""
+    table = Table(scratch_path(spark, "append"), SNAPSHOT_SCHEMA)
+    snapshots = dt.job(spark, sf_dir).snapshots(dt.weather(dt.events(spark, sf_dir)))
+    for run, batch, part in (("a", 0, 0), ("a", 1, 1), ("a", 0, 0), ("b", 0, 2)):
+        table.write(snapshots.filter(F.col("seq") % 3 == part).select(SNAPSHOT_COLUMNS), run, batch)
+    return table.read(spark)
 
 
-@query(
-    "upsert_batches",
-    sql(
-        *BASE,
-        select=f"""SELECT h3_cell, {day()}, seq, event_type, k, round(value, 6) + 0.0 AS value FROM (
+_LAST_OF_DAY = sql(
+    *BASE,
+    select=f"""SELECT h3_cell, {day()}, seq, event_type, k, round(value, 6) + 0.0 AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY h3_cell, event_date ORDER BY seq DESC) AS rn FROM ev) WHERE rn = 1""",
-    ),
 )
-def upsert_batches(spark, sf_dir):
-    """The last event of every cell and day, written in two upserts that overlap."""
-    path, staging = scratch_path(spark, "upsert"), scratch_path(spark, "staging")
+
+
+def _last_of_day(spark, sf_dir, fold: bool):
     ev = dt.events(spark, sf_dir).drop("event_time")
-    early, late = _halves(spark, sf_dir)
-    for batch, part in enumerate((early, late)):
-        newest = confirm.latest_per_key(part.select(ev.columns), ["h3_cell", "event_date"], ["seq"])
-        upsert_batch(newest, path, staging, batch)
-    return spark.read.parquet(path).select("h3_cell", "event_date", "seq", "event_type", "k", "value")
+    table = Table(scratch_path(spark, "upsert"), ev.schema, ("h3_cell", "event_date"))
+    third = F.floor(F.col("seq") * 3 / (ev.agg(F.max("seq")).first()[0] + 1))
+    for batch in range(3):
+        newest = confirm.latest_per_key(ev.filter(third == batch), ["h3_cell", "event_date"], ["seq"])
+        table.write(newest, "a", batch)
+        if fold:
+            table.compact(spark, "a", batch)
+    return table.read(spark).select("h3_cell", "event_date", "seq", "event_type", "k", "value")
+
+
+@query("upsert_batches", _LAST_OF_DAY)
+def upsert_batches(spark, sf_dir):
+    """The last event of every cell and day, written in three upserts that overlap."""
+    return _last_of_day(spark, sf_dir, False)
+
+
+@query("upsert_folded", _LAST_OF_DAY)
+def upsert_folded(spark, sf_dir):
+    """The same, with what came before folded after every upsert."""
+    return _last_of_day(spark, sf_dir, True)
 
 
 def _two_batches(spark, sf_dir):
@@ -86,49 +125,191 @@ def _two_batches(spark, sf_dir):
 
 @query("incremental_outcomes", DAILY_OUTCOMES_SQL)
 def incremental_outcomes(spark, sf_dir):
-    tables = _two_batches(spark, sf_dir)
-    return spark.read.parquet(tables.path("daily_h3_outcomes")).select(OUTCOME_COLUMNS)
+    return _two_batches(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)
 
 
 @query("incremental_training", DAILY_TRAINING_SQL)
 def incremental_training(spark, sf_dir):
-    tables = _two_batches(spark, sf_dir)
-    return spark.read.parquet(tables.path("daily_h3_training_dataset")).select(TRAINING_COLUMNS)
+    return _two_batches(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
+
+
+@query("incremental_predictions", sql(
+    *CONFIRM, ALERTS, REGULAR, *NEIGHBORS,
+    select=f"""SELECT {PREDICTION_SELECT.removeprefix("seq, ")} FROM
+  (SELECT * FROM alerts UNION ALL BY NAME SELECT * FROM reg UNION ALL BY NAME SELECT * FROM nb)""",
+))
+def incremental_predictions(spark, sf_dir):
+    return _two_batches(spark, sf_dir).predictions.read(spark).select(PREDICTION_COLUMNS)
+
+
+@query(
+    "incremental_snapshots",
+    sql(*SCORED, select=f"SELECT {SNAPSHOT_SELECT} FROM snap WHERE seq IN (SELECT seq FROM sc)"),
+)
+def incremental_snapshots(spark, sf_dir):
+    return _two_batches(spark, sf_dir).snapshots.read(spark).select(SNAPSHOT_COLUMNS)
+
+
+# ---- the whole job from JSON text with coordinates to its five tables ----
+
+# The log in arrival order: the newest broker time of a topic partition so far, then topic, partition and offset.
+_LOG = f"""given AS ({EV.removeprefix("ev AS (").removesuffix(")")}),
+log AS (
+  SELECT g.*, CASE WHEN event_type = 'error' THEN 2 WHEN event_type = 'purchase' THEN 3 ELSE 1 END AS topic,
+         CAST(substr(h3_cell, 2) AS BIGINT) % 4 AS part, seq // 64 - CASE WHEN k % 9 = 0 THEN 3 ELSE 0 END AS stamp
+  FROM given g),
+clocked AS (SELECT *, max(stamp) OVER (PARTITION BY topic, part ORDER BY seq) AS clock FROM log),
+ev AS (
+  SELECT * REPLACE (row_number() OVER (ORDER BY clock, topic, part, seq) AS seq) FROM clocked
+  QUALIFY k NOT IN (11, 15))"""
+_PARTS = [c if c is not EV else _LOG for c in CONFIRM]
+
+
+def _of_log(*ctes: str, select: str) -> str:
+    return sql(*_PARTS, *ctes, select=select)
+
+
+def _job_tables(spark, sf_dir):
+    """Two batches of records, decoded, located, scored, confirmed and written."""
+    job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
+    tables = Tables(scratch_path(spark, "job"))
+    records = materialise(with_arrival_order(dt.records(spark, sf_dir)), "records")
+    middle = records.agg(F.expr("(min(seq.clock) + max(seq.clock)) div 2")).first()[0]
+    for batch, part in enumerate((F.col("seq.clock") <= middle, F.col("seq.clock") > middle)):
+        write_batch(job, job.marked_rows_of(records.filter(part)), tables, batch)
+    return tables
+
+
+@query(
+    "job_snapshots",
+    _of_log(select=f"SELECT {SNAPSHOT_SELECT} FROM snap WHERE seq IN (SELECT seq FROM sc)"),
+)
+def job_snapshots(spark, sf_dir):
+    return _job_tables(spark, sf_dir).snapshots.read(spark).select(SNAPSHOT_COLUMNS)
+
+
+@query("job_predictions", _of_log(
+    ALERTS, REGULAR, *NEIGHBORS,
+    select=f"""SELECT {PREDICTION_SELECT.removeprefix("seq, ")} FROM
+  (SELECT * FROM alerts UNION ALL BY NAME SELECT * FROM reg UNION ALL BY NAME SELECT * FROM nb)""",
+))
+def job_predictions(spark, sf_dir):
+    return _job_tables(spark, sf_dir).predictions.read(spark).select(PREDICTION_COLUMNS)
+
+
+@query("job_outcomes", DAILY_OUTCOMES_SQL.replace(EV, _LOG))
+def job_outcomes(spark, sf_dir):
+    return _job_tables(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)
+
+
+@query("job_training", DAILY_TRAINING_SQL.replace(EV, _LOG))
+def job_training(spark, sf_dir):
+    return _job_tables(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
+
+
+@query("job_quarantine", _of_log(
+    ALERTS, *NEIGHBORS,
+    select="""SELECT stage, reason, source, count(*) AS n_rows FROM (
+  SELECT 'decode' AS stage, CASE k WHEN 11 THEN 'malformed_json' ELSE 'missing_key' END AS reason,
+         CASE topic WHEN 1 THEN 'meteo' WHEN 2 THEN 'sensor' ELSE 'fire' END AS source
+  FROM clocked WHERE k IN (11, 15)
+  UNION ALL SELECT 'static', 'no_static', 'meteo' FROM weather WHERE h3_cell NOT IN (SELECT h3_cell FROM st)
+  UNION ALL SELECT 'encoder', 'unknown_cell', 'meteo' FROM snap WHERE h3_commune NOT IN (SELECT class FROM enc)
+  UNION ALL SELECT 'neighbor', 'unknown_cell', 'meteo' FROM spread WHERE h3_commune NOT IN (SELECT class FROM enc))
+GROUP BY ALL""",
+))
+def job_quarantine(spark, sf_dir):
+    rows = _job_tables(spark, sf_dir).quarantine.read(spark)
+    return rows.groupBy("stage", "reason", "source").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("job_counts", sql(EV, select="SELECT count(*) AS n_in, count(*) AS n_out FROM ev"))
+def job_counts(spark, sf_dir):
+    """Records in, and rows kept plus rows in quarantine; nothing gets lost between the two."""
+    job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
+    records = with_arrival_order(dt.records(spark, sf_dir))
+    rows = job.marked_rows_of(records)
+    kept = rows.agg(F.count_if(F.col("stage").isNull()).alias("kept"), F.count("stage").alias("refused"))
+    counted = records.agg(F.count(F.lit(1)).alias("n_in"))
+    both = counted.withColumn("_", F.lit(1)).join(kept.withColumn("_", F.lit(1)), "_")
+    return both.select("n_in", (F.col("kept") + F.col("refused")).alias("n_out"))
+
+
+# ---- streams: three micro-batches at least, compared with the tables ----
 
 
 @query("stream_snapshots", sql(*BASE, SNAPSHOTS, select=f"SELECT {SNAPSHOT_SELECT} FROM snap"))
 def stream_snapshots(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "snapshots"), scratch_path(spark, "stream")
-    snapshots = dt.job(spark, sf_dir).snapshots(dt.weather(event_stream(spark, sf_dir)))
-    _finish(append_stream(snapshots.select(SNAPSHOT_COLUMNS), path, checkpoint, availableNow=True))
-    return spark.read.parquet(path).select(SNAPSHOT_COLUMNS)
+    table, checkpoint = Table(scratch_path(spark, "snapshots"), SNAPSHOT_SCHEMA), scratch_path(spark, "stream")
+    snapshots = dt.job(spark, sf_dir).snapshots(dt.weather(_events_arriving(spark, sf_dir)))
+    finish(append_stream(snapshots.select(SNAPSHOT_COLUMNS), table, checkpoint, availableNow=True))
+    return table.read(spark)
 
 
-@query("stream_keyed_outcomes", DAILY_OUTCOMES_SQL)
-def stream_keyed_outcomes(spark, sf_dir):
-    """Cell state in the state store; the outcome log is written and then reduced."""
-    path, checkpoint = scratch_path(spark, "outcomes"), scratch_path(spark, "stream")
-    walked = keyed_timeline(_rows(dt.job(spark, sf_dir), event_stream(spark, sf_dir)))
-    _finish(append_stream(confirm.outcome_log(walked), path, checkpoint, availableNow=True))
-    log = spark.read.parquet(path)
-    return confirm.latest_per_key(log, ["h3_cell", "event_date"], ["seq", "sub"]).select(OUTCOME_COLUMNS)
+@query(
+    "stream_json_text",
+    sql(
+        EV,
+        select=f"""SELECT h3_cell, event_time, {day()}, round(value + 400, 6) + 0.0 AS co2,
+  CAST(100 - k AS DOUBLE) AS battery FROM ev WHERE event_type = 'error'""",
+    ),
+)
+def stream_json_text(spark, sf_dir):
+    """Lines of JSON text from a folder, decoded as they arrive."""
+    sensors = dt.sensors(dt.events(spark, sf_dir)).withColumns(
+        {"alert_level": F.lit(None).cast("string"), "fire_related": F.lit(None).cast("boolean")}
+    )
+    folder, low = scratch_path(spark, "lines"), sensors.agg(F.min("seq"), F.max("seq")).first()
+    for i in range(STEPS):
+        a, b = (low[0] + (low[1] + 1 - low[0]) * k // STEPS for k in (i, i + 1))
+        lines = sensors.filter((F.col("seq") >= a) & (F.col("seq") < b)).select(dt.event_json("sensor"))
+        lines.coalesce(1).write.mode("append").text(folder)
+    typed = require_keys(accepted(decode_events(json_file_events(spark, folder, max_files=1), "sensor")))
+    kept = typed.select("h3_cell", "event_time", "event_date", "co2", "battery")
+    table = Table(scratch_path(spark, "typed"), kept.schema)
+    finish(append_stream(kept, table, scratch_path(spark, "stream"), availableNow=True))
+    return table.read(spark)
 
 
-@query("stream_keyed_training", DAILY_TRAINING_SQL)
-def stream_keyed_training(spark, sf_dir):
-    path, checkpoint = scratch_path(spark, "training"), scratch_path(spark, "stream")
-    walked = keyed_timeline(_rows(dt.job(spark, sf_dir), event_stream(spark, sf_dir)))
-    _finish(append_stream(confirm.training_log(walked), path, checkpoint, availableNow=True))
-    log = spark.read.parquet(path)
-    return confirm.latest_per_key(log, ["h3_cell", "event_date"], ["seq"]).select(TRAINING_COLUMNS)
+def _stream_tables(spark, sf_dir):
+    job, tables = dt.job(spark, sf_dir), Tables(scratch_path(spark, "job"))
+    rows = _rows(job, _events_arriving(spark, sf_dir))
+    finish(confirm_batches(job, rows, tables, scratch_path(spark, "stream"), availableNow=True))
+    return tables
 
 
 @query("stream_batch_outcomes", DAILY_OUTCOMES_SQL)
 def stream_batch_outcomes(spark, sf_dir):
-    job, tables = dt.job(spark, sf_dir), Tables(scratch_path(spark, "job"))
-    rows = _rows(job, event_stream(spark, sf_dir))
-    _finish(confirm_batches(job, rows, tables, scratch_path(spark, "stream"), availableNow=True))
-    return spark.read.parquet(tables.path("daily_h3_outcomes")).select(OUTCOME_COLUMNS)
+    return _stream_tables(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)
+
+
+@query("stream_batch_training", DAILY_TRAINING_SQL)
+def stream_batch_training(spark, sf_dir):
+    return _stream_tables(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
+
+
+def _restarted_tables(spark, sf_dir):
+    """The stream of records stops after some micro-batches and goes on from its checkpoint; tables are folded."""
+    job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
+    tables, checkpoint = Tables(scratch_path(spark, "job")), scratch_path(spark, "stream")
+    records = materialise(with_arrival_order(dt.records(spark, sf_dir)).withColumn("at", F.col("seq.clock")), "records")
+    path, columns = scratch_path(spark, "log"), [c.split(" ")[0] for c in RECORD_SCHEMA.split(", ")]
+    for start, stop in ((0, STEPS - 1), (STEPS - 1, STEPS)):
+        # The column of the cut stays in the files; the stream does not read it.
+        arriving(records.select(*columns, "at"), "at", path, start, stop)
+        stream = table_stream(spark, path, RECORD_SCHEMA, max_files=1)
+        finish(confirm_records(job, stream, tables, checkpoint, fold_every=1, availableNow=True), stop - start)
+    return tables
+
+
+@query("stream_restart_outcomes", DAILY_OUTCOMES_SQL.replace(EV, _LOG))
+def stream_restart_outcomes(spark, sf_dir):
+    return _restarted_tables(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)
+
+
+@query("stream_restart_training", DAILY_TRAINING_SQL.replace(EV, _LOG))
+def stream_restart_training(spark, sf_dir):
+    return _restarted_tables(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
 
 
 @query(
@@ -145,13 +326,13 @@ WHERE window_end <= (SELECT max(event_time) - 3600000 FROM uni)""",
 def stream_windows(spark, sf_dir):
     """Windows the watermark has closed; the last day stays open."""
     path, checkpoint = scratch_path(spark, "windows"), scratch_path(spark, "stream")
-    ev, static = event_stream(spark, sf_dir), dt.static(spark, sf_dir)
+    ev, static = _events_arriving(spark, sf_dir), dt.static(spark, sf_dir)
     unified = (
-        unify_sensor(dt.sensors(ev), static, extra=("seq",))
-        .unionByName(unify_fire(dt.fires(ev), static, extra=("seq",)))
-        .unionByName(unify_weather(dt.weather(ev), static, extra=("seq",)))
+        unify_sensor(dt.sensors(ev), None, extra=("seq",))
+        .unionByName(unify_fire(dt.fires(ev), None, extra=("seq",)))
+        .unionByName(unify_weather(dt.weather(ev), None, extra=("seq",)))
     )
-    windows = aggregate.cell_windows(unified, watermark="1 hour")
+    windows = aggregate.cell_windows(unified, watermark="1 hour", static=static)
     running = (
         windows.writeStream.format("parquet")
         .outputMode("append")
@@ -159,8 +340,9 @@ def stream_windows(spark, sf_dir):
         .trigger(availableNow=True)
         .start(path)
     )
-    _finish(running)
+    finish(running)
     return spark.read.parquet(path).select(
         "h3_cell", "event_date", "window_start", "window_end", "fire_count", "sensor_count", "meteo_count", "avg_temp",
         "max_co2", "altitude_moy",
     )
+

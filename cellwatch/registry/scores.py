@@ -20,6 +20,7 @@ from cellwatch.registry.common import (
     scores,
     slot,
     sql,
+    z_score,
 )
 from cellwatch.schemas import PREDICTION_COLUMNS
 
@@ -190,25 +191,67 @@ def batch_model_scores(spark, sf_dir):
     return out.select("seq", "prediction", "risk_level", "p_ge_1")
 
 
-@query("spark_ml_scores")
-def spark_ml_scores(spark, sf_dir):
-    """Two Spark ML classifiers fitted on the risk classes, then used as the scorer."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
+# The same scores from a second model that often says more than the first.
+_STEEP = scores("snap", "sc").replace(f"(-({z_score('s')} - 0.4::DOUBLE))", f"(-(1.5::DOUBLE * {z_score('s')}))")
 
+
+@query(
+    "clamped_scores",
+    sql(
+        *BASE,
+        ENCODER,
+        SNAPSHOTS,
+        _STEEP,
+        select="""SELECT seq, prediction, round(probability, 6) + 0.0 AS probability, round(p2, 6) + 0.0 AS class_2,
+  round(p1 - p2, 6) + 0.0 AS class_1, raw2 > p1 AS clamped FROM sc""",
+    ),
+)
+def clamped_scores(spark, sf_dir):
     coded = encode.known(encode.encode_strict(snapshots(spark, sf_dir), dt.encoder(spark, sf_dir)))
-    rows = scoring.feature_vector(coded)
-    labelled = scoring.ordinal_classes(dt.SCORER.apply(rows)).select(
-        array_to_vector(F.col("features").cast("array<double>")).alias("vector"), F.col("prediction").alias("level")
-    )
+    raw = dt.STEEP_SCORER.apply(scoring.feature_vector(coded)).withColumn("clamped", F.col("p_ge_2") > F.col("p_ge_1"))
+    return scoring.ordinal_classes(raw).select("seq", "prediction", "probability", "class_2", "class_1", "clamped")
+
+
+_SCORELESS = f"{real('humidity_min')} >= 30"
 
-    def fit(at_least: int):
-        target = labelled.withColumn("y", (F.col("level") >= at_least).cast("double"))
-        return LogisticRegression(featuresCol="vector", labelCol="y", maxIter=10).fit(target)
 
-    scorer = scoring.SparkMlScorer(fit(1), fit(2))
-    out = scoring.ordinal_classes(scorer.apply(rows))
-    return out.select("seq", "prediction", "risk_level", "p_ge_1", "p_ge_2")
+@query(
+    "scoreless_rows",
+    sql(
+        *SCORED,
+        select=f"""SELECT s.seq, CASE WHEN sc.seq IS NULL THEN 'unknown_cell' WHEN NOT {_SCORELESS.replace("humidity_min", "s.humidity_min")}
+    THEN 'no_score' END AS reason, CASE WHEN {_SCORELESS.replace("humidity_min", "s.humidity_min")} THEN sc.prediction END AS prediction
+FROM snap s LEFT JOIN sc ON sc.seq = s.seq""",
+    ),
+)
+def scoreless_rows(spark, sf_dir):
+    """A scorer that gives null for dry air: those rows are kept apart with a reason."""
+    model = scoring.RiskModel(dt.encoder(spark, sf_dir), dt.PARTIAL_SCORER)
+    blank = F.lit(None).cast("string")
+    marked = model.predict_marked(snapshots(spark, sf_dir).withColumns({"stage": blank, "reason": blank}))
+    return marked.select("seq", "reason", "p.prediction")
+
+
+@query(
+    "scores_without_nulls",
+    sql(*SCORED, select=f"SELECT seq, prediction FROM sc WHERE {_SCORELESS}"),
+)
+def scores_without_nulls(spark, sf_dir):
+    model = scoring.RiskModel(dt.encoder(spark, sf_dir), dt.PARTIAL_SCORER)
+    return model.predict_regular(snapshots(spark, sf_dir)).select("seq", "p.prediction")
+
+
+@query(
+    "fire_trigger_scores",
+    sql(
+        *SCORED,
+        select="""SELECT seq, prediction, risk_level, CASE WHEN prediction = 0 THEN 1 ELSE 0 END AS suspected_voluntary
+FROM sc""",
+    ),
+)
+def fire_trigger_scores(spark, sf_dir):
+    scored = dt.model(spark, sf_dir).predict(snapshots(spark, sf_dir), "fire")
+    return scored.select("seq", "p.prediction", "p.risk_level", "p.suspected_voluntary")
 
 
 # ---- requests and responses ----

@@ -1,14 +1,14 @@
-"""Queries over windows, payloads, scenario plans and history."""
+"""Queries over windows, payloads and history."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellwatch.operators import aggregate, assignment, enrich, history
+from cellwatch.operators import aggregate, enrich, history
 from cellwatch.plans import driver_tables as dt
 from cellwatch.plans.risk import snapshot_scores
 from cellwatch.registry.common import BASE, CELLS, ENCODER, EV, UNIFIED, calendar, day, num, query, scores, slot, sql
-from cellwatch.registry.inputs import SNAPSHOT_SELECT, unified
+from cellwatch.registry.inputs import SNAPSHOT_SELECT, unified, unified_alone
 from cellwatch.schemas import METADATA_COLUMNS, PREDICTION_COLUMNS, STATIC_COLUMNS
 from cellwatch.sources import payload
 
@@ -25,8 +25,8 @@ WINDOWS = f"""win AS (
          coalesce(sum(precipitation), 0.0) AS total_precipitation_7d,
          count(*) FILTER (source_type = 'sensor') AS sensor_count, avg(co2) AS avg_co2, max(co2) AS max_co2,
          avg(smoke) AS avg_smoke, max(smoke) AS max_smoke, avg(sensor_temperature) AS avg_sensor_temp,
-         max(sensor_temperature) AS max_sensor_temp, min(battery) AS min_battery, NULL::DOUBLE AS avg_lat,
-         NULL::DOUBLE AS avg_lon, {_STATIC_MAX}
+         max(sensor_temperature) AS max_sensor_temp, min(battery) AS min_battery, avg(lat) AS avg_lat,
+         avg(lon) AS avg_lon, {_STATIC_MAX}
   FROM uni u LEFT JOIN st ON st.h3_cell = u.h3_cell
   GROUP BY u.h3_cell, u.event_time // 86400000)"""
 _WIN_NUM = num(
@@ -41,7 +41,39 @@ _WIN_SELECT = f"""w.h3_cell, {day(of="w.")}, w.window_start, w.window_end, w.fir
 
 @query("cell_windows", sql(*BASE, UNIFIED, WINDOWS, select=f"SELECT {_WIN_SELECT} FROM win w"))
 def cell_windows(spark, sf_dir):
-    return aggregate.cell_windows(unified(spark, sf_dir))
+    return aggregate.cell_windows(unified_alone(spark, sf_dir), static=dt.static(spark, sf_dir))
+
+
+def changing_static(spark, sf_dir):
+    """Events that carry static values of their own, which change and are missing now and then."""
+    k = F.col("k").cast("double")
+    own = {c: F.when(F.col("k") % (i + 2) == 0, k * (i + 1)) for i, c in enumerate(STATIC_COLUMNS)}
+    ev = dt.events(spark, sf_dir)
+    values = ev.select("seq", *[v.alias(c) for c, v in own.items()])
+    parts = [
+        enrich.unify_weather(dt.weather(ev).join(values, "seq"), None, extra=("seq",)),
+        enrich.unify_sensor(dt.sensors(ev).join(values, "seq"), None, extra=("seq",)),
+        enrich.unify_fire(dt.fires(ev).join(values, "seq"), None, extra=("seq",)),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_LAST_KNOWN = ", ".join(
+    f"round(arg_max(CAST(k AS DOUBLE) * {i + 1}, seq) FILTER (k % {i + 2} = 0), 6) + 0.0 AS {c}"
+    for i, c in enumerate(STATIC_COLUMNS)
+)
+
+
+@query(
+    "window_last_static",
+    sql(
+        EV,
+        select=f"""SELECT h3_cell, event_time // 86400000 * 86400000 AS window_start, {_LAST_KNOWN} FROM ev
+GROUP BY h3_cell, event_time // 86400000""",
+    ),
+)
+def window_last_static(spark, sf_dir):
+    return aggregate.cell_windows(changing_static(spark, sf_dir)).select("h3_cell", "window_start", *STATIC_COLUMNS)
 
 
 @query(
@@ -57,7 +89,7 @@ FROM win w LEFT JOIN (SELECT 'u' || c_custkey AS cell, * FROM customer JOIN nati
     ),
 )
 def cell_windows_described(spark, sf_dir):
-    windows = aggregate.cell_windows(unified(spark, sf_dir))
+    windows = cell_windows(spark, sf_dir)
     described = enrich.with_metadata(windows, dt.metadata(spark, sf_dir))
     return described.select(*windows.columns, *METADATA_COLUMNS)
 
@@ -77,7 +109,7 @@ def _window_snapshots(bound: str) -> str:
     sql(*BASE, UNIFIED, WINDOWS, _window_snapshots("window_end"), select=f"SELECT {SNAPSHOT_SELECT} FROM snap"),
 )
 def window_snapshots(spark, sf_dir):
-    return aggregate.window_snapshots(aggregate.cell_windows(unified(spark, sf_dir)))
+    return aggregate.window_snapshots(cell_windows(spark, sf_dir))
 
 
 @query(
@@ -85,7 +117,7 @@ def window_snapshots(spark, sf_dir):
     sql(*BASE, UNIFIED, WINDOWS, _window_snapshots("window_start"), select=f"SELECT {SNAPSHOT_SELECT} FROM snap"),
 )
 def window_snapshots_by_start(spark, sf_dir):
-    return aggregate.window_snapshots(aggregate.cell_windows(unified(spark, sf_dir)), date_from="start")
+    return aggregate.window_snapshots(cell_windows(spark, sf_dir), date_from="start")
 
 
 @query(
@@ -97,16 +129,27 @@ def window_snapshots_by_start(spark, sf_dir):
         ENCODER,
         _window_snapshots("window_end"),
         scores("snap", "sc"),
-        select=f"""SELECT h3_cell, event_time, {day()}, prediction, risk_level, 0 AS suspected_voluntary,
-  NULL::VARCHAR AS trigger_type FROM sc""",
+        select=f"""SELECT h3_cell, event_time, {day()}, prediction, round(probability, 6) + 0.0 AS probability, risk_level,
+  0 AS suspected_voluntary, NULL::VARCHAR AS trigger_type, NULL::VARCHAR AS trigger_source,
+  NULL::BOOLEAN AS is_neighbor_prediction, NULL::VARCHAR AS trigger_h3_cell, NULL::BOOLEAN AS confirmed_alert,
+  NULL::BOOLEAN AS fire_observed, NULL::BOOLEAN AS sensor_confirmed, NULL::BIGINT AS confirmation_time,
+  NULL::VARCHAR AS prediction_slot FROM sc""",
     ),
 )
 def window_scores(spark, sf_dir):
-    snapshots = aggregate.window_snapshots(aggregate.cell_windows(unified(spark, sf_dir)))
+    snapshots = aggregate.window_snapshots(cell_windows(spark, sf_dir))
     _, scored = snapshot_scores(snapshots, dt.model(spark, sf_dir))
-    return scored.select(
-        "h3_cell", "event_time", "event_date", "prediction", "risk_level", "suspected_voluntary", "trigger_type"
-    )
+    return scored
+
+
+@query(
+    "window_kept",
+    sql(*BASE, UNIFIED, WINDOWS, _window_snapshots("window_end"), select=f"SELECT {SNAPSHOT_SELECT} FROM snap"),
+)
+def window_kept(spark, sf_dir):
+    """The snapshot side of lenient scoring: a window that has no score stays."""
+    kept, _ = snapshot_scores(aggregate.window_snapshots(cell_windows(spark, sf_dir)), dt.model(spark, sf_dir))
+    return kept
 
 
 # ---- stored payloads: each order carries three days of daily and six-hourly values ----
@@ -180,67 +223,6 @@ def payload_day(spark, sf_dir):
     return payload.payload_day(payloads(spark, sf_dir), ["o_orderkey"], wanted, fallback)
 
 
-@query(
-    "slot_fanout",
-    "WITH "
-    + _FLAT
-    + f""" SELECT o_orderkey, {day()}, h AS slot_hour, {num("temperature")},
-  (event_date - DATE '1970-01-01')::BIGINT * 86400000 + (h - 1) * 3600000 AS event_time
-FROM measured, (SELECT unnest([8, 14, 20]) AS h)""",
-)
-def slot_fanout(spark, sf_dir):
-    daily = payload.flatten_payload(payloads(spark, sf_dir), ["o_orderkey"])
-    return payload.fan_out_slots(daily).select("o_orderkey", "event_date", "slot_hour", "temperature", "event_time")
-
-
-# ---- scenario plans ----
-
-_PLAN = """days AS (SELECT DISTINCT CAST(ts AS DATE) AS event_date FROM events),
-pool AS (
-  SELECT h3_cell, event_date, count(*) OVER (PARTITION BY event_date) AS total,
-         row_number() OVER (PARTITION BY event_date ORDER BY md5(h3_cell || '|' || event_date || '|42'), h3_cell) AS r
-  FROM (SELECT DISTINCT 'u' || user_id AS h3_cell, CAST(ts AS DATE) AS event_date FROM events)),
-sel AS (SELECT *, greatest(1, ceil(total * 0.05)) AS n FROM pool),
-plan AS (
-  SELECT h3_cell, event_date, CASE WHEN r > n THEN 'NORMAL'
-    WHEN r <= greatest(1, floor(n * 0.5 + 0.5)) THEN 'SENSOR_ONLY'
-    WHEN r <= greatest(1, floor(n * 0.5 + 0.5)) + greatest(1, floor(n * 0.3 + 0.5)) THEN 'SENSOR_AND_FIRE'
-    WHEN r <= greatest(1, floor(n * 0.5 + 0.5)) + greatest(1, floor(n * 0.3 + 0.5))
-      + greatest(1, floor(n * 0.1 + 0.5)) THEN 'FIRE_ONLY' ELSE 'VOLUNTARY' END AS scenario
-  FROM sel)"""
-
-
-def plan(spark, sf_dir):
-    cells = dt.events(spark, sf_dir).select("h3_cell", "event_date").distinct()
-    return assignment.assign_scenarios(cells)
-
-
-@query("scenario_plan", "WITH " + _PLAN + f" SELECT h3_cell, {day()}, scenario FROM plan")
-def scenario_plan(spark, sf_dir):
-    return plan(spark, sf_dir)
-
-
-@query(
-    "scenario_counts",
-    "WITH " + _PLAN + f" SELECT {day()}, scenario, count(*) AS n_cells FROM plan GROUP BY ALL",
-)
-def scenario_counts(spark, sf_dir):
-    return assignment.count_by_type(plan(spark, sf_dir))
-
-
-@query(
-    "scenario_lookup",
-    "WITH "
-    + _PLAN
-    + """, lost AS (SELECT * FROM plan WHERE scenario <> 'FIRE_ONLY')
-SELECT event_id AS seq, coalesce(scenario, 'NORMAL') AS scenario FROM events e
-LEFT JOIN lost ON h3_cell = 'u' || user_id AND event_date = CAST(ts AS DATE)""",
-)
-def scenario_lookup(spark, sf_dir):
-    known = plan(spark, sf_dir).filter("scenario <> 'FIRE_ONLY'")
-    return assignment.with_scenario(dt.events(spark, sf_dir), known).select("seq", "scenario")
-
-
 # ---- history ----
 
 

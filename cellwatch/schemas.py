@@ -58,10 +58,12 @@ STATIC_COLUMNS = [
 # Descriptive columns of the cell metadata dimension.
 METADATA_COLUMNS = ["wilaya", "daira", "commune", "nom_foret_ou_lieu_dit", "essence_principale"]
 
+# Measures of the unified events, by source.
 WEATHER_MEASURES = ["temperature", "humidity", "wind_speed", "precipitation", "soil_moisture", "vpd"]
 SENSOR_MEASURES = ["co2", "smoke", "sensor_temperature", "battery"]
 FIRE_MEASURES = {"fire_declared": "int", "intensity": "double", "burned_area": "double"}
 
+# Columns of unified events.
 UNIFIED_SCHEMA = T.StructType(
     [
         T.StructField("source_type", T.StringType()),
@@ -79,6 +81,7 @@ UNIFIED_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the snapshot table.
 SNAPSHOT_SCHEMA = T.StructType(
     [
         T.StructField("h3_cell", T.StringType()),
@@ -112,6 +115,7 @@ SNAPSHOT_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the prediction table.
 PREDICTION_SCHEMA = T.StructType(
     [
         T.StructField("h3_cell", T.StringType()),
@@ -133,6 +137,7 @@ PREDICTION_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the daily outcome table.
 OUTCOME_SCHEMA = T.StructType(
     [
         T.StructField("h3_cell", T.StringType()),
@@ -153,6 +158,7 @@ OUTCOME_SCHEMA = T.StructType(
 
 _TRAINING_FEATURES = [f for f in SNAPSHOT_SCHEMA.fields if f.name not in ("h3_cell", "event_time", "event_date")]
 
+# Columns of the daily training table.
 TRAINING_SCHEMA = T.StructType(
     [
         T.StructField("h3_cell", T.StringType()),
@@ -173,3 +179,18 @@ SNAPSHOT_COLUMNS = SNAPSHOT_SCHEMA.fieldNames()
 PREDICTION_COLUMNS = PREDICTION_SCHEMA.fieldNames()
 OUTCOME_COLUMNS = OUTCOME_SCHEMA.fieldNames()
 TRAINING_COLUMNS = TRAINING_SCHEMA.fieldNames()
+
+# Rows that a job refuses: where, why, and what is left of them.
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("stage", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("h3_cell", T.StringType()),
+        T.StructField("event_date", T.DateType()),
+        T.StructField("event_time", T.LongType()),
+        T.StructField("seq", T.StringType()),
+        T.StructField("raw", T.StringType()),
+    ]
+)
+QUARANTINE_COLUMNS = QUARANTINE_SCHEMA.fieldNames()

@@ -1,12 +1,22 @@
-"""Output tables: appends that a replay does not double, and upserts.
-
-Tables are Parquet folders partitioned by ``event_date``. All writes are
-partition overwrites, so a task or a whole batch can be run again.
+"""Output tables that survive crashes, repeated batches and new checkpoints.
+
+A table is a folder with two parts. ``data/run=R/batch=N`` holds the rows of
+one batch of one run; ``commits`` is a small Parquet table with a row per
+finished batch. Writing a batch replaces its own data folder and then adds the
+commit row; readers see committed folders only. So whatever step a job dies in,
+the batch is either there or not, and running it again gives the same table.
+Nothing that is committed is ever rewritten in place.
+
+A run is a checkpoint: batch numbers start again with a new one, and its rows
+go next to those of earlier runs. Keyed tables take deltas and read the newest
+row per key, so an upsert never reads what is stored. ``compact`` folds a
+table into one commit and then removes what that replaces.
 """
 
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +25,7 @@ from pyspark.sql import functions as F
 from cellwatch.operators.confirm import latest_per_key
 
 DATE = "event_date"
-
-
-def _overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Rows are gathered by date first, so a date becomes few files; AQE splits a large one."""
-    by_date = df.hint("rebalance", DATE)
-    by_date.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-
-
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch. Its rows live in their own partitions, so a replay replaces them."""
-    _overwrite_partitions(df.withColumn("batch_id", F.lit(batch_id)), path, DATE, "batch_id")
+COMMITS = "run string, batch bigint, place bigint, replaces bigint"
 
 
 def read_if_present(spark: SparkSession, path: str, schema) -> DataFrame | None:
@@ -37,49 +37,106 @@ def read_if_present(spark: SparkSession, path: str, schema) -> DataFrame | None:
         raise
 
 
-def upsert_batch(df: DataFrame, path: str, staging: str, batch_id: int, keys: tuple = ("h3_cell", DATE)) -> None:
-    """Replace stored rows by new ones with the same key.
-
-    ``df`` has one row per key. Only the date partitions it touches are read
-    and rewritten; the driver sees just their dates. The merged partitions are staged first, because a table
-    cannot be overwritten while it is being read; if the job dies in between,
-    running the batch again gives the same table.
-    """
-    spark = df.sparkSession
-    merged = df.select("*", F.lit(1).alias("_new"))
-    stored = read_if_present(spark, path, df.schema)
-    if stored is not None:
-        touched = [r[0] for r in df.select(DATE).distinct().collect()]
-        old = stored.filter(F.col(DATE).isin(touched)).select(*df.columns, F.lit(0).alias("_new"))
-        merged = merged.unionByName(old)
-    rows = latest_per_key(merged, list(keys), ["_new"]).drop("_new")
-    staged = os.path.join(staging, f"batch={batch_id}")
-    rows.write.mode("overwrite").parquet(staged)
-    _overwrite_partitions(spark.read.schema(df.schema).parquet(staged), path, DATE)
-
-
-def write_console(stream: DataFrame, rows: int = 20):
-    """Print a stream, for watching a job."""
-    return stream.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+def _remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@dataclass(frozen=True)
+class Table:
+    """A table under ``root``; with ``keys`` the newest row of a key counts."""
+
+    root: str
+    schema: object
+    keys: tuple[str, ...] = ()
+
+    def _data(self, run: str, batch: int) -> str:
+        return os.path.join(self.root, "data", f"run={run}", f"batch={batch}")
+
+    def commits(self, spark: SparkSession) -> DataFrame:
+        """One row per batch that counts: its run, number and place in the order of commits.
+
+        A batch that was committed again keeps its first place, and commits
+        that a later one replaces are gone.
+        """
+        log = read_if_present(spark, os.path.join(self.root, "commits"), COMMITS)
+        if log is None:
+            return spark.createDataFrame([], COMMITS)
+        kept = log.groupBy("run", "batch").agg(F.min("place").alias("place"), F.max("replaces").alias("replaces"))
+        newest = kept.agg(F.max("replaces")).first()[0]
+        if newest is None:
+            return kept
+        # A folded commit stands where the last commit that it replaces stood.
+        return kept.filter(
+            (F.col("replaces") == newest) | (F.col("replaces").isNull() & (F.col("place") > newest))
+        ).withColumn("place", F.coalesce("replaces", "place"))
+
+    def has(self, spark: SparkSession, run: str, batch: int) -> bool:
+        """Whether the batch was committed, folded into a later commit or not."""
+        log = read_if_present(spark, os.path.join(self.root, "commits"), COMMITS)
+        return log is not None and not log.filter((F.col("run") == run) & (F.col("batch") == batch)).isEmpty()
+
+    def write(self, df: DataFrame, run: str, batch: int, replaces: int | None = None) -> None:
+        """Write one batch and commit it. ``df`` of a keyed table has one row per key."""
+        spark = df.sparkSession
+        df.hint("rebalance").write.mode("overwrite").parquet(self._data(run, batch))
+        self._commit(spark, run, batch, replaces)
+
+    def _commit(self, spark: SparkSession, run: str, batch: int, replaces: int | None) -> None:
+        log = read_if_present(spark, os.path.join(self.root, "commits"), COMMITS)
+        mine, last = None, 0
+        if log is not None:
+            same = (F.col("run") == run) & (F.col("batch") == batch)
+            mine, last = log.agg(F.min(F.when(same, F.col("place"))), F.coalesce(F.max("place"), F.lit(0))).first()
+        if mine is None:
+            row = spark.createDataFrame([(run, batch, last + 1, replaces)], COMMITS)
+            row.coalesce(1).write.mode("append").parquet(os.path.join(self.root, "commits"))
+
+    def _rows(self, spark: SparkSession, run: str | None = None, before: int | None = None) -> DataFrame:
+        """Stored rows with ``_place``; of one run and its batches before a number where given."""
+        commits = self.commits(spark)
+        if run is not None:
+            known = commits.filter((F.col("run") == run) & (F.col("batch") == before)).agg(F.min("place")).first()[0]
+            commits = commits if known is None else commits.filter(F.col("place") < known)
+        listed = commits.collect()  # a row per commit since the last compaction
+        parts = [
+            spark.read.schema(self.schema).parquet(self._data(r["run"], r["batch"])).withColumn("_place", F.lit(r["place"]))
+            for r in listed
+        ]
+        if not parts:
+            return spark.createDataFrame([], self.schema).withColumn("_place", F.lit(0).cast("bigint"))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return rows
+
+    def read(self, spark: SparkSession, run: str | None = None, before: int | None = None) -> DataFrame:
+        """The table's rows, or what it held before a batch of a run."""
+        rows = self._rows(spark, run, before)
+        if self.keys:
+            rows = latest_per_key(rows, list(self.keys), ["_place"])
+        return rows.drop("_place")
+
+    def compact(self, spark: SparkSession, run: str, batch: int) -> None:
+        """Fold the commits before this batch into one, then remove the folders that it replaces.
+
+        The batch itself stays apart, so it can be run again after the fold.
+        """
+        commits = self.commits(spark)
+        mine = commits.filter((F.col("run") == run) & (F.col("batch") == batch)).agg(F.min("place")).first()[0]
+        old = [] if mine is None else commits.filter(F.col("place") < mine).collect()
+        if len(old) < 2:
+            return
+        name = f"{run}-folded"
+        self.write(self.read(spark, run, batch), name, batch, max(r["place"] for r in old))
+        for r in old:
+            _remove(spark, self._data(r["run"], r["batch"]))
 
 
 # How many rows a database insert sends at once.
 JDBC_BATCH_ROWS = 20
 
 
-def append_jdbc(df: DataFrame, url: str, table: str, batch_rows: int = JDBC_BATCH_ROWS, **options: str) -> None:
-    """Append to a database table; needs its JDBC driver on the class path."""
-    (
-        df.write.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("batchsize", batch_rows)
-        .options(**options)
-        .mode("append")
-        .save()
-    )
-
-
 def upsert_statement(table: str, staged: str, columns: list[str], keys: tuple = ("h3_cell", DATE)) -> str:
     """SQL that moves rows appended to a staged table into a keyed table."""
     names = ", ".join(columns)

@@ -83,11 +83,15 @@ def require_keys(df: DataFrame, cell: str = "h3_cell") -> DataFrame:
     return df.dropna(subset=[cell, "event_date", "event_time"])
 
 
-def encode_events(df: DataFrame, kind: str, key: str = "h3_cell") -> DataFrame:
-    """Rows back to keyed JSON text; null fields are left out of the object."""
-    fields = EVENT_FIELDS[kind]
+def event_json(kind: str) -> Column:
+    """The JSON text of a typed event row; null fields are left out of the object."""
     members = []
-    for f, t in fields.items():
+    for f, t in EVENT_FIELDS[kind].items():
         column = F.col(COLUMN_NAMES.get(f, f))
         members.append((F.date_format(column, "yyyy-MM-dd") if t == "date" else column).alias(f))
-    return df.select(F.col(key).alias("key"), F.to_json(F.struct(*members)).alias("value"))
+    return F.to_json(F.struct(*members))
+
+
+def encode_events(df: DataFrame, kind: str, key: str = "h3_cell") -> DataFrame:
+    """Rows back to keyed JSON text."""
+    return df.select(F.col(key).alias("key"), event_json(kind).alias("value"))

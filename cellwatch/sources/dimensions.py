@@ -7,24 +7,38 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.operators.confirm import latest_per_key
 from cellwatch.schemas import STATIC_COLUMNS
 
 
+def one_per_cell(df: DataFrame, order: Column | None = None) -> DataFrame:
+    """One row per cell: the last by ``order``, and of equal ones the largest by its columns."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    rank = row if order is None else F.struct(order, row)
+    return (
+        df.filter("h3_cell is not null")
+        .groupBy("h3_cell")
+        .agg(F.max_by(row, rank).alias("_row"))
+        .select(*[F.col(f"_row.{c}").alias(c) for c in df.columns])
+    )
+
+
 def static_numeric(df: DataFrame, order: Column | None = None) -> DataFrame:
     """The cell dimension, one row per cell; the last row wins where given an order."""
-    picked = df.filter("h3_cell is not null")
-    columns = ["h3_cell", *[F.col(c).cast("double").alias(c) for c in STATIC_COLUMNS]]
+    columns = [F.col("h3_cell"), *[F.col(c).cast("double").alias(c) for c in STATIC_COLUMNS]]
     if order is None:
-        return picked.select(*columns).dropDuplicates(["h3_cell"])
-    ordered = picked.select(*columns, order.alias("_order"))
-    return latest_per_key(ordered, ["h3_cell"], ["_order"]).drop("_order")
+        return one_per_cell(df.select(*columns))
+    return one_per_cell(df.select(*columns, order.alias("_order")), F.col("_order")).drop("_order")
+
 
+def read_static_jdbc(
+    spark: SparkSession, url: str, order: str, table: str = "h3_static_numeric", **options: str
+) -> DataFrame:
+    """The dimension from a database table, the last row per cell by the column ``order``.
 
-def read_static_jdbc(spark: SparkSession, url: str, table: str = "h3_static_numeric", **options: str) -> DataFrame:
-    """The dimension from a database table; needs its JDBC driver on the class path."""
+    Needs the database's JDBC driver on the class path.
+    """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    return static_numeric(reader.options(**options).load())
+    return static_numeric(reader.options(**options).load(), F.col(order))
 
 
 def parse_cell_list(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.functions.calendar import DAILY_HOURS, local_hour_epoch, strict_date
+from cellwatch.functions.calendar import strict_date
 from cellwatch.functions.scalars import round_half_up, rounded_element
 
 # Names of the payload members and the measures they give.
@@ -40,52 +40,63 @@ def daily_mean(date_text: Column, times: Column, values: Column) -> Column:
     return round_half_up(F.when(F.size(of_day) > 0, total / F.size(of_day)), 3)
 
 
+def _hourly_sums() -> Column:
+    """Map from a day to the sum and count of its hourly values, in one pass over them.
+
+    The readings are sorted by day and position, summed in a running total, and
+    a total is put away when the day changes.
+    """
+    pairs = F.arrays_zip(
+        F.coalesce("_p.hourly.time", F.array().cast("array<string>")).alias("t"),
+        F.coalesce(f"_p.hourly.{HOURLY_MEMBER}", F.array().cast("array<double>")).alias("v"),
+    )
+    readings = F.transform(
+        pairs, lambda p, i: F.struct(F.substring(p["t"], 1, 10).alias("day"), i.alias("i"), p["v"].alias("v"))
+    )
+    in_order = F.sort_array(F.filter(readings, lambda r: r["day"].isNotNull() & r["v"].isNotNull()))
+    day_type = "struct<key:string,value:struct<total:double,n:int>>"
+    start = F.struct(
+        F.lit(None).cast(day_type).alias("open"), F.array().cast(f"array<{day_type}>").alias("done")
+    )
+
+    def entry(day: Column, total: Column, n: Column) -> Column:
+        return F.struct(day.alias("key"), F.struct(total.alias("total"), n.alias("n")).alias("value"))
+
+    def add(acc: Column, r: Column) -> Column:
+        at = acc["open"]
+        same = at["key"] == r["day"]
+        more = entry(r["day"], at["value"]["total"] + r["v"], at["value"]["n"] + 1)
+        put_away = F.when(at.isNull() | same, acc["done"]).otherwise(F.concat(acc["done"], F.array(at)))
+        return F.struct(
+            F.when(same, more).otherwise(entry(r["day"], r["v"], F.lit(1))).alias("open"), put_away.alias("done")
+        )
+
+    return F.aggregate(
+        in_order, start, add, lambda acc: F.map_from_entries(F.concat(acc["done"], F.array_compact(F.array(acc["open"]))))
+    )
+
+
 def flatten_payload(df: DataFrame, keep: list[str], value: str = "payload") -> DataFrame:
     """One row per payload and day; the first entry of a day counts.
 
-    Daily and hourly entries are laid out once and summed per payload and day
-    where they are, so the work grows with the payload and not with its days
-    times its hours. Batch only.
+    Everything happens inside the row: nothing is shuffled and no row id is
+    needed, so it runs on streams as well.
     """
 
     def listed(name: str, kind: str) -> Column:
         return F.coalesce(F.col(name), F.array().cast(f"array<{kind}>"))
 
     daily = [listed(f"_p.daily.{m}", "double").alias(n) for m, n in DAILY_MEMBERS.items()]
-    entries = F.concat(
-        F.transform(
-            F.arrays_zip(listed("_p.daily.time", "string").alias("time"), *daily),
-            lambda d, i: F.struct(
-                d["time"].alias("day"),
-                F.when(d["time"].isNotNull(), i).alias("at"),
-                *[d[n].alias(n) for n in DAILY_MEMBERS.values()],
-                F.lit(None).cast("double").alias("soil_moisture"),
-            ),
-        ),
-        F.transform(
-            F.arrays_zip(
-                listed("_p.hourly.time", "string").alias("time"),
-                listed(f"_p.hourly.{HOURLY_MEMBER}", "double").alias("v"),
-            ),
-            lambda h: F.struct(
-                F.substring(h["time"], 1, 10).alias("day"),
-                F.lit(None).cast("int").alias("at"),
-                *[F.lit(None).cast("double").alias(n) for n in DAILY_MEMBERS.values()],
-                h["v"].alias("soil_moisture"),
-            ),
-        ),
-    )
-    numbered = parse_payload(df, value).withColumn("_row", F.monotonically_increasing_id())
-    laid_out = numbered.select(*keep, "_row", F.inline(entries))
-    per_day = laid_out.groupBy(*keep, "_row", "day").agg(
-        F.min("at").alias("at"),
-        *[F.min_by(n, "at").alias(n) for n in DAILY_MEMBERS.values()],
-        F.avg("soil_moisture").alias("soil_moisture"),
-    )
-    return per_day.filter("at is not null").select(
+    entries = F.arrays_zip(listed("_p.daily.time", "string").alias("time"), *daily)
+    rows = parse_payload(df, value).select(*keep, entries.alias("_days"), _hourly_sums().alias("_per_day"))
+    rows = rows.withColumn("_names", F.transform("_days", lambda d: d["time"]))
+    out = rows.select(*keep, "_names", "_per_day", F.posexplode("_days").alias("_at", "_d"))
+    hourly = F.col("_per_day")[F.col("_d.time")]
+    return out.filter(F.array_position("_names", F.col("_d.time")) == F.col("_at") + 1).select(
         *keep,
-        strict_date(F.col("day")).alias("event_date"),
-        *[round_half_up(F.col(n), 3).alias(n) for n in (*DAILY_MEMBERS.values(), "soil_moisture")],
+        strict_date(F.col("_d.time")).alias("event_date"),
+        *[round_half_up(F.col(f"_d.{n}"), 3).alias(n) for n in DAILY_MEMBERS.values()],
+        round_half_up(hourly["total"] / hourly["n"], 3).alias("soil_moisture"),
     )
 
 
@@ -114,11 +125,3 @@ def payload_day(df: DataFrame, keep: list[str], date: Column, fallback: dict[str
             for name, m in measures.items()
         ],
     )
-
-
-def fan_out_slots(daily: DataFrame, date: str = "event_date") -> DataFrame:
-    """Each daily row becomes one event per local slot hour."""
-    hours = F.array(*[F.lit(h) for h in DAILY_HOURS])
-    return daily.withColumn("slot_hour", F.explode(hours)).withColumn(
-        "event_time", local_hour_epoch(F.col(date), F.col("slot_hour"))
-    )

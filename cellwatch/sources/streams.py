@@ -1,27 +1,45 @@
-"""Event streams. The same transforms run on what these return and on tables."""
+"""Event records and their arrival order. The same transforms run on tables and on streams.
+
+A record has ``kind``, the text ``value``, and where it came from: ``stamp``
+(broker time, epoch milliseconds), ``partition`` and ``offset``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellwatch.schemas import TOPICS
+from cellwatch.sources.decode import decode_events
 
-_OFFSET_BITS = 19
+RECORD_SCHEMA = "kind string, value string, stamp bigint, partition int, offset bigint"
 
 
-def arrival_order(kind: str, timestamp: Column, offset: Column) -> Column:
-    """One order over the three topics: broker time, then offset, then topic.
+def with_arrival_order(records: DataFrame) -> DataFrame:
+    """Adds ``seq``, the complete order: clock, then topic, partition and offset.
 
-    Unique per cell, since a cell stays in one partition of a topic and a
-    partition does not take 2^19 records in one millisecond.
+    The clock is the newest broker time of the topic partition up to the
+    record, so times that go back never reorder a partition. No two records
+    share a ``seq``, and none of its parts is shortened. Batch only; on streams
+    it applies to each micro-batch, which follow one another anyway. Every topic
+    partition is one window, as it is one task of the reader.
     """
-    rank = list(TOPICS).index(kind)
-    low = offset.bitwiseAND(F.lit(2**_OFFSET_BITS - 1))
-    return F.shiftleft(F.unix_millis(timestamp), _OFFSET_BITS + 2) + low * 4 + rank
+    topic = F.array_position(F.array(*[F.lit(k) for k in TOPICS]), F.col("kind")).cast("int")
+    log = Window.partitionBy("kind", "partition").orderBy("offset")
+    clock = F.max("stamp").over(log.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seq = F.struct(clock.alias("clock"), topic.alias("topic"), F.col("partition"), F.col("offset"))
+    return records.withColumn("seq", seq)
+
+
+def decoded(records: DataFrame) -> dict[str, DataFrame]:
+    """Typed events by kind, refused ones with their reason; ``seq`` stays."""
+    return {
+        kind: decode_events(records.filter(F.col("kind") == kind).select("seq", "value"), kind) for kind in TOPICS
+    }
 
 
 def _records(reader, kind: str, servers: str, options: dict[str, str]) -> DataFrame:
+    """Needs the Kafka connector on the class path."""
     records = (
         reader.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -31,21 +49,26 @@ def _records(reader, kind: str, servers: str, options: dict[str, str]) -> DataFr
         .load()
     )
     return records.select(
+        F.lit(kind).alias("kind"),
         F.col("value").cast("string").alias("value"),
-        arrival_order(kind, F.col("timestamp"), F.col("offset")).alias("seq"),
+        F.unix_millis("timestamp").alias("stamp"),
+        "partition",
+        "offset",
     )
 
 
-def kafka_events(spark: SparkSession, kind: str, servers: str, max_offsets: int | None = None, **options: str):
-    """A topic as a stream from its earliest offset. Needs the Kafka connector."""
+def kafka_records(spark: SparkSession, servers: str, max_offsets: int | None = None, **options: str) -> DataFrame:
+    """All topics as one stream from their earliest offsets."""
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
-    return _records(spark.readStream, kind, servers, options)
+    kinds = [_records(spark.readStream, kind, servers, options) for kind in TOPICS]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
-def kafka_events_batch(spark: SparkSession, kind: str, servers: str, **options: str) -> DataFrame:
-    """The same topic as a bounded table, for backfills."""
-    return _records(spark.read, kind, servers, options)
+def kafka_records_batch(spark: SparkSession, servers: str, **options: str) -> DataFrame:
+    """The same topics as one bounded table, for backfills."""
+    kinds = [_records(spark.read, kind, servers, options) for kind in TOPICS]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
 def json_file_events(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -56,11 +79,9 @@ def json_file_events(spark: SparkSession, path: str, max_files: int | None = Non
     return reader.load(path)
 
 
-def table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None, pattern: str | None = None):
-    """A folder of Parquet files as a stream."""
+def table_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """A folder of Parquet files as a stream, the oldest first."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)

@@ -1,107 +1,47 @@
-"""Day confirmation on Structured Streaming, in two forms.
+"""Day confirmation on Structured Streaming, one micro-batch after another.
 
-``keyed_timeline`` keeps the state of each cell in Spark's state store and
-emits as rows arrive. ``confirm_batches`` runs the window form on every
-micro-batch and hands the state on as a table; it also cuts hot cells, so it
-is the one to use when a cell can dominate a micro-batch.
-
-Both need a cell's rows to arrive in ``seq`` order across micro-batches, as
-the offsets of a topic keyed by cell do. Inside a micro-batch order is free.
+Every micro-batch runs the table form and hands its state on as a table, so
+cells that dominate a micro-batch are cut like anywhere else. A cell's rows must
+arrive in order across micro-batches, as the offsets of a topic keyed by cell
+do. Inside a micro-batch order is free.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import dataclasses
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cellwatch.plans.risk import RiskJob, Tables, write_batch
-from cellwatch.schemas import PREDICTION_SCHEMA, SNAPSHOT_SCHEMA
-
-_STATE = "event_date date, held string, sensor_on boolean, fire_on boolean, alerted boolean"
-_OUT = (
-    "h3_cell string, seq bigint, event_date date, event_time bigint, source string, held string, "
-    "sensor_on boolean, fire_on boolean, alert boolean, negative boolean, next_seq bigint"
-)
-_HELD = f"snapshot {SNAPSHOT_SCHEMA.simpleString()}, prediction {PREDICTION_SCHEMA.simpleString()}"
-
-
-def _follow_day(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Follow one cell through a micro-batch; the scored snapshot travels as JSON text."""
-    rows = pd.concat(list(batches), ignore_index=True).sort_values("seq", kind="stable")
-    date, held, sensor, fire, alerted = state.get if state.exists else (None, None, False, False, False)
-    out = []
-    for r in rows.itertuples(index=False):
-        if date is not None and r.event_date != date:
-            if held is not None and not alerted:
-                out.append((key[0], None, date, None, "state", held, sensor, fire, False, True, r.seq))
-            held, sensor, fire, alerted = None, False, False, False
-        date = r.event_date
-        alert = False
-        if r.source == "meteo":
-            held = r.held
-        else:
-            sensor = sensor or r.source == "sensor"
-            fire = fire or r.source == "fire"
-            confirms = r.source == "sensor" or (r.source == "fire" and sensor)
-            alert = confirms and held is not None and not alerted
-            alerted = alerted or alert
-        if alert or r.source == "fire":
-            out.append((key[0], r.seq, r.event_date, r.event_time, r.source, held, sensor, fire, alert, False, None))
-    state.update((date, held, sensor, fire, alerted))
-    if out:
-        frame = pd.DataFrame(out, columns=[c.split(" ")[0] for c in _OUT.split(", ")])
-        yield frame.astype({c: "Int64" for c in ("seq", "event_time", "next_seq")})
-
-
-def keyed_timeline(rows: DataFrame) -> DataFrame:
-    """Rows that emit something, shaped like the batch timeline.
-
-    ``rows`` is the stream from ``RiskJob.rows``. The outcome, alert and
-    training functions of ``operators.confirm`` apply to the result. The rows
-    of one cell and micro-batch are sorted in memory, so bound the micro-batch
-    at the source (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``).
+from cellwatch.sources.streams import with_arrival_order
+from cellwatch.streaming.outputs import start_batches
+
+
+def confirm_batches(
+    job: RiskJob,
+    stream: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    fold_every: int = 60,
+    **trigger,
+):
+    """Start the confirmation of a stream of keyed rows; returns the query.
+
+    ``prepare`` turns a micro-batch into keyed rows. The run is the streaming
+    query's own id, which its checkpoint keeps: a restart goes on with the run,
+    a new checkpoint begins another.
     """
-    packed = rows.select(
-        "h3_cell",
-        "seq",
-        "event_date",
-        "event_time",
-        "source",
-        F.when(
-            F.col("snapshot").isNotNull(), F.to_json(F.struct("snapshot", "prediction"), {"ignoreNullFields": "false"})
-        ).alias("held"),
-    )
-    followed = packed.groupBy("h3_cell").applyInPandasWithState(
-        _follow_day, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return followed.select(
-        "h3_cell",
-        "seq",
-        "event_date",
-        "event_time",
-        "source",
-        F.from_json("held", _HELD).alias("held"),
-        "sensor_on",
-        "fire_on",
-        "alert",
-        "negative",
-        "next_seq",
-    )
 
+    def confirm_one(batch: DataFrame, batch_id: int, run: str) -> None:
+        write_batch(job, prepare(batch), dataclasses.replace(tables, run=run), batch_id, fold_every)
 
-def confirm_batches(job: RiskJob, rows: DataFrame, tables: Tables, checkpoint: str, **trigger):
-    """Start the micro-batch form; returns the query. The default trigger is one minute."""
+    return start_batches(stream, confirm_one, checkpoint, trigger)
 
-    def confirm_one(batch: DataFrame, batch_id: int) -> None:
-        write_batch(job, batch, tables, batch_id)
 
-    return (
-        rows.writeStream.foreachBatch(confirm_one)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "60 seconds"}))
-        .start()
+def confirm_records(job: RiskJob, records: DataFrame, tables: Tables, checkpoint: str, **options):
+    """The same for a stream of event records: ordered, decoded, located, scored and confirmed."""
+    return confirm_batches(
+        job, records, tables, checkpoint, lambda batch: job.marked_rows_of(with_arrival_order(batch)), **options
     )

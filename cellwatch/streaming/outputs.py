@@ -6,28 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from cellwatch.sinks.tables import append_batch, upsert_batch
+from cellwatch.sinks.tables import Table
 
 # How often a running job cuts a micro-batch.
 CHECKPOINT_SECONDS = 60
 
 
-def _start(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict):
+def start_batches(stream: DataFrame, write: Callable[[DataFrame, int, str], None], checkpoint: str, trigger: dict):
+    """Call ``write`` with every micro-batch, its number and the query's id."""
+
+    def with_run(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run:
+            raise ValueError("the micro-batch does not say which query it belongs to")
+        write(batch, batch_id, run)
+
     return (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(with_run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{CHECKPOINT_SECONDS} seconds"}))
         .start()
     )
 
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, **trigger):
-    """Append a stream to a dated table; a replayed micro-batch replaces its own rows."""
-    return _start(stream, lambda batch, i: append_batch(batch, path, i), checkpoint, trigger)
-
-
-def upsert_stream(
-    stream: DataFrame, path: str, staging: str, checkpoint: str, newest: Callable[[DataFrame], DataFrame], **trigger
-):
-    """Upsert a log stream; ``newest`` reduces a micro-batch to one row per key."""
-    return _start(stream, lambda batch, i: upsert_batch(newest(batch), path, staging, i), checkpoint, trigger)
+def append_stream(stream: DataFrame, table: Table, checkpoint: str, **trigger):
+    """Append a stream to a table; a replayed micro-batch replaces its own rows."""
+    return start_batches(stream, lambda batch, i, run: table.write(batch, run, i), checkpoint, trigger)

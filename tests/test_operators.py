@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import math
 import random
 
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cellwatch.functions import calendar as cal
 from cellwatch.functions.scalars import round_half_up, rounded_element
-from cellwatch.operators import aggregate, assignment, cells, encode, history, model_io, scoring
-from cellwatch.operators.skew import SplitPolicy, split_hot_keys
+from cellwatch.operators import aggregate, cells, encode, history, model_io, scoring
+from cellwatch.operators.skew import CUTS, SplitPolicy, cut_points, part_of
 from cellwatch.schemas import UNIFIED_SCHEMA
 from cellwatch.sources import payload
 
@@ -217,14 +218,6 @@ def test_recent_maxima_equal_brute_force(spark, span):
         )
 
 
-def test_assignment_shares(spark):
-    cells_ = spark.range(402).select(F.concat(F.lit("c"), "id").alias("h3_cell"), F.lit(DAY).alias("event_date"))
-    counts = {r.scenario: r.n_cells for r in assignment.count_by_type(assignment.assign_scenarios(cells_)).collect()}
-    assert counts == {"NORMAL": 381, "SENSOR_ONLY": 11, "SENSOR_AND_FIRE": 6, "FIRE_ONLY": 2, "VOLUNTARY": 2}
-    few = cells_.limit(3)
-    assert assignment.assign_scenarios(few).filter("scenario <> 'NORMAL'").count() == 1
-
-
 def test_payload_cases(spark):
     texts = [
         (1, '{"daily":{"time":["2025-06-01","2025-06-02"],"temperature_2m_mean":[1.23456,null]},'
@@ -244,14 +237,52 @@ def test_payload_cases(spark):
     ]
 
 
+def test_payload_days_out_of_order_and_long(spark):
+    """Hourly days come back later, some readings are null, and the first entry of a day counts."""
+    rng = random.Random(3)
+    days = [f"2025-06-{d:02d}" for d in range(1, 29)]
+    hours = [(f"{rng.choice(days)}T{rng.randrange(24):02d}:00", rng.choice([None, round(rng.random(), 3)])) for _ in range(900)]
+    body = {
+        "daily": {"time": [*days, days[0], None], "temperature_2m_mean": [float(i) for i in range(30)]},
+        "hourly": {"time": [h for h, _ in hours], "soil_moisture_0_to_1cm": [v for _, v in hours]},
+    }
+    df = spark.createDataFrame([(1, json.dumps(body))], "id int, payload string")
+    out = payload.flatten_payload(df, ["id"])
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.event_date.isoformat(): (r.temperature, r.soil_moisture) for r in out.collect()}
+    assert len(got) == out.count() == 28
+    for i, d in enumerate(days):
+        values = [v for h, v in hours if h.startswith(d) and v is not None]
+        assert got[d][0] == float(i) and got[d][1] == pytest.approx(sum(values) / len(values), abs=1e-3)
+
+
 def test_hot_key_parts_are_contiguous_and_small(spark):
-    rows = [("hot", i * 3) for i in range(3000)] + [("cold", i) for i in range(50)]
+    rows = [("hot", i * 3) for i in range(3000)] + [("cold", i) for i in range(10)]
     df = spark.createDataFrame(rows, "h3_cell string, seq long")
-    out, cut = split_hot_keys(df, "h3_cell", "seq", SplitPolicy(target_rows=100))
-    assert cut
-    parts = out.filter("_hot").groupBy("_part").agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.count("*").alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cuts = cut_points(df, "h3_cell", "seq", SplitPolicy(30))
+        cells_cut = [r.h3_cell for r in cuts.collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert cells_cut == ["hot"]
+    out = df.join(cuts, "h3_cell").withColumn("_part", part_of(F.col(CUTS), F.col("seq")))
+    parts = out.groupBy("_part").agg(F.min("seq").alias("a"), F.max("seq").alias("b"), F.count("*").alias("n"))
     got = parts.orderBy("_part").collect()
-    assert len(got) == 30 and max(r.n for r in got) <= 110
+    assert 25 <= len(got) <= 31 and max(r.n for r in got) <= 250
     assert all(x.b < y.a for x, y in zip(got, got[1:]))
-    assert out.filter("h3_cell = 'cold'").select("_part", "_hot").distinct().collect() == [(0, False)]
-    assert out.count() == len(rows)
+    assert out.count() == 3000
+
+
+def test_small_inputs_are_not_cut(spark):
+    df = spark.createDataFrame([("a", i) for i in range(1000)], "h3_cell string, seq long")
+    assert cut_points(df, "h3_cell", "seq").count() == 0
+
+
+def test_repeated_cells_count_once(spark):
+    lat, lon = 36.0, 3.0
+    centres = spark.createDataFrame(
+        [("a", lat, lon)] * 3 + [("b", lat + 0.0081, lon)], "h3_cell string, h3_center_lat double, h3_center_lon double"
+    )
+    pairs = [tuple(r) for r in cells.adjacency(centres).collect()]
+    assert sorted(pairs) == [("a", "b"), ("b", "a")]

@@ -1,4 +1,4 @@
-"""Model files scored through Arrow batches."""
+"""Models called once per Arrow batch."""
 
 import numpy as np
 import pytest
@@ -6,57 +6,23 @@ from pyspark.sql import functions as F
 
 from cellwatch.operators import scoring
 
-ort = pytest.importorskip("onnxruntime")
 
+def two_models():
+    """One gives a matrix of both classes, the other a map per row."""
 
-def _varint(n):
-    out = b""
-    while True:
-        n, low = n >> 7, n & 127
-        out += bytes([low | (128 if n else 0)])
-        if not n:
-            return out
+    def ge_1(x):
+        p = 1 / (1 + np.exp(-(x[:, 0] - 0.5 * x[:, 1])))
+        return np.stack([1 - p, p], axis=1)
 
+    def ge_2(x):
+        return [{0: 1 - p, 1: p} for p in 1 / (1 + np.exp(-(0.5 * x[:, 0] - x[:, 1])))]
 
-def _int(field, n):
-    return _varint(field << 3) + _varint(n)
+    return ge_1, ge_2
 
 
-def _bytes(field, value):
-    value = value.encode() if isinstance(value, str) else value
-    return _varint(field << 3 | 2) + _varint(len(value)) + value
-
-
-def _tensor_type(*dims):
-    shape = b"".join(_bytes(1, _int(1, d) if isinstance(d, int) else _bytes(2, d)) for d in dims)
-    return _bytes(2, _bytes(1, _int(1, 1) + _bytes(2, shape)))
-
-
-def logistic_model(weights):
-    """ONNX bytes of sigmoid(X . w), written as the protobuf fields of the format."""
-    n = len(weights)
-    matrix = _int(1, n) + _int(1, 1) + _int(2, 1) + _bytes(8, "W") + _bytes(9, np.asarray(weights, "<f4").tobytes())
-    product = _bytes(1, "X") + _bytes(1, "W") + _bytes(2, "Z") + _bytes(4, "MatMul")
-    sigmoid = _bytes(1, "Z") + _bytes(2, "P") + _bytes(4, "Sigmoid")
-    graph = (
-        _bytes(1, product)
-        + _bytes(1, sigmoid)
-        + _bytes(2, "g")
-        + _bytes(5, matrix)
-        + _bytes(11, _bytes(1, "X") + _tensor_type("n", n))
-        + _bytes(12, _bytes(1, "P") + _tensor_type("n", 1))
-    )
-    return _int(1, 8) + _bytes(8, _bytes(1, "") + _int(2, 13)) + _bytes(7, graph)
-
-
-def test_onnx_files_score_batches(spark, tmp_path):
-    paths = []
-    for name, w in (("ge1", [1.0, -0.5]), ("ge2", [0.5, -1.0])):
-        path = tmp_path / f"{name}.onnx"
-        path.write_bytes(logistic_model(w))
-        paths.append(str(path))
+def test_classifier_outputs_score_batches(spark):
     rows = spark.range(500).select("id", F.array((F.col("id") % 7).cast("float"), (F.col("id") % 5).cast("float")).alias("features"))
-    scored = scoring.BatchScorer(scoring.onnx_models(*paths)).apply(rows.repartition(3)).collect()
+    scored = scoring.BatchScorer(two_models).apply(rows.repartition(3)).collect()
     assert len(scored) == 500
     for r in scored:
         a, b = r.features

@@ -1,5 +1,6 @@
 """Streams over several micro-batches against the state machine, and sinks that are run twice."""
 
+import glob
 import os
 import random
 
@@ -12,9 +13,8 @@ from cellwatch.operators.skew import SplitPolicy
 from cellwatch.plans.risk import RiskJob, Tables, write_batch
 from cellwatch.schemas import PREDICTION_SCHEMA, UNIFIED_SCHEMA
 from cellwatch.sinks import tables as sinks
-from cellwatch.sources.streams import arrival_order, table_stream
-from cellwatch.streaming.confirm_stream import confirm_batches, keyed_timeline
-from cellwatch.streaming.outputs import append_stream
+from cellwatch.sources.streams import RECORD_SCHEMA, table_stream, with_arrival_order
+from cellwatch.streaming.confirm_stream import confirm_batches
 
 from tests import day_machine
 from tests.test_confirm import expected, frames, random_events
@@ -78,34 +78,27 @@ def picked(df, columns):
     return sorted(tuple(r) for r in df.select(columns).collect())
 
 
-def test_keyed_stream_over_micro_batches(spark, folder, events, tmp_path):
-    walked = keyed_timeline(rows_stream(spark, folder))
-    for name, log in (("outcomes", confirm.outcome_log), ("training", confirm.training_log)):
-        q = append_stream(log(walked), str(tmp_path / name), str(tmp_path / f"{name}_c"), availableNow=True)
-        q.awaitTermination()
-        assert len(q.recentProgress) >= 5
-    _, log, final, training = expected(events)
-    outcomes = spark.read.parquet(str(tmp_path / "outcomes"))
-    assert sorted((tuple(r) for r in outcomes.select(_OUTCOME).collect()), key=str) == log
-    newest = confirm.latest_per_key(outcomes, ["h3_cell", "event_date"], ["seq", "sub"])
-    assert picked(newest, _OUTCOME) == final
-    labels = confirm.latest_per_key(spark.read.parquet(str(tmp_path / "training")), ["h3_cell", "event_date"], ["seq"])
-    assert picked(labels, _TRAINING) == training
-
-
-@pytest.mark.parametrize("policy", [SplitPolicy(), SplitPolicy(target_rows=15)])
+@pytest.mark.parametrize("policy", [SplitPolicy(), SplitPolicy(20)])
 def test_batch_stream_over_micro_batches(spark, folder, events, tmp_path, policy):
     out = Tables(str(tmp_path / "tables"))
-    q = confirm_batches(make_job(spark, policy), rows_stream(spark, folder), out, str(tmp_path / "c"), availableNow=True)
+    q = confirm_batches(
+        make_job(spark, policy), rows_stream(spark, folder), out, str(tmp_path / "c"), fold_every=2, availableNow=True
+    )
     q.awaitTermination()
+    assert sum(1 for p in q.recentProgress if p["numInputRows"]) == 5
+    check_tables(spark, out, events)
+
+
+def check_tables(spark, out, events):
     _, _, final, training = expected(events)
-    assert picked(spark.read.parquet(out.path("daily_h3_outcomes")), _OUTCOME) == final
-    assert picked(spark.read.parquet(out.path("daily_h3_training_dataset")), _TRAINING) == training
+    assert picked(out.outcomes.read(spark), _OUTCOME) == final
+    assert picked(out.training.read(spark), _TRAINING) == training
     alerts, *_ = day_machine.run(events)
-    predictions = spark.read.parquet(out.path("predictions"))
+    predictions = out.predictions.read(spark)
     assert predictions.filter("trigger_type = 'confirmed_alert'").count() == len(alerts)
     assert predictions.filter("is_neighbor_prediction").count() == len(alerts)
-    assert spark.read.parquet(out.path("feature_snapshots")).count() == sum(e["kind"] == "meteo" for e in events)
+    weather = sum(e["kind"] == "meteo" for e in events)
+    assert out.snapshots.read(spark).count() == weather and predictions.count() == weather + 2 * len(alerts)
 
 
 def test_a_repeated_batch_changes_nothing(spark, events, tmp_path):
@@ -113,11 +106,73 @@ def test_a_repeated_batch_changes_nothing(spark, events, tmp_path):
     first, second = (confirm.merge_inputs(*frames(spark, part)) for part in (events[:250], events[250:]))
     write_batch(job, first, out, 0)
     for _ in range(2):
-        write_batch(job, second, out, 1)
-    _, _, final, training = expected(events)
-    assert picked(spark.read.parquet(out.path("daily_h3_outcomes")), _OUTCOME) == final
-    assert picked(spark.read.parquet(out.path("daily_h3_training_dataset")), _TRAINING) == training
-    assert spark.read.parquet(out.path("feature_snapshots")).count() == sum(e["kind"] == "meteo" for e in events)
+        write_batch(job, second, out, 1, fold_every=1)
+    check_tables(spark, out, events)
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(0, 12, 2))
+def test_a_job_that_dies_in_any_step_can_run_again(spark, events, tmp_path, monkeypatch, step):
+    """Dies after ``step`` writes, of data folders and of commits alike, then runs the batch again."""
+    job, out = make_job(spark), Tables(str(tmp_path / "tables"))
+    parts = [confirm.merge_inputs(*frames(spark, part)) for part in (events[:250], events[250:])]
+    write_batch(job, parts[0], out, 0)
+    left = [step]
+    commit = sinks.Table._commit
+
+    def dying(self, *args):
+        if left[0] <= 0:
+            raise Stop  # the data folder is written, the commit is not
+        left[0] -= 1
+        commit(self, *args)
+        if left[0] <= 0:
+            raise Stop
+        left[0] -= 1
+
+    monkeypatch.setattr(sinks.Table, "_commit", dying)
+    try:
+        write_batch(job, parts[1], out, 1, fold_every=1)
+    except Stop:
+        pass
+    monkeypatch.setattr(sinks.Table, "_commit", commit)
+    write_batch(job, parts[1], out, 1, fold_every=1)
+    check_tables(spark, out, events)
+
+
+def test_missing_state_stops_the_run(spark, events, tmp_path):
+    rows = confirm.merge_inputs(*frames(spark, events[:20]))
+    with pytest.raises(ValueError, match="no state"):
+        write_batch(make_job(spark), rows, Tables(str(tmp_path / "tables")), 3)
+
+
+def test_a_new_run_goes_next_to_the_old_one(spark, tmp_path):
+    table = sinks.Table(str(tmp_path / "t"), "k int, v int", ("k",))
+    log = sinks.Table(str(tmp_path / "l"), "k int, v int")
+    for t in (table, log):
+        for run, batch, rows in (("a", 0, [(1, 1), (2, 1)]), ("a", 1, [(1, 2)]), ("b", 0, [(2, 3)])):
+            t.write(spark.createDataFrame(rows, "k int, v int"), run, batch)
+    assert picked(table.read(spark), ["k", "v"]) == [(1, 2), (2, 3)]
+    assert picked(log.read(spark), ["k", "v"]) == [(1, 1), (1, 2), (2, 1), (2, 3)]
+    assert picked(table.read(spark, "a", 1), ["k", "v"]) == [(1, 1), (2, 1)]
+    table.write(spark.createDataFrame([(1, 9)], "k int, v int"), "a", 1)  # again, keeps its place
+    assert picked(table.read(spark), ["k", "v"]) == [(1, 9), (2, 3)]
+
+
+def test_folding_keeps_rows_and_removes_folders(spark, tmp_path):
+    table = sinks.Table(str(tmp_path / "t"), "k int, v int", ("k",))
+    for batch in range(6):
+        table.write(spark.createDataFrame([(batch % 2, batch), (9, batch)], "k int, v int"), "a", batch)
+        table.compact(spark, "a", batch)
+        assert dict(picked(table.read(spark), ["k", "v"]))[9] == batch
+        assert dict(picked(table.read(spark, "a", batch), ["k", "v"])).get(9, -1) == batch - 1
+    assert picked(table.read(spark), ["k", "v"]) == [(0, 4), (1, 5), (9, 5)]
+    kept = [f for f in glob.glob(f"{tmp_path}/t/data/*/*") if glob.glob(f"{f}/*.parquet")]
+    assert len(kept) == 2
+    table.write(spark.createDataFrame([(9, 50)], "k int, v int"), "a", 5)
+    assert dict(picked(table.read(spark), ["k", "v"])) == {0: 4, 1: 3, 9: 50}
 
 
 def test_stream_windows_equal_batch_windows(spark, tmp_path):
@@ -149,16 +204,17 @@ def test_stream_windows_equal_batch_windows(spark, tmp_path):
     assert got and got == picked(cell_windows(df).filter(F.col("window_end") <= closed), key)
 
 
-def test_arrival_order_is_unique_over_topics(spark):
-    df = spark.range(1000).select(
-        F.timestamp_millis(F.lit(1_750_000_000_000) + F.floor(F.col("id") / 100)).alias("t"), F.col("id").alias("o")
-    )
-    seqs = [df.select(arrival_order(k, F.col("t"), F.col("o")).alias("s"), "t") for k in ("weather", "sensor", "fire")]
-    both = seqs[0].unionByName(seqs[1]).unionByName(seqs[2])
-    assert both.select("s").distinct().count() == 3000
-    assert both.filter("s <= 0").isEmpty()
-    ordered = both.orderBy("s").collect()
-    assert all(a.t <= b.t for a, b in zip(ordered, ordered[1:]))
+def test_arrival_order_is_complete(spark):
+    """Offsets across 2^19 in one millisecond, times that go back, and equal offsets of other partitions."""
+    rows = [("weather", "v", 1_750_000_000_000, 0, 2**19 - 1 + i) for i in range(3)]
+    rows += [("weather", "v", 1_750_000_000_000 - 60_000, 0, 2**19 + 2), ("weather", "v", 1_750_000_000_000, 1, 2**19 - 1)]
+    rows += [("fire", "v", 1_750_000_000_000, 0, 2**19 - 1), ("sensor", "v", 1_749_999_999_999, 0, 2**40)]
+    ordered = with_arrival_order(spark.createDataFrame(rows, RECORD_SCHEMA)).orderBy("seq").collect()
+    assert [(r.kind, r.partition, r.offset - 2**19) for r in ordered] == [
+        ("sensor", 0, 2**40 - 2**19), ("weather", 0, -1), ("weather", 0, 0), ("weather", 0, 1), ("weather", 0, 2),
+        ("weather", 1, -1), ("fire", 0, -1),
+    ]
+    assert len({r.seq for r in ordered}) == len(rows)
 
 
 def test_upsert_statement():
