@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwatch.llm.frames import materialise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LIMIT = 0.5
 Z = 1.645
@@ -141,7 +143,8 @@ def judged(
     stay; an empty table gives no rows; other columns are not read.
     """
     parts = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    known = reputations(outcomes, parts, z)
+    # Written, so that the join below has two plain sides and a hot host can be split.
+    known = materialise(reputations(outcomes, parts, z), "hosts")
     hit = parts.withColumn("hit", longest_rule(rules, F.col("host"), F.col("path")))
     by_host = F.when(F.col("bound") > limit, "block").otherwise("allow")
     return hit.join(known, "host", "left").select(
