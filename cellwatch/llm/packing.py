@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwatch.llm.frames import materialise
-from cellwatch.llm.tokens import encoder
+from cellwatch.llm.tokens import encoded
 
 CAPACITY = 1024
 PARTITION_PIECES = 100_000
@@ -63,11 +63,10 @@ def token_pieces(
     end = int(end_id).to_bytes(4, "little")
 
     def encode_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                raw = encode(t) + end
+            for i, raw in enumerate(encoded(tokenizer, batch.column(1).to_pylist())):
+                raw += end
                 for k, (at, n) in enumerate(cut(len(raw) // 4, capacity)):
                     part = raw[4 * at : 4 * (at + n)]
                     row.append(i)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.llm.tokens import encoder
+from cellwatch.llm.tokens import encoded
 
 MAGIC = b"IDPLANE1"
 BLOCK_IDS = 1 << 16
@@ -168,7 +168,6 @@ def write_ids(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
         fs, top = _file_system(folder)
         part = TaskContext.get().partitionId()
         out = writer = None
@@ -178,8 +177,8 @@ def write_ids(
                 draft = f"{top}/.part-{part:06d}-{uuid.uuid4().hex}"
                 out = fs.open_output_stream(draft)
                 writer = PlaneWriter(out, kind, block_ids)
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                writer.add(i, encode(t) + end)
+            for i, ids in zip(batch.column(0).to_pylist(), encoded(tokenizer, batch.column(1).to_pylist())):
+                writer.add(i, ids + end)
         if writer is not None:
             n_ids = writer.close()
             out.close()

@@ -3,68 +3,107 @@
 The byte-level pre-tokenizer always breaks before white space that follows
 other characters, and looks no further back. So a text can be cut there, each
 piece encoded on its own, and the ids joined; the result is that of encoding
-the whole text. Words recur, so the ids of a piece are remembered and the
-library is called once per distinct piece and task.
+the whole text. Words recur, so the ids of a piece are remembered, and new
+pieces are encoded many at a time, one per line: a line break between two
+pieces is a token of its own.
 """
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-_PIECES = re.compile(r"\s*\S+|\s+")
+_PIECES = re.compile(r"\s*+\S++|\s++")
+# Pieces that stay what they are after a line break.
+_PLAIN = re.compile(r" ?[^\s<]+")
 # White space for `re` but not for the tokenizer: such texts are encoded whole.
 _UNSURE = re.compile(r"[\x1c-\x1f]")
-_REMEMBERED = 400_000
+_REMEMBERED = 600_000
 _LONGEST_PIECE = 64
+_LINES = 500
+_DOCUMENTS = 64
 
 
-class _Pieces(dict):
+class _Encoder:
     """Ids by piece, in two generations: a full one makes way, and what is used again stays."""
 
     def __init__(self, path: str):
-        super().__init__()
-        self.older: dict[str, bytes] = {}
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        breaks = self.tokenizer.encode("a\nb", add_special_tokens=False).ids
+        self.line_break = breaks[1] if len(breaks) == 3 else None
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.whole(piece)
-        if len(piece) <= _LONGEST_PIECE:
-            if len(self) >= _REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-_LOADED: dict[str, _Pieces] = {}
-
-
-def encoder(path: str):
-    """Function from a text (None: empty) to its ids as little-endian unsigned 32-bit bytes.
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Remember new pieces; returns those that are too long to be kept."""
+        known, older = self.known, self.older
+        lines, long = [], {}
+        for p in pieces:
+            ids = older.get(p)
+            if ids is not None:
+                known[p] = ids
+            elif len(p) > _LONGEST_PIECE:
+                long[p] = self.whole(p)
+            elif self.line_break is not None and _PLAIN.fullmatch(p):
+                lines.append(p)
+            else:
+                known[p] = self.whole(p)
+        groups = [lines[i : i + _LINES] for i in range(0, len(lines), _LINES)]
+        texts = ["\n".join(g) for g in groups]
+        for group, done in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(done.ids, dtype="<u4")
+            cuts = (4 * np.flatnonzero(ids == self.line_break)).tolist()
+            raw = ids.tobytes()
+            if len(cuts) != len(group) - 1:
+                known.update((p, self.whole(p)) for p in group)
+                continue
+            known.update((p, raw[a:b]) for p, a, b in zip(group, [0, *[c + 4 for c in cuts]], [*cuts, len(raw)]))
+        return long
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.known) >= _REMEMBERED:
+            self.older, self.known = self.known, {}
+        cut = [None if not t or _UNSURE.search(t) else _PIECES.findall(t) for t in texts]
+        known = self.known
+        new = set().union(*filter(None, cut)).difference(known)
+        long = self._learn(new) if new else {}
+        out = []
+        for t, pieces in zip(texts, cut):
+            if pieces is None:
+                out.append(self.whole(t) if t else b"")
+            elif long:
+                out.append(b"".join([long[p] if p in long else known[p] for p in pieces]))
+            else:
+                out.append(b"".join(map(known.__getitem__, pieces)))
+        return out
+
+
+_LOADED: dict[str, _Encoder] = {}
+
+
+def encoded(path: str, texts: Iterable[str | None]) -> Iterator[bytes]:
+    """Ids of every text (None: empty) as little-endian unsigned 32-bit bytes, in order.
 
     ``path`` is a byte-level BPE file without normaliser and without prefix space.
     """
     if path not in _LOADED:
-        _LOADED[path] = _Pieces(path)
-    pieces = _LOADED[path]
-
-    def encode(text: str | None) -> bytes:
-        if not text:
-            return b""
-        if _UNSURE.search(text):
-            return pieces.whole(text)
-        return b"".join(map(pieces.__getitem__, _PIECES.findall(text)))
-
-    return encode
+        _LOADED[path] = _Encoder(path)
+    encoder, waiting = _LOADED[path], []
+    for t in texts:
+        waiting.append(t)
+        if len(waiting) == _DOCUMENTS:
+            yield from encoder.many(waiting)
+            waiting = []
+    if waiting:
+        yield from encoder.many(waiting)
