@@ -75,13 +75,14 @@ c AS (
   SELECT m.doc_id, len(w) AS n_words, CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
          coalesce(rep.n, 0) AS n_repeat_words, len(l) AS n_lines,
-         len(regexp_extract_all(t, '!')) AS n_exclamations, len(regexp_extract_all(t, '\p{Lu}')) AS n_capitals
+         len(regexp_extract_all(t, '!')) AS n_exclamations, len(regexp_extract_all(t, '\p{Lu}')) AS n_capitals,
+         len([i FOR i IN range(2, len(w) + 1) IF w[i] = w[i - 1]]) AS n_same_words
   FROM m LEFT JOIN rep ON m.doc_id = rep.doc_id),
 f AS (
   SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT
-           + 8 * (100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+           + 8 * (2 * n_dup_lines > n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
            + 32 * (word_chars > 20 * n_words)::INT + 64 * (10 * n_exclamations > 3 * n_words)::INT
-           + 128 * (2 * n_capitals > word_chars)::INT AS BIGINT) AS failures
+           + 128 * (2 * n_capitals > word_chars)::INT + 256 * (10 * n_same_words > 3 * n_words)::INT AS BIGINT) AS failures
   FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed,
        failures = 0 AS kept, failures, 'standard-1' AS policy

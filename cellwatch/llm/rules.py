@@ -22,6 +22,7 @@ WINDOW = 8
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclamations", "n_capitals",
+    "n_same_words",
 )
 
 
@@ -81,6 +82,7 @@ def measure(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.size("l").cast("long").alias("n_lines"),
         _count("!").alias("n_exclamations"),
         _count("\\p{Lu}").alias("n_capitals"),
+        F.size(F.filter("h", lambda x, i: (i > 0) & (x == F.get(F.col("h"), i - 1)))).cast("long").alias("n_same_words"),
     )
 
 
@@ -105,11 +107,12 @@ RULES = (
     Rule(0, "few_words", lambda: F.col("n_words") < 20),
     Rule(1, "repeated_words", lambda: 100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
     Rule(2, "symbols", lambda: 10 * F.col("n_symbols") > 3 * F.col("n_words")),
-    Rule(3, "duplicate_lines", lambda: 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+    Rule(3, "duplicate_lines", lambda: 2 * F.col("n_dup_lines") > F.col("n_lines")),
     Rule(4, "short_words", lambda: F.col("word_chars") < 2 * F.col("n_words")),
     Rule(5, "long_words", lambda: F.col("word_chars") > 20 * F.col("n_words")),
     Rule(6, "exclamations", lambda: 10 * F.col("n_exclamations") > 3 * F.col("n_words")),
     Rule(7, "capitals", lambda: 2 * F.col("n_capitals") > F.col("word_chars")),
+    Rule(8, "same_words", lambda: 10 * F.col("n_same_words") > 3 * F.col("n_words")),
 )
 BASE = Policy("base-1", ("few_words", "repeated_words"))
 STANDARD = Policy("standard-1", tuple(r.name for r in RULES))
