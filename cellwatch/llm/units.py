@@ -5,7 +5,8 @@ Texts are cut into units: lines, and within lines sentences. Units of at least
 over all documents with partial aggregates, so a passage that a third of all
 documents holds stays small before the shuffle; the occurrence of the smallest
 rank (document, then offset) is kept and every other one is reported with its
-offsets in the original text.
+offsets in the original text. Neighbouring repeats form a run; runs of few
+words are left alone, as single boilerplate lines are the line dedup's work.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwatch.llm.frames import materialise
 
 MIN_WORDS = 8
+MIN_RUN_WORDS = 25
+RUN_GAP = 80
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)")
 _WORD = re.compile(r"\w+")
 
@@ -87,15 +90,41 @@ def _rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
         )
 
 
+def _long_runs(spans: DataFrame, min_run_words: int, gap: int) -> DataFrame:
+    """Spans in runs of enough words; spans of one text at most ``gap`` characters apart are one run.
+
+    Spans nest but never cross, so the words of a run are those of its outer
+    spans. The windows run within one text.
+    """
+    text = Window.partitionBy("doc_id", "text_hash").orderBy("begin", F.desc("end"))
+    reach = F.max("end").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    marked = spans.withColumn("_reach", reach).withColumns(
+        {
+            "_starts": F.when(F.col("_reach").isNull() | (F.col("begin") - F.col("_reach") > gap), 1).otherwise(0),
+            "_own": F.when(F.col("_reach").isNull() | (F.col("end") > F.col("_reach")), F.col("n_words")).otherwise(0),
+        }
+    )
+    runs = marked.withColumn("_run", F.sum("_starts").over(text))
+    words = F.sum("_own").over(Window.partitionBy("doc_id", "text_hash", "_run"))
+    return runs.withColumn("_words", words).filter(F.col("_words") >= min_run_words).select(spans.columns)
+
+
 def repeated_units(
-    documents: DataFrame, *, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    *,
+    min_words: int = MIN_WORDS,
+    min_run_words: int = MIN_RUN_WORDS,
+    run_gap: int = RUN_GAP,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """Every occurrence of a unit but the first: the spans to remove.
 
     Columns: doc_id, text_hash, begin, end (code points of the original text),
     n_words, digest (hex), kept_doc_id and kept_begin of the first occurrence,
     and n_occurrences. Occurrences are ranked by document id (nulls last), text
-    hash and begin, so repeats inside one text go as well. Rows that are equal
+    hash and begin, so repeats inside one text go as well. Runs of repeats of
+    fewer than ``min_run_words`` words are left out. Rows that are equal
     in id and text are one document. Null, empty and short texts have no units.
     An empty table gives no rows. Other columns are not read.
     """
@@ -117,10 +146,9 @@ def repeated_units(
         .drop("last")
     )
     groups = materialise(groups, "repeats")
+    repeats = found.join(groups, ["h1", "h2"]).filter(rank != F.col("first")).distinct()
     return (
-        found.join(groups, ["h1", "h2"])
-        .filter(rank != F.col("first"))
-        .distinct()
+        _long_runs(repeats, min_run_words, run_gap)
         .select(
             "doc_id",
             "text_hash",
