@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellwatch.llm.frames import materialise
+from cellwatch.llm.frames import fresh, materialise
 
 MIN_WORDS = 8
 MIN_RUN_WORDS = 25
@@ -164,9 +164,10 @@ def repeated_units(
 
 
 def without_spans(documents: DataFrame, spans: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` with ``kept_text`` and ``kept_spans``, the original offsets of what stays.
+    """``documents`` with ``kept_spans``, the original offsets of what stays, and ``kept_text``.
 
-    ``spans`` come from ``repeated_units``; overlapping ones are merged.
+    ``spans`` come from ``repeated_units``; overlapping ones are merged. Names
+    that the input has already get underscores.
     """
     per_row = (
         spans.groupBy("doc_id", "text_hash")
@@ -188,8 +189,12 @@ def without_spans(documents: DataFrame, spans: DataFrame, *, doc_id: str = "doc_
 
     end = F.struct(size.alias("begin"), size.alias("end"))
     cuts = F.concat(F.coalesce("_cut", F.array().cast("array<struct<begin:bigint,end:bigint>>")), F.array(end))
-    with_spans = joined.select(*[documents[c] for c in documents.columns], F.aggregate(cuts, state, step, lambda s: s["kept"]).alias("kept_spans"))
+    spans_name, text_name = fresh(documents, "kept_spans"), fresh(documents, "kept_text")
+    kept = joined.select(
+        *[documents[c] for c in documents.columns], F.aggregate(cuts, state, step, lambda s: s["kept"]).alias(spans_name)
+    )
     pieces = F.transform(
-        "kept_spans", lambda s: F.substring(documents[text], (s["begin"] + 1).cast("int"), (s["end"] - s["begin"]).cast("int"))
+        F.col(spans_name),
+        lambda s: F.substring(documents[text], (s["begin"] + 1).cast("int"), (s["end"] - s["begin"]).cast("int")),
     )
-    return with_spans.withColumn("kept_text", F.array_join(pieces, ""))
+    return kept.select("*", F.array_join(pieces, "").alias(text_name))
