@@ -67,56 +67,54 @@ def recent_maxima(unified: DataFrame, span_ms: int = 600_000) -> DataFrame:
 
     Time is cut into segments as long as the span, so the span of an event is
     the start of its own segment up to the event, plus the end of the segment
-    before. The first part is a running maximum forwards; the second is a
-    running maximum backwards, read off at a probe row placed one span earlier.
-    Both take one pass however dense the events are, and a (cell, segment) is
-    the unit of work.
+    before. Every event therefore lies in its segment and, one span later, in
+    the next. The first part is a running maximum forwards over the segment's
+    own events; the second is one backwards over the shifted ones. Both read
+    the same shuffle, take one pass however dense the events are, and a (cell,
+    segment) is the unit of work.
     """
     fire, sensor = (same_text(F.col("source_type"), s) for s in ("fire", "sensor"))
-    rows = unified.select(
-        "h3_cell",
-        "seq",
-        "event_time",
-        F.when(sensor, F.col("smoke")).alias("smoke"),
-        F.when(sensor, F.col("co2")).alias("co2"),
-        F.when(sensor, F.col("sensor_temperature")).alias("sensor_temperature"),
-        F.when(sensor, F.col("event_time")).alias("sensor_time"),
-        F.when(fire, F.col("event_time")).alias("fire_time"),
-    )
-    values = ["smoke", "co2", "sensor_temperature", "sensor_time", "fire_time"]
-    placed = rows.select("*", F.posexplode(F.array("event_time", F.col("event_time") - span_ms)).alias("_probe", "_at"))
-    placed = placed.select(
-        "h3_cell",
-        "seq",
-        "event_time",
-        "_probe",
-        "_at",
-        F.floor(F.col("_at") / F.lit(span_ms)).cast("bigint").alias("_segment"),
-        *[F.when(F.col("_probe") == 0, F.col(v)).alias(v) for v in values],
+    values = {
+        "smoke": F.when(sensor, F.col("smoke")),
+        "co2": F.when(sensor, F.col("co2")),
+        "sensor_temperature": F.when(sensor, F.col("sensor_temperature")),
+        "sensor_time": F.when(sensor, F.col("event_time")),
+        "fire_time": F.when(fire, F.col("event_time")),
+    }
+    rows = unified.select("h3_cell", "seq", "event_time", *[v.alias(n) for n, v in values.items()])
+    placed = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("_later")).withColumns(
+        {
+            "_at": F.col("event_time") + F.col("_later") * span_ms,
+            "_segment": F.floor(F.col("event_time") / F.lit(span_ms)).cast("bigint") + F.col("_later"),
+        }
     )
     segment = Window.partitionBy("h3_cell", "_segment")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     forwards = segment.orderBy("_at").rangeBetween(*so_far)
     backwards = segment.orderBy(F.desc("_at")).rangeBetween(*so_far)
 
-    def covered(aggregate, value: str):
-        return F.when(F.col("_probe") == 0, aggregate(value).over(forwards)).otherwise(aggregate(value).over(backwards))
+    def own(value: str):
+        return F.when(F.col("_later") == 0, F.col(value))
+
+    def shifted(value: str):
+        return F.when(F.col("_later") == 1, F.col(value))
+
+    def newest(value: str):
+        return F.greatest(F.max(own(value)).over(forwards), F.max(shifted(value)).over(backwards))
 
-    halves = placed.select(
+    alerts = F.count(own("sensor_time")).over(forwards) + F.count(shifted("sensor_time")).over(backwards)
+    return placed.select(
         "h3_cell",
         "seq",
         "event_time",
-        *[covered(F.max, v).alias(v) for v in values],
-        covered(F.count, "sensor_time").alias("sensor_alerts"),
-    )
-    return halves.groupBy("h3_cell", "seq", "event_time").agg(
-        F.max("smoke").alias("max_smoke_10m"),
-        F.max("co2").alias("max_co2_10m"),
-        F.max("sensor_temperature").alias("max_sensor_temp_10m"),
-        F.sum("sensor_alerts").alias("sensor_alerts_10m"),
-        F.max("sensor_time").alias("last_sensor_time"),
-        F.max("fire_time").alias("last_fire_time"),
-    )
+        "_later",
+        newest("smoke").alias("max_smoke_10m"),
+        newest("co2").alias("max_co2_10m"),
+        newest("sensor_temperature").alias("max_sensor_temp_10m"),
+        alerts.alias("sensor_alerts_10m"),
+        newest("sensor_time").alias("last_sensor_time"),
+        newest("fire_time").alias("last_fire_time"),
+    ).filter("_later = 0").drop("_later")
 
 
 def latest_weather(unified: DataFrame) -> DataFrame:
