@@ -131,7 +131,8 @@ def contained_items(
         suspects.select("doc", F.explode(F.array_distinct(_by_length(_texts, "w", lengths))).alias("s"))
         .join(sent(shingles), "s")
         .groupBy("doc", "item", "needed", "n_shingles")
-        .agg(F.count(F.lit(1)).alias("n_found"))
+        # Equal rows of one id are one document, so a shingle counts once.
+        .agg(F.count_distinct("s").alias("n_found"))
         .filter(F.col("n_found") >= F.col("needed"))
     )
     return (
