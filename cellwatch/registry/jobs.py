@@ -169,6 +169,23 @@ def _of_log(*ctes: str, select: str) -> str:
     return sql(*_PARTS, *ctes, select=select)
 
 
+_written: dict[tuple, Tables] = {}
+
+
+def _once(make):
+    """One run of a job per session and version of its input, whichever of its tables is asked for."""
+
+    def tables(spark, sf_dir):
+        changed = dt.table(spark, sf_dir, "events").agg(F.max("_metadata.file_modification_time"), F.count(F.lit(1)))
+        key = (make.__name__, spark.sparkContext.applicationId, sf_dir, *changed.first())
+        if key not in _written:
+            _written[key] = make(spark, sf_dir)
+        return _written[key]
+
+    return tables
+
+
+@_once
 def _job_tables(spark, sf_dir):
     """Two batches of records, decoded, located, scored, confirmed and written."""
     job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
@@ -271,6 +288,7 @@ def stream_json_text(spark, sf_dir):
     return table.read(spark)
 
 
+@_once
 def _stream_tables(spark, sf_dir):
     job, tables = dt.job(spark, sf_dir), Tables(scratch_path(spark, "job"))
     rows = _rows(job, _events_arriving(spark, sf_dir))
@@ -288,6 +306,7 @@ def stream_batch_training(spark, sf_dir):
     return _stream_tables(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
 
 
+@_once
 def _restarted_tables(spark, sf_dir):
     """The stream of records stops after some micro-batches and goes on from its checkpoint; tables are folded."""
     job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
