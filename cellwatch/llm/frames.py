@@ -1,28 +1,18 @@
-"""Small helpers that the operators share: written tables, words, fresh names."""
+"""Small helpers that the operators share: words, fresh names, written tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellwatch.session import scratch_path
+from cellwatch.session import materialise
+
+__all__ = ["BLANKS", "blank_words", "fresh", "materialise", "plain_words"]
 
 # ASCII white space, as the word rule `[^\x20\x09-\x0D]+` leaves it out.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage with files that every executor can read, so losing an
-    executor costs only the tasks it held. Sizes of the result are known to the
-    planner.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def blank_words(text: Column) -> Column:
     """Words between ASCII white space; null and blank texts have none."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
