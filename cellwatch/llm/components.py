@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from cellwatch.llm.frames import materialise
 
 
+def _written(least: DataFrame) -> DataFrame:
+    """A join of two plain tables can be split where a node has very many neighbours."""
+    return materialise(least, "least")
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
@@ -15,13 +20,13 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of every node are hung under its smallest neighbour or itself."""
     near = _both_ways(edges)
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = _written(near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return near.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are hung under the smallest of them; u > v throughout."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = _written(edges.groupBy("u").agg(F.min("v").alias("m")))
     hung = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -46,4 +51,4 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         state = (seen["n"], seen["s"])
         if not seen["n"]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        edges = materialise(_small_star(materialise(_large_star(edges), "edges")), "edges")

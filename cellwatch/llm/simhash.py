@@ -11,15 +11,14 @@ Equal fingerprints are one row throughout. A bucket of more than
 ``small_bucket`` fingerprints is never paired: there every fingerprint is sent
 to itself and to its one-bit neighbours outside the bucket's segment, and all
 that meet at one point are linked to the smallest. Two fingerprints at distance
-2 meet half way, those at distance 1 at either end, so no link is lost and the
-work stays in proportion to the bucket. (For distances over 2 the steps are
-taken to half the distance.)
+2 meet half way, those at distance 1 at either end, so no link is lost, and any
+two that meet are within 2. The work stays in proportion to the bucket. This
+way holds for a distance of 2 only, so no other is offered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -111,12 +110,9 @@ def _chain_holds(a: Column, b: Column, start: int, distance: int) -> Column:
 
 
 def _flips(start: int, distance: int) -> list[int]:
-    """Masks of at most half the distance in bits outside the segment, the empty one first."""
+    """Masks of no bit and of each one bit outside the segment."""
     low, width = segments(distance)[start]
-    free = [b for b in range(BITS) if not low <= b < low + width]
-    found = [0]
-    for k in range(1, (distance + 1) // 2 + 1):
-        found += [sum(1 << b for b in bits) for bits in combinations(free, k)]
+    found = [0, *[1 << b for b in range(BITS) if not low <= b < low + width]]
     return [f - (1 << BITS) if f >= 1 << (BITS - 1) else f for f in found]
 
 
@@ -126,8 +122,8 @@ def links(points: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
     Every pair within the distance is joined by a path of the links returned,
     and every link returned lies within the distance.
     """
-    if not 0 < distance <= 2:
-        raise ValueError("distances of 1 and 2 are supported")
+    if distance != 2:
+        raise ValueError("only a distance of 2 is supported")
     parts = segments(distance)
     keys = F.array(
         *[
@@ -140,7 +136,7 @@ def links(points: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
     )
     # One row per fingerprint and segment; the bucket's size comes by a join, so a large bucket is no task of its own.
     keyed = points.select("fp", F.explode(keys).alias("k")).select("fp", "k.seg", "k.value")
-    sizes = keyed.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = materialise(keyed.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
     crowded = materialise(keyed.join(sizes, ["seg", "value"]), "buckets")
 
     small = crowded.filter(F.col("n") <= small_bucket)
@@ -166,21 +162,23 @@ def links(points: DataFrame, distance: int = DISTANCE, small_bucket: int = SMALL
         .select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
         .distinct()
     )
+    reached = materialise(reached, "reached")
     smallest = reached.groupBy("point").agg(F.min("fp").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     starred = (
-        reached.join(smallest.select("point", "least"), "point")
+        reached.join(materialise(smallest.select("point", "least"), "smallest"), "point")
         .filter("fp <> least")
         .select(F.col("least").alias("a"), F.col("fp").alias("b"))
     )
     return paired.unionByName(starred).distinct()
 
 
-def _classes(documents: DataFrame, doc_id: str, text: str, width: int, distance: int, small_bucket: int) -> DataFrame:
-    """doc_id, text_hash, fp and root (a fingerprint that names the class) of every row."""
+def _classes(documents: DataFrame, doc_id: str, text: str, width: int, distance: int, small_bucket: int):
+    """doc_id, text_hash and fp of every row; and per fingerprint its root, a fingerprint that names the class."""
     rows = materialise(fingerprints(documents, doc_id, text, width), "fingerprints")
     points = rows.select("fp").distinct()
     member = components(materialise(links(points, distance, small_bucket), "links"), "a", "b")
-    return rows.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    roots = points.join(member.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return rows, materialise(roots, "roots")
 
 
 def near_duplicates(
@@ -200,9 +198,13 @@ def near_duplicates(
     unless the class has no other id. Repeated rows stay. No columns but id and
     text are read. An empty table gives no rows.
     """
-    rows = _classes(documents, doc_id, text, width, distance, small_bucket)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select("doc_id", "fp", "component_id")
+    rows, roots = _classes(documents, doc_id, text, width, distance, small_bucket)
+    # Classes are settled per fingerprint. What is joined is written first: a
+    # join of two plain tables can be split where a fingerprint or a class is hot.
+    first = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    least = materialise(first.join(roots, "fp").groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
+    classes = materialise(roots.join(least, "root").select("fp", "component_id"), "classes")
+    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_each(
@@ -219,8 +221,9 @@ def first_of_each(
     Of rows that share this id the one of the smallest text hash stays, and of
     equal ones any single one.
     """
-    rows = _classes(documents, doc_id, text, width, distance, small_bucket)
-    by_root = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"))
+    rows, roots = _classes(documents, doc_id, text, width, distance, small_bucket)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    by_root = rows.groupBy("fp").agg(F.min(rank).alias("k")).join(roots, "fp").groupBy("root").agg(F.min("k").alias("k"))
     keep = materialise(by_root.select(F.col("k.doc_id").alias("_keep"), F.col("k.text_hash").alias("_hash")), "kept")
     kept = documents.join(
         keep, documents[doc_id].cast("long").eqNullSafe(keep["_keep"]) & (F.xxhash64(documents[text]) == keep["_hash"]), "left_semi"
