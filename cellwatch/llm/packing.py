@@ -7,10 +7,12 @@ never sum to more than 1, so the sum of f over all pieces bounds the number of
 sequences from below. The sums add up over partitions, so the whole corpus has
 such a bound as well, from one histogram of lengths.
 
-While the corpus uses more sequences than its bound, full sequences are closed,
-and the pieces of the open ones are exchanged: dealt anew over fewer partitions
-and packed again. Rounds end when the bound is met, when a round saves nothing,
-or when the open pieces have been packed in one partition.
+While the corpus uses more sequences than its bound, the emptiest sequences of
+all partitions are exchanged: their pieces are dealt anew over fewer partitions
+and packed again, all other sequences are closed. So many are taken that their
+free space could hold twice the sequences to be saved, or as many as fill one
+partition. Rounds end when the bound is met, when a round saves nothing, or when
+the exchanged pieces have been packed in one partition.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from cellwatch.llm.frames import materialise
 from cellwatch.llm.tokens import encoded
 
 CAPACITY = 1024
-PARTITION_PIECES = 100_000
+PARTITION_PIECES = 250_000
 MAX_ROUNDS = 8
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long"
@@ -177,6 +179,17 @@ def _pack_dealt(rows: DataFrame, schema: str, groups: int, round_no: int, capaci
     return dealt.groupBy("_group").applyInPandas(pack_group, schema)
 
 
+def _emptiest(packed: DataFrame, capacity: int, gap: int, partition_pieces: int) -> int:
+    """Up to which fill sequences are exchanged to save ``gap`` of them; read from one row per fill."""
+    rows = packed.groupBy("fill").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("offset") == 0).alias("bins")).collect()
+    free = n = last = 0
+    for r in sorted(rows, key=lambda r: r["fill"]):
+        if r["fill"] == capacity or (free >= 2 * gap * capacity and n + r["n"] > partition_pieces):
+            break
+        free, n, last = free + (capacity - r["fill"]) * r["bins"], n + r["n"], r["fill"]
+    return last
+
+
 def pack(
     pieces: DataFrame,
     *,
@@ -221,12 +234,10 @@ def pack(
         best = (packed, bins)
         if closed_bins + bins <= bound or totals["groups"] <= 1:
             break
-        full = packed.filter(F.col("fill") == capacity)
-        open_rows = packed.filter(F.col("fill") < capacity)
-        left = open_rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("offset") == 0, 1).otherwise(0)).alias("bins")).first()
-        if not left["n"]:
-            break
-        done.append(full)
+        last = _emptiest(packed, capacity, closed_bins + bins - bound, partition_pieces)
+        done.append(packed.filter(F.col("fill") > last))
+        open_rows = packed.filter(F.col("fill") <= last)
+        left = open_rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("offset") == 0).alias("bins")).first()
         closed_bins += bins - left["bins"]
         todo, n, best = open_rows.select(*pieces.columns, "_deal"), left["n"], (open_rows, left["bins"])
     result = best[0]
