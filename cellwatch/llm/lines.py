@@ -90,6 +90,8 @@ def drop_common_lines(
         "lines",
     )
     common = keyed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_documents).select("h1", "h2")
+    # Written, so that the join has two plain sides and a line that very many rows hold can be split.
+    common = materialise(common, "common")
     # Rows of one id and text lose the same lines, so one list serves them all.
     lists = (
         keyed.join(common, ["h1", "h2"])
