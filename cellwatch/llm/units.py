@@ -146,9 +146,10 @@ def repeated_units(
         .drop("last")
     )
     groups = materialise(groups, "repeats")
-    repeats = found.join(groups, ["h1", "h2"]).filter(rank != F.col("first")).distinct()
+    # Written before the next step, so that this join can be split where a unit is very frequent.
+    repeats = materialise(found.join(groups, ["h1", "h2"]).filter(rank != F.col("first")), "occurrences")
     return (
-        _long_runs(repeats, min_run_words, run_gap)
+        _long_runs(repeats.distinct(), min_run_words, run_gap)
         .select(
             "doc_id",
             "text_hash",
