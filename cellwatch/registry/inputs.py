@@ -199,7 +199,7 @@ FROM ev WHERE event_type = 'error'""",
 def keyed_json(spark, sf_dir):
     rows = dt.sensors(dt.events(spark, sf_dir)).withColumns(
         {
-            "sensor_temperature": F.lit(None).cast("double"),
+            **{c: F.lit(None).cast("double") for c in ("lat", "lon", "sensor_temperature")},
             "alert_level": F.lit("HIGH"),
             "fire_related": F.lit(True),
         }
