@@ -222,6 +222,11 @@ def first_of_each(
     equal ones any single one.
     """
     rows, roots = _classes(documents, doc_id, text, width, distance, small_bucket)
+    return firsts(documents, rows, roots, doc_id, text)
+
+
+def firsts(documents: DataFrame, rows: DataFrame, roots: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The first document of each root; ``rows`` and ``roots`` as ``_classes`` gives them."""
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     by_root = rows.groupBy("fp").agg(F.min(rank).alias("k")).join(roots, "fp").groupBy("root").agg(F.min("k").alias("k"))
     keep = materialise(by_root.select(F.col("k.doc_id").alias("_keep"), F.col("k.text_hash").alias("_hash")), "kept")
