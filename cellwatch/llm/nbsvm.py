@@ -6,8 +6,8 @@ counts. Every n-gram is scaled by its class log-count ratio, and a linear
 hinge-loss model is fitted to the scaled indicators by dual coordinate
 descent; a sigmoid fitted to held-back margins turns margins into scores.
 
-The model is fitted on at most ``max_rows`` labelled rows per class, picked by
-a hash of their id, which bounds what the driver holds. Scoring runs over whole
+The model is fitted on all n-grams of at most ``max_rows`` labelled rows per
+class, picked by a hash of their id. Scoring runs over whole
 texts in Arrow batches; the weights are one array of fixed size.
 """
 
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
 MAX_ROWS = 4000
-MAX_FIT_NGRAMS = 2500
 _WINDOW = 1 << 20
 
 
@@ -197,13 +196,7 @@ def learn(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for i, t in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist()):
-                f = ngrams(t, buckets)
-                if len(f) > MAX_FIT_NGRAMS:
-                    # A row of the fit is bounded as well: a random subset, fixed by the id.
-                    f = np.sort(np.random.default_rng(i & 0xFFFFFFFF).choice(f, MAX_FIT_NGRAMS, replace=False))
-                found.append(f.astype("<i4").tobytes())
+            found = [ngrams(t, buckets).astype("<i4").tobytes() for t in batch.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("i"), batch.column("y"), pa.array(found, pa.binary())], names=["i", "y", "f"]
             )
@@ -211,7 +204,8 @@ def learn(
     sample = rows.select("i", "y", "t").mapInArrow(features, "i long, y int, f binary").collect()
     sample.sort(key=lambda r: (r["i"], bytes(r["f"])))
     shuffled = np.random.default_rng(5).permutation(len(sample))
-    grams = [np.frombuffer(sample[k]["f"], "<i4").astype(np.int64) for k in shuffled]
+    # Views of the bytes collected: the n-grams of whole texts are held once.
+    grams = [np.frombuffer(sample[k]["f"], "<i4") for k in shuffled]
     good = np.array([sample[k]["y"] == 1 for k in shuffled], bool)
     return fit(grams, good, shares.get(1, 0) / total if total else 0.5, buckets=buckets)
 

@@ -81,3 +81,13 @@ def test_ngrams_of_a_long_text_equal_those_in_one_window(monkeypatch):
     whole = nbsvm.ngrams(t)
     monkeypatch.setattr(nbsvm, "_WINDOW", 1000)
     assert (nbsvm.ngrams(t) == whole).all()
+
+
+def test_the_fit_reads_whole_texts(spark, monkeypatch):
+    docs, labels = labelled(40)
+    docs = [(i, f"{t} " + " ".join(f"n{i}x{k}" for k in range(4000))) for i, t in docs]
+    seen = []
+    monkeypatch.setattr(nbsvm, "fit", lambda rows, *a, **b: seen.extend(rows))
+    nbsvm.learn(documents(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    whole = {i: nbsvm.ngrams(t) for i, t in docs if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert sorted(map(len, seen)) == sorted(map(len, whole.values())) and min(map(len, seen)) > 4000
