@@ -13,7 +13,7 @@ to itself and to its one-bit neighbours outside the bucket's segment, and all
 that meet at one point are linked to the smallest. Two fingerprints at distance
 2 meet half way, those at distance 1 at either end, so no link is lost, and any
 two that meet are within 2. The work stays in proportion to the bucket. This
-way holds for a distance of 2 only, so no other is offered.
+way holds for a distance of 2 only; ``pairs_within`` takes any distance.
 """
 
 from __future__ import annotations
@@ -235,3 +235,48 @@ def firsts(documents: DataFrame, rows: DataFrame, roots: DataFrame, doc_id: str,
     )
     same = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return kept.dropDuplicates([doc_id, text]) if same.head(1) else kept
+
+
+def pairs_within(points: DataFrame, distance: int, block: int = 1024) -> DataFrame:
+    """All pairs (a, b), a < b, of distinct ``fp`` that differ in at most ``distance`` bits, for any distance under 64.
+
+    Candidates meet in equal segments and must keep the chain's budgets. A
+    bucket of more than ``block`` fingerprints is cut into blocks by hash, and
+    every two blocks meet in a group of their own, so no bucket is one task. No
+    pair is left out; the pairs compared grow with the squares of the buckets,
+    which at large distances (short segments) hold much of the table.
+    """
+    if not 0 <= distance < BITS:
+        raise ValueError("a distance lies between 0 and 63")
+    parts = segments(distance)
+    keys = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("seg"),
+                F.shiftrightunsigned("fp", low).bitwiseAND(F.lit(_mask(0, width)).cast("long")).alias("value"),
+            )
+            for i, (low, width) in enumerate(parts)
+        ]
+    )
+    keyed = points.select("fp").distinct().select("fp", F.explode(keys).alias("k")).select("fp", "k.seg", "k.value")
+    sizes = materialise(keyed.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    crowded = keyed.join(sizes, ["seg", "value"]).withColumn("blocks", blocks)
+    own = crowded.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    # Group (i, j), i <= j, holds the blocks i and j.
+    meets = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "fp", "seg", "value", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    meets = materialise(meets, "meets")
+    a, b = meets.alias("a"), meets.alias("b")
+    x, y = F.col("a.fp"), F.col("b.fp")
+    holds = F.lit(False)
+    for i in range(len(parts)):
+        holds = holds | ((F.col("a.seg") == i) & _chain_holds(x, y, i, distance))
+    same = F.lit(True)
+    for c in ("seg", "value", "i", "j"):
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    # Within the group of two blocks only pairs across them count, so no pair comes from several groups.
+    across = (F.col("a.i") == F.col("a.j")) | (F.col("a.own") != F.col("b.own"))
+    near = same & across & (x < y) & (F.bit_count(x.bitwiseXOR(y)) <= distance)
+    return a.join(b, near).filter(holds).select(x.alias("a"), y.alias("b")).distinct()

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from cellwatch.llm.components import components
-from cellwatch.llm.simhash import fingerprint, first_of_each, links, near_duplicates
+from cellwatch.llm.simhash import fingerprint, first_of_each, links, near_duplicates, pairs_within
 from tests.llm.data import documents, got, in_order
 from tests.llm.data import rows as sample
 
@@ -134,3 +134,11 @@ def test_other_distances_are_refused(spark):
 def test_empty_table(spark):
     assert near_duplicates(documents(spark).limit(0)).count() == 0
     assert first_of_each(documents(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("distance, block", [(0, 1024), (2, 4), (5, 8), (11, 16)])
+def test_any_distance_equals_all_pairs(spark, distance, block):
+    points = sorted(clusters(9, n=25))
+    found = sorted(tuple(r) for r in pairs_within(spark.createDataFrame([(p,) for p in points], "fp long"), distance, block).collect())
+    want = [(a, b) for i, a in enumerate(points) for b in points[i + 1 :] if bin((a ^ b) & (2**64 - 1)).count("1") <= distance]
+    assert found == want
