@@ -6,7 +6,8 @@ over all documents with partial aggregates, so a passage that a third of all
 documents holds stays small before the shuffle; the occurrence of the smallest
 rank (document, then offset) is kept and every other one is reported with its
 offsets in the original text. Neighbouring repeats form a run; runs of few
-words are left alone, as single boilerplate lines are the line dedup's work.
+words are left alone, as single boilerplate lines are the line dedup's work,
+but not where the words around them make a long passage that is repeated.
 """
 
 from __future__ import annotations
@@ -109,6 +110,56 @@ def _long_runs(spans: DataFrame, min_run_words: int, gap: int) -> DataFrame:
     return runs.withColumn("_words", words).filter(F.col("_words") >= min_run_words).select(spans.columns)
 
 
+def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Digests of all runs of ``size`` words around every span of a text; ``at`` is the first word's number."""
+    for batch in batches:
+        row, begin, end, at, digest = [], [], [], [], []
+        for i, (text, cut) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+            words: list[str] = []
+            number, done = {}, 0
+            # Spans end between words, so the words of the parts are those of the text.
+            for p in [*sorted({p for s in cut for p in (s["begin"], s["end"])}), len(text)]:
+                words += _WORD.findall(text[done:p].lower())
+                number[p], done = len(words), p
+            for s in cut:
+                low, high = number[s["begin"]], number[s["end"]]
+                for first in range(max(0, high - size), min(low, len(words) - size) + 1):
+                    row.append(i)
+                    begin.append(s["begin"])
+                    end.append(s["end"])
+                    at.append(first)
+                    digest.append(_digest(words[first : first + size]))
+        pick = pa.array(row, pa.int64())
+        h = np.frombuffer(b"".join(digest), dtype="<i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(pick),
+                batch.column(1).take(pick),
+                pa.array(begin, pa.int32()),
+                pa.array(end, pa.int32()),
+                pa.array(at, pa.int32()),
+                pa.array(np.ascontiguousarray(h[:, 0])),
+                pa.array(np.ascontiguousarray(h[:, 1])),
+            ],
+            names=["doc_id", "text_hash", "begin", "end", "at", "w1", "w2"],
+        )
+
+
+def _in_passages(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """doc_id, text_hash, begin and end of the spans inside ``size`` words in a row that occur earlier as well."""
+    cut = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("begin", "end")).alias("cut"))
+    cut = materialise(cut.select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "cut"), "cut")
+    whole = rows.join(cut, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
+    found = whole.select("doc_id", "text_hash", "text", "cut").mapInArrow(
+        lambda batches: _windows(batches, size), "doc_id long, text_hash long, begin int, end int, at int, w1 long, w2 long"
+    )
+    found = materialise(found, "windows")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "at")
+    first = found.groupBy("w1", "w2").agg(F.min(rank).alias("first"), F.max(rank).alias("last")).filter("first <> last")
+    later = found.join(materialise(first.drop("last"), "passages"), ["w1", "w2"]).filter(rank != F.col("first"))
+    return later.select("doc_id", "text_hash", "begin", "end").distinct()
+
+
 def repeated_units(
     documents: DataFrame,
     *,
@@ -124,7 +175,8 @@ def repeated_units(
     n_words, digest (hex), kept_doc_id and kept_begin of the first occurrence,
     and n_occurrences. Occurrences are ranked by document id (nulls last), text
     hash and begin, so repeats inside one text go as well. Runs of repeats of
-    fewer than ``min_run_words`` words are left out. Rows that are equal
+    fewer than ``min_run_words`` words are left out, unless the unit lies inside
+    that many words in a row that occur earlier as well, whatever their sentences. Rows that are equal
     in id and text are one document. Null, empty and short texts have no units.
     An empty table gives no rows. Other columns are not read.
     """
@@ -148,8 +200,19 @@ def repeated_units(
     groups = materialise(groups, "repeats")
     # Written before the next step, so that this join can be split where a unit is very frequent.
     repeats = materialise(found.join(groups, ["h1", "h2"]).filter(rank != F.col("first")), "occurrences")
+    repeats = repeats.distinct()
+    kept = materialise(_long_runs(repeats, min_run_words, run_gap), "runs")
+    place = ["doc_id", "text_hash", "begin", "end"]
+    # What stands in a short run may still be part of a long passage whose other sentences differ at an end.
+    same = F.lit(True)
+    for c in place:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}"))
+    short = materialise(repeats.alias("r").join(kept.select(place).alias("k"), same, "left_anti"), "short")
+    alike = found.join(short.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").filter(F.col("n_words") < min_run_words)
+    passages = materialise(_in_passages(rows, alike, min_run_words), "in_passages")
+    more = short.alias("r").join(passages.alias("k"), same, "left_semi")
     return (
-        _long_runs(repeats.distinct(), min_run_words, run_gap)
+        kept.unionByName(more)
         .select(
             "doc_id",
             "text_hash",

@@ -85,3 +85,13 @@ def test_awkward_rows_and_empty_table(spark):
     assert repeated_units(documents(spark)).count() > 0
     assert repeated_units(documents(spark).limit(0)).count() == 0
     assert got(repeated_units(documents(spark, [(1, None), (None, "a")])), "doc_id") == []
+
+
+def test_one_sentence_of_a_long_passage_is_enough(spark):
+    words = [f"v{i}" for i in range(58)]
+    words[22], words[34] = "v22.", "v34."
+    inner = " ".join(words)
+    pairs = [(1, f"{passage(70, 1)} Before it {inner} after it."), (2, f"{passage(71, 1)} Other words {inner} and more.")]
+    found = [tuple(r) for r in repeated_units(documents(spark, pairs)).select("doc_id", "begin", "end", "n_words").collect()]
+    (doc, begin, end, n), = found
+    assert (doc, n) == (2, 12) and pairs[1][1][begin:end] == " ".join(words[23:35])
