@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwatch.llm import decontaminate, hosts, lines, nbsvm, packing, planes, rules, simhash, units, warc
+from cellwatch.llm import (
+    decontaminate,
+    hosts,
+    lines,
+    nbsvm,
+    packing,
+    pii,
+    planes,
+    repair,
+    rules,
+    simhash,
+    spelling,
+    units,
+    warc,
+)
 from cellwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -344,3 +358,167 @@ FROM r JOIN v USING (host)"""
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return hosts.judged(pages, page_outcomes(pages, table(spark, sf_dir, "labels")), URL_RULES)
+
+
+# CRC-32 in SQL: the table of its polynomial, and the checksum of a list of bytes.
+CRC_SQL = """crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS tab)"""
+
+
+def crc_of(bytes_list: str) -> str:
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {bytes_list}), "
+        "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+# Code points up to U+00FF as UTF-8: one byte or two.
+_BYTES = (
+    "flatten(list_transform(string_split(x, ''), lambda y: CASE WHEN ord(y) < 128 THEN [ord(y)::BIGINT] "
+    "ELSE [(192 + (ord(y) >> 6))::BIGINT, (128 + (ord(y) & 63))::BIGINT] END))"
+)
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC_SQL},
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d,
+         unnest(regexp_extract_all(translate(text, {LETTERS}), '[A-Za-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS w
+  FROM documents),
+x AS (SELECT w, d || ':' || w AS x FROM r),
+h AS (SELECT w, {crc_of(_BYTES)} AS h FROM x, crc),
+c AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w FROM h),
+v AS (SELECT w AS word, count(*) AS n FROM c WHERE length(w) >= 7 GROUP BY w HAVING count(*) >= 2),
+g AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v),
+less AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS s FROM g),
+near AS (
+  SELECT DISTINCT * FROM (
+    SELECT a.word, b.word AS near FROM less a JOIN less b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+    UNION ALL SELECT a.word, b.word FROM less a JOIN v b ON a.s = b.word
+    UNION ALL SELECT b.word, a.word FROM less a JOIN v b ON a.s = b.word)),
+best AS (
+  SELECT near.word, v.word AS form, v.n AS form_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN v ON near.near = v.word
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY v.n DESC, v.word) = 1),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form END AS form,
+         CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n
+  FROM v LEFT JOIN best ON v.word = best.word),
+steps AS (
+  SELECT word, form AS at FROM f WHERE form IS NOT NULL
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN f ON s.at = f.word AND f.form IS NOT NULL),
+roots AS (SELECT s.word, s.at AS root FROM steps s JOIN f ON s.at = f.word AND f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN roots ON f.word = roots.word"""
+
+
+def mangled_words(docs: DataFrame, least: int = 7) -> DataFrame:
+    """word: the lower-cased runs of all texts; a checksum takes one letter out of every 31st, for spelling errors to be there."""
+    runs = docs.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("d"),
+        F.explode(spelling.lower_runs(F.col("text"), least)).alias("run"),
+    ).withColumn("h", F.crc32(F.concat("d", F.lit(":"), "run")))
+    without = F.expr("concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2))")
+    return runs.select(F.when(F.col("h") % 31 == 0, without).otherwise(F.col("run")).alias("word"))
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(mangled_words(table(spark, sf_dir, "documents")))
+    return spelling.variant_groups(counts)
+
+
+def span_list(found: Column, base_only: bool = False) -> Column:
+    """kind:start:end of spans as listed, comma-joined."""
+    rows = F.filter(found, lambda s: s["base"]) if base_only else found
+    return F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.with_spans(docs.select("doc_id", "text"), pii.learn(docs)).drop("text")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(span_list(F.col("spans"), True), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+    )
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE {CRC_SQL},
+x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS x
+  FROM conversations),
+h AS (SELECT *, {crc_of(_BYTES)} % 20 AS h FROM x, crc),
+d AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS again,
+         CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM h WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), again) AS i FROM d),
+m AS (
+  SELECT *, substr(role, 1, 1) AS k, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again2,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') AS cut,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM o),
+t AS (
+  SELECT *, NOT blank AND again2 AS dup, blank OR again2 AS must, (NOT blank AND NOT again2 AND cut)::INT AS t FROM m),
+n AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, CAST(sum(t) AS BIGINT) AS truncated,
+         count(*) FILTER (before || k NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM t GROUP BY conv_id),
+g AS (
+  SELECT conv_id, n + 1 AS i, 0 AS c0, 4 AS c1, 2 AS c2, 0 AS c3 FROM n
+  UNION ALL
+  SELECT conv_id, i, least(g0, 2 + least(g2, 2 + g3)), least(g1, 2 + least(g2, 2 + g3)), least(g2, 2 + g3), least(g3, 2 + g2)
+  FROM (
+    SELECT t.conv_id, t.i,
+           least(3 + c0, CASE WHEN NOT must THEN least(2 + t + c2, CASE k WHEN 's' THEN t + c1 WHEN 'u' THEN t + c2 END) END) AS g0,
+           least(3 + c1, CASE WHEN NOT must THEN least(2 + t + c2, CASE k WHEN 'u' THEN t + c2 END) END) AS g1,
+           least(3 + c2, CASE WHEN NOT must THEN least(2 + t + c3, CASE k WHEN 'a' THEN t + c3 END) END) AS g2,
+           least(3 + c3, CASE WHEN NOT must THEN least(2 + t + c2, CASE k WHEN 'u' THEN t + c2 END) END) AS g3
+    FROM g JOIN t ON t.conv_id = g.conv_id AND t.i = g.i - 1)),
+c AS (
+  SELECT conv_id, i, unnest([c0, c1, c2, c3]) AS c, unnest([0, 1, 2, 3]) AS q FROM g),
+-- Every state with its next letter; q2 is the state after it.
+e AS (
+  SELECT h.conv_id, h.i, h.q, arg_min(a, l) AS a, min(l) AS l FROM (
+    SELECT c.conv_id, c.i, c.q, c.c, t.t, t.must, t.k, t.role, t.text, unnest(['D', 'I', 'K', 'R']) AS l
+    FROM c LEFT JOIN t ON t.conv_id = c.conv_id AND t.i = c.i) h,
+    LATERAL (SELECT CASE l WHEN 'D' THEN q WHEN 'K' THEN CASE k WHEN 's' THEN CASE q WHEN 0 THEN 1 END
+                 WHEN 'u' THEN CASE WHEN q <> 2 THEN 2 END WHEN 'a' THEN CASE q WHEN 2 THEN 3 END END
+               ELSE CASE q WHEN 2 THEN 3 ELSE 2 END END AS q2,
+             CASE l WHEN 'D' THEN 3 WHEN 'I' THEN 2 WHEN 'K' THEN CASE WHEN NOT must THEN t END
+               ELSE CASE WHEN NOT must THEN 2 + t END END AS cost) s,
+    LATERAL (SELECT q2, CASE l WHEN 'I' THEN h.i ELSE h.i + 1 END AS i2,
+             CASE l WHEN 'D' THEN NULL WHEN 'K' THEN role || ':' || text
+               ELSE CASE q2 WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE l WHEN 'R' THEN text ELSE '' END END AS line) a
+    JOIN c c2 ON c2.conv_id = h.conv_id AND c2.i = i2 AND c2.q = s.q2
+  WHERE h.c = cost + c2.c GROUP BY ALL),
+w AS (
+  SELECT conv_id, 1::BIGINT AS i, 0 AS q, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM n
+  UNION ALL
+  SELECT w.conv_id, a.i2, a.q2, audit || l, CASE WHEN a.line IS NULL THEN lines ELSE list_append(lines, a.line) END
+  FROM w JOIN e ON e.conv_id = w.conv_id AND e.i = w.i AND e.q = w.q),
+z AS (SELECT w.* FROM w JOIN n ON n.conv_id = w.conv_id AND w.i = n.n + 1 WHERE q IN (0, 3))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(c0, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id = a.conv_id
+  LEFT JOIN z ON z.conv_id = a.conv_id LEFT JOIN g ON g.conv_id = a.conv_id AND g.i = 1"""
+
+
+@query("op13_conversation_repair", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repairs(repair.damaged(conversations), conversations.select("conv_id"))
