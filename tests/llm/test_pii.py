@@ -100,7 +100,7 @@ def test_hidden_data_is_found_and_plain_numbers_stay(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = pii.learn(docs)
     hidden = [
-        ("email", "thonion the [at] ", "anna.berg42 [at] mail3 [dot] example [dot] com"),
+        ("email", "thonion the ", "anna.berg42 [at] mail3 [dot] example [dot] com"),
         ("card", "in that ", "4111.1111.1111.1111"),
         ("phone", "erthen. ", "+1 (426) 555-4081 190.137.223.204"),
     ]
@@ -109,7 +109,7 @@ def test_hidden_data_is_found_and_plain_numbers_stay(spark):
         base = pii.base_spans(whole)
         added = model.added(whole, base)
         assert [pii.KINDS[s[0]] for s, _ in added] == [kind]
-    for clean in ("on 2024-01-05 at 10:30", "version 1.2.3.400 of", "order 3818120573288004 in", "about 1,000,000 or 3.14159", "at noon. Then"):
+    for clean in ("on 2024-01-05 at 10:30", "version 1.2.3.400 of", "order 3818120573288004 in", "about 1,000,000 or 3.14159", "at noon. Then", "us @ home. Then", "one (at) noon. It"):
         assert not model.added(f"the {clean} that", pii.base_spans(clean))
 
 
