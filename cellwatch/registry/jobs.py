@@ -29,28 +29,38 @@ from cellwatch.schemas import (
 from cellwatch.session import materialise, scratch_path
 from cellwatch.sinks.tables import Table
 from cellwatch.sources.decode import accepted, decode_events, require_keys
-from cellwatch.sources.streams import RECORD_SCHEMA, json_file_events, table_stream, with_arrival_order
+from cellwatch.sources.record_log import log_records, write_log
+from cellwatch.sources.streams import json_file_events, table_stream, with_arrival_order
 from cellwatch.streaming.confirm_stream import confirm_batches, confirm_records
+from cellwatch.streaming.day_state import confirm_with_state
 from cellwatch.streaming.outputs import append_stream
 
 STEPS = 3
 
 
-def arriving(df, order: str, path: str, start: int = 0, stop: int = STEPS, form: str = "parquet"):
-    """Write ``df`` step by step in ``order``, so that a stream over ``path`` finds older files first."""
+def steps_of(df, order: str):
+    """The rows in ``STEPS`` steps of equal width in ``order``."""
     low, high = df.agg(F.min(order), F.max(order)).first()
-    for i in range(start, stop):
-        a, b = (low + (high + 1 - low) * k // STEPS for k in (i, i + 1))
-        step = df.filter((F.col(order) >= a) & (F.col(order) < b))
-        # One file a step here; a step could as well be a day's folder of files.
-        step.coalesce(1).write.mode("append").format(form).save(path)
+    cuts = [low + (high + 1 - low) * k // STEPS for k in range(STEPS + 1)]
+    return [df.filter((F.col(order) >= a) & (F.col(order) < b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def files_of(df) -> int:
+    """How many files a step of the table gets: as many as the scan has tasks, and several anyway."""
+    return max(4, df.rdd.getNumPartitions())
+
+
+def arriving(df, order: str, path: str, start: int = 0, stop: int = STEPS):
+    """Write ``df`` step by step, each as equally many files; a stream that takes so many at a time takes a step."""
+    for step in steps_of(df, order)[start:stop]:
+        step.repartition(files_of(df)).write.mode("append").parquet(path)
     return path
 
 
 def _events_arriving(spark, sf_dir):
     raw = dt.table(spark, sf_dir, "events")
     path = arriving(raw, "event_id", scratch_path(spark, "events"))
-    return dt.shape_events(table_stream(spark, path, raw.schema, max_files=1))
+    return dt.shape_events(table_stream(spark, path, raw.schema, max_files=files_of(raw)))
 
 
 def _rows(job: RiskJob, ev):
@@ -67,6 +77,11 @@ def finish(running, batches: int = STEPS):
         raise ValueError(f"the stream took {taken} micro-batches, not {batches}")
 
 
+def _ordered_records(spark, sf_dir):
+    """Records in arrival order; they are made up at some cost here and read several times, so they are written first."""
+    return with_arrival_order(materialise(dt.records(spark, sf_dir), "log"))
+
+
 def _halves(spark, sf_dir):
     """The events in two batches, split where half of the cells' time is over."""
     ev = dt.events(spark, sf_dir)
@@ -176,8 +191,11 @@ def _once(make):
     """One run of a job per session and version of its input, whichever of its tables is asked for."""
 
     def tables(spark, sf_dir):
-        changed = dt.table(spark, sf_dir, "events").agg(F.max("_metadata.file_modification_time"), F.count(F.lit(1)))
-        key = (make.__name__, spark.sparkContext.applicationId, sf_dir, *changed.first())
+        versions = [
+            dt.table(spark, sf_dir, t).agg(F.max("_metadata.file_modification_time"), F.count(F.lit(1))).first()
+            for t in ("events", "customer")
+        ]
+        key = (make.__name__, spark.sparkContext.applicationId, sf_dir, *versions)
         if key not in _written:
             _written[key] = make(spark, sf_dir)
         return _written[key]
@@ -190,7 +208,7 @@ def _job_tables(spark, sf_dir):
     """Two batches of records, decoded, located, scored, confirmed and written."""
     job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
     tables = Tables(scratch_path(spark, "job"))
-    records = materialise(with_arrival_order(dt.records(spark, sf_dir)), "records")
+    records = materialise(_ordered_records(spark, sf_dir), "records")
     middle = records.agg(F.expr("(min(seq.clock) + max(seq.clock)) div 2")).first()[0]
     for batch, part in enumerate((F.col("seq.clock") <= middle, F.col("seq.clock") > middle)):
         write_batch(job, job.marked_rows_of(records.filter(part)), tables, batch)
@@ -244,7 +262,7 @@ def job_quarantine(spark, sf_dir):
 def job_counts(spark, sf_dir):
     """Records in, and rows kept plus rows in quarantine; nothing gets lost between the two."""
     job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
-    records = with_arrival_order(dt.records(spark, sf_dir))
+    records = _ordered_records(spark, sf_dir)
     rows = job.marked_rows_of(records)
     kept = rows.agg(F.count_if(F.col("stage").isNull()).alias("kept"), F.count("stage").alias("refused"))
     counted = records.agg(F.count(F.lit(1)).alias("n_in"))
@@ -276,12 +294,10 @@ def stream_json_text(spark, sf_dir):
     sensors = dt.sensors(dt.events(spark, sf_dir)).withColumns(
         {"alert_level": F.lit(None).cast("string"), "fire_related": F.lit(None).cast("boolean")}
     )
-    folder, low = scratch_path(spark, "lines"), sensors.agg(F.min("seq"), F.max("seq")).first()
-    for i in range(STEPS):
-        a, b = (low[0] + (low[1] + 1 - low[0]) * k // STEPS for k in (i, i + 1))
-        lines = sensors.filter((F.col("seq") >= a) & (F.col("seq") < b)).select(dt.event_json("sensor"))
-        lines.coalesce(1).write.mode("append").text(folder)
-    typed = require_keys(accepted(decode_events(json_file_events(spark, folder, max_files=1), "sensor")))
+    folder, files = scratch_path(spark, "lines"), files_of(sensors)
+    for step in steps_of(sensors, "seq"):
+        step.select(dt.event_json("sensor")).repartition(files).write.mode("append").text(folder)
+    typed = require_keys(accepted(decode_events(json_file_events(spark, folder, max_files=files), "sensor")))
     kept = typed.select("h3_cell", "event_time", "event_date", "co2", "battery")
     table = Table(scratch_path(spark, "typed"), kept.schema)
     finish(append_stream(kept, table, scratch_path(spark, "stream"), availableNow=True))
@@ -308,19 +324,47 @@ def stream_batch_training(spark, sf_dir):
 
 @_once
 def _restarted_tables(spark, sf_dir):
-    """The stream of records stops after some micro-batches and goes on from its checkpoint; tables are folded."""
+    """A log of records grows by steps; the stream over it stops after two of them and goes on from its checkpoint."""
     job = dt.job(spark, sf_dir, index=dt.index(spark, sf_dir))
-    tables, checkpoint = Tables(scratch_path(spark, "job")), scratch_path(spark, "stream")
-    records = materialise(with_arrival_order(dt.records(spark, sf_dir)).withColumn("at", F.col("seq.clock")), "records")
-    path, columns = scratch_path(spark, "log"), [c.split(" ")[0] for c in RECORD_SCHEMA.split(", ")]
+    tables, checkpoint, path = Tables(scratch_path(spark, "job")), scratch_path(spark, "stream"), scratch_path(spark, "log")
+    records = materialise(_ordered_records(spark, sf_dir).withColumn("at", F.col("seq.clock")), "records")
+    taken, running = 0, None
+    for i, step in enumerate(steps_of(records, "at")):
+        write_log(step, path)
+        if running is None:
+            stream = log_records(spark, path, progress=f"{checkpoint}-progress")
+            running = confirm_records(job, stream, tables, checkpoint, fold_every=1, processingTime="0 seconds")
+        running.processAllAvailable()
+        if i >= STEPS - 2:
+            taken += sum(1 for p in running.recentProgress if p["numInputRows"])
+            running.stop()
+            running = None
+    if taken < STEPS:
+        raise ValueError(f"the stream took {taken} micro-batches, not {STEPS}")
+    return tables
+
+
+def _stateful_tables(spark, sf_dir):
+    """Keyed state in the stream's store; the stream stops after two steps and goes on from its checkpoint."""
+    job, tables = dt.job(spark, sf_dir), Tables(scratch_path(spark, "job"))
+    raw, path, checkpoint = dt.table(spark, sf_dir, "events"), scratch_path(spark, "events"), scratch_path(spark, "stream")
     for start, stop in ((0, STEPS - 1), (STEPS - 1, STEPS)):
-        # The column of the cut stays in the files; the stream does not read it.
-        arriving(records.select(*columns, "at"), "at", path, start, stop)
-        stream = table_stream(spark, path, RECORD_SCHEMA, max_files=1)
-        finish(confirm_records(job, stream, tables, checkpoint, fold_every=1, availableNow=True), stop - start)
+        arriving(raw, "event_id", path, start, stop)
+        rows = _rows(job, dt.shape_events(table_stream(spark, path, raw.schema, max_files=files_of(raw))))
+        finish(confirm_with_state(job, rows, tables, checkpoint, availableNow=True), stop - start)
     return tables
 
 
+@query("stateful_outcomes", DAILY_OUTCOMES_SQL)
+def stateful_outcomes(spark, sf_dir):
+    return _stateful_tables(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)
+
+
+@query("stateful_training", DAILY_TRAINING_SQL)
+def stateful_training(spark, sf_dir):
+    return _stateful_tables(spark, sf_dir).training.read(spark).select(TRAINING_COLUMNS)
+
+
 @query("stream_restart_outcomes", DAILY_OUTCOMES_SQL.replace(EV, _LOG))
 def stream_restart_outcomes(spark, sf_dir):
     return _restarted_tables(spark, sf_dir).outcomes.read(spark).select(OUTCOME_COLUMNS)

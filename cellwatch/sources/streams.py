@@ -9,26 +9,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellwatch.operators.skew import CUTS, PART, SplitPolicy, cut_points, part_of
 from cellwatch.schemas import TOPICS
 from cellwatch.sources.decode import decode_events
 
 RECORD_SCHEMA = "kind string, value string, stamp bigint, partition int, offset bigint"
 
 
-def with_arrival_order(records: DataFrame) -> DataFrame:
+def with_arrival_order(records: DataFrame, policy: SplitPolicy = SplitPolicy()) -> DataFrame:
     """Adds ``seq``, the complete order: clock, then topic, partition and offset.
 
     The clock is the newest broker time of the topic partition up to the
     record, so times that go back never reorder a partition. No two records
     share a ``seq``, and none of its parts is shortened. Batch only; on streams
-    it applies to each micro-batch, which follow one another anyway. Every topic
-    partition is one window, as it is one task of the reader.
+    it applies to each micro-batch, which follow one another anyway.
+
+    The clock is a running maximum. A topic partition that fills several ranges
+    of a sort by offset is cut where they meet (``operators.skew``): every part
+    runs over its own records, and one row per part carries the maximum of the
+    parts before it.
     """
     topic = F.array_position(F.array(*[F.lit(k) for k in TOPICS]), F.col("kind")).cast("int")
-    log = Window.partitionBy("kind", "partition").orderBy("offset")
-    clock = F.max("stamp").over(log.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    logs = records.withColumn("_log", F.struct("kind", "partition"))
+    cuts = cut_points(logs, "_log", "offset", policy)
+    parts = logs.join(cuts, "_log", "left").withColumn(PART, part_of(F.col(CUTS), F.col("offset"))).drop(CUTS)
+    earlier = Window.partitionBy("_log").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    ends = parts.groupBy("_log", PART).agg(F.max("stamp").alias("_end"))
+    carried = ends.select("_log", PART, F.max("_end").over(earlier).alias("_carried"))
+    own = Window.partitionBy("_log", PART).orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = parts.withColumn("_own", F.max("stamp").over(own)).join(carried, ["_log", PART])
+    clock = F.greatest("_own", "_carried")
     seq = F.struct(clock.alias("clock"), topic.alias("topic"), F.col("partition"), F.col("offset"))
-    return records.withColumn("seq", seq)
+    return run.withColumn("seq", seq).select(*records.columns, "seq")
 
 
 def decoded(records: DataFrame) -> dict[str, DataFrame]:

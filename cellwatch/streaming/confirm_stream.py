@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from cellwatch.plans.risk import RiskJob, Tables, write_batch
+from cellwatch.session import materialise
 from cellwatch.sources.streams import with_arrival_order
 from cellwatch.streaming.outputs import start_batches
 
@@ -41,7 +42,13 @@ def confirm_batches(
 
 
 def confirm_records(job: RiskJob, records: DataFrame, tables: Tables, checkpoint: str, **options):
-    """The same for a stream of event records: ordered, decoded, located, scored and confirmed."""
-    return confirm_batches(
-        job, records, tables, checkpoint, lambda batch: job.marked_rows_of(with_arrival_order(batch)), **options
-    )
+    """The same for a stream of event records: ordered, decoded, located, scored and confirmed.
+
+    The records of a micro-batch are written first: several steps read them,
+    and the source is asked once.
+    """
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return job.marked_rows_of(with_arrival_order(materialise(batch, "records")))
+
+    return confirm_batches(job, records, tables, checkpoint, prepare, **options)
