@@ -23,6 +23,8 @@ from cellwatch.registry.common import (
     z_score,
 )
 from cellwatch.schemas import PREDICTION_COLUMNS
+from cellwatch.session import scratch_path
+from cellwatch.sources import dimensions
 
 
 def snapshots(spark, sf_dir):
@@ -34,6 +36,31 @@ def encoder_export(spark, sf_dir):
     return dt.encoder(spark, sf_dir)
 
 
+@query("model_resources", sql(
+    CELLS, ENCODER,
+    select="""SELECT 'h3_commune' AS feature, class, code, 0.55::DOUBLE AS medium, 0.7::DOUBLE AS high, 23 AS n_features FROM enc""",
+))
+def model_resources(spark, sf_dir):
+    """The model's three resource files, written from the tables and loaded: class lists, feature list, thresholds.
+
+    A class list is one JSON value, so it is one row here too.
+    """
+    encoder, features, limits = (scratch_path(spark, n) for n in ("encoders", "features", "thresholds"))
+    kept = dt.all_cells(spark, sf_dir).filter(F.col("c_mktsegment") != dt.NO_CODE_SEGMENT)
+    classes = kept.agg(F.sort_array(F.collect_set("h3_cell")).alias("c"))
+    classes.select(F.to_json(F.create_map(F.lit("h3_commune"), "c"))).write.text(encoder)
+    one = spark.range(1)
+    one.select(F.to_json(F.array(*[F.lit(f) for f in scoring.MODEL_FEATURES]))).write.text(features)
+    values = {"MEDIUM_THRESHOLD": scoring.Thresholds().medium, "HIGH_THRESHOLD": scoring.Thresholds().high}
+    one.select(F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in values.items()]))).write.text(limits)
+    medium, high = dimensions.read_thresholds(spark, limits)
+    n = len(dimensions.read_feature_list(spark, features))
+    return dimensions.read_encoders(spark, encoder).select(
+        F.col("column").alias("feature"), "class", "code", F.lit(medium).alias("medium"), F.lit(high).alias("high"),
+        F.lit(n).alias("n_features"),
+    )
+
+
 @query(
     "encode_strict",
     sql(

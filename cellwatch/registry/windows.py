@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellwatch.operators import aggregate, enrich, history
+from cellwatch.operators import aggregate, enrich, history, partials
 from cellwatch.plans import driver_tables as dt
 from cellwatch.plans.risk import snapshot_scores
 from cellwatch.registry.common import BASE, CELLS, ENCODER, EV, UNIFIED, calendar, day, num, query, scores, slot, sql
 from cellwatch.registry.inputs import SNAPSHOT_SELECT, unified, unified_alone
 from cellwatch.schemas import METADATA_COLUMNS, PREDICTION_COLUMNS, STATIC_COLUMNS
+from cellwatch.session import scratch_path
+from cellwatch.sinks.tables import Table
 from cellwatch.sources import payload
 
 _STATIC_MAX = ", ".join(f"any_value(st.{c}) AS {c}" for c in STATIC_COLUMNS)
@@ -44,6 +46,18 @@ def cell_windows(spark, sf_dir):
     return aggregate.cell_windows(unified_alone(spark, sf_dir), static=dt.static(spark, sf_dir))
 
 
+@query("cell_windows_merged", sql(*BASE, UNIFIED, WINDOWS, select=f"SELECT {_WIN_SELECT} FROM win w"))
+def cell_windows_merged(spark, sf_dir):
+    """The same from stored partials of three batches that share windows; one batch is written twice."""
+    events, static = unified_alone(spark, sf_dir), dt.static(spark, sf_dir)
+    table = None
+    for batch, part in ((0, 0), (1, 1), (0, 0), (2, 2)):
+        rows = partials.partial_windows(events.filter(F.col("seq") % 3 == part))
+        table = table or Table(scratch_path(spark, "partials"), rows.schema)
+        table.write(rows, "a", batch)
+    return partials.finished_windows(partials.merge_partials(table.read(spark)), static)
+
+
 def changing_static(spark, sf_dir):
     """Events that carry static values of their own, which change and are missing now and then."""
     k = F.col("k").cast("double")

@@ -286,3 +286,24 @@ def test_repeated_cells_count_once(spark):
     )
     pairs = [tuple(r) for r in cells.adjacency(centres).collect()]
     assert sorted(pairs) == [("a", "b"), ("b", "a")]
+
+
+def test_partials_of_partials_equal_one_pass(spark):
+    """Merging in any grouping, over batches of one cell's windows, with and without static values of the events."""
+    from cellwatch.operators import aggregate, partials
+    from cellwatch.registry.windows import changing_static
+
+    events = changing_static(spark, "/root/testdata/sf0.001")
+    parts = [partials.partial_windows(events.filter(F.col("seq") % 4 == i)) for i in range(4)]
+    early = partials.merge_partials(parts[2].unionByName(parts[0]))
+    merged = partials.merge_partials(parts[3].unionByName(early).unionByName(parts[1]))
+
+    def rows(df):
+        return sorted(
+            (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=lambda r: (r[0], r[2])
+        )
+
+    once = aggregate.cell_windows(events)
+    out = partials.finished_windows(merged)
+    assert out.columns == once.columns and rows(out) == rows(once)
+    assert partials.merge_partials(partials.partial_windows(events.limit(0))).count() == 0
