@@ -85,7 +85,7 @@ def _stops(spelled: DataFrame) -> DataFrame:
 
 
 def _edges(stops: DataFrame) -> DataFrame:
-    """node, label, child and ``ending``: the word that ends at the child, if one does."""
+    """node, first, label, child, ``ending``: the word that ends at the child, and ``nexts``: first letters of the child's edges."""
     n = F.size("stops")
     pairs = F.when(n > 1, F.arrays_zip(
         F.slice("stops", F.lit(1), n - 1).alias("a"), F.slice("stops", F.lit(2), n - 1).alias("b")
@@ -97,9 +97,13 @@ def _edges(stops: DataFrame) -> DataFrame:
         F.expr("CASE WHEN e.b.terminal THEN substring(s, 1, e.b.p) END").alias("ending"),
     )
     first = F.substring("label", 1, 1)
-    return steps.groupBy("node", first.alias("first")).agg(
+    edges = steps.groupBy("node", first.alias("first")).agg(
         F.min("label").alias("label"), F.min("child").alias("child"), F.min("ending").alias("ending")
     )
+    edges = materialise(edges, "trie-edges")
+    # As many letters as the alphabet has, at most.
+    letters = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("nexts"))
+    return edges.join(letters, "child", "left").withColumn("nexts", F.coalesce("nexts", F.lit("")))
 
 
 _STATE = ["way", "s", "pos", "node", "edits", "ending"]
@@ -115,16 +119,21 @@ def _first_states(stops: DataFrame) -> DataFrame:
 
 
 def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """States one edge further: along the word, or with the one edit at the start of the edge."""
+    """States one edge further: along the word, or with the one edit at the start of the edge.
+
+    After the edit a state lives on only where a word ends with it or an edge
+    goes on with its next letter.
+    """
     joined = states.drop("ending").join(edges, "node").selectExpr(
-        "way", "s", "pos", "edits", "label", "child", "ending", "length(label) AS size",
+        "way", "s", "pos", "edits", "label", "child", "ending", "nexts", "length(label) AS size",
         "substring(s, pos + 1, 1) = first AS own", "substring(label, 2) AS tail", "length(s) AS whole",
     )
 
     def state(condition: str, pos: str, edits: int) -> Column:
+        alive = f"({pos} = whole AND ending IS NOT NULL OR {pos} < whole AND instr(nexts, substring(s, {pos} + 1, 1)) > 0)"
         return F.expr(
-            f"CASE WHEN {condition} THEN named_struct('way', way, 's', s, 'pos', {pos}, 'node', child, "
-            f"'edits', {edits}, 'ending', ending) END"
+            f"CASE WHEN {condition}{f' AND {alive}' if edits else ''} THEN named_struct('way', way, 's', s, 'pos', {pos}, "
+            f"'node', child, 'edits', {edits}, 'ending', ending) END"
         )
 
     nexts = F.array(
