@@ -55,11 +55,18 @@ def _spelled(words: DataFrame) -> DataFrame:
     return words.select(F.inline(ways))
 
 
+def _bit(number: Column) -> Column:
+    """A mask with the one bit that stands for ``number``."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+
+
 def _stops(spelled: DataFrame) -> DataFrame:
     """way, s, start and ``stops``: the places on the path of ``s`` where words part or end.
 
     A neighbour is at most one letter longer, so its path counts from one
-    letter before its own start.
+    letter before its own start. ``letters`` and ``rests`` are masks of the
+    letters and of the whole remainders that go on from a place; a clear bit
+    says that there is none, a set one says nothing.
     """
     size = F.length("s")
     # Long words are known by a digest, so that their places do not carry them.
@@ -71,21 +78,27 @@ def _stops(spelled: DataFrame) -> DataFrame:
             p.alias("p"),
             F.xxhash64("way", F.substring("s", F.lit(1), p)).alias("node"),
             F.substring("s", p + 1, F.lit(1)).alias("letter"),
+            F.xxhash64(F.substring("s", p + 1, size)).alias("rest"),
         ),
     )
     places = spelled.select("way", "key", F.inline(place))
     # The end of a word is the empty letter, the smallest.
-    nodes = places.groupBy("node").agg(F.min("letter").alias("low"), F.max("letter").alias("high"))
+    nodes = places.groupBy("node").agg(
+        F.min("letter").alias("low"),
+        F.max("letter").alias("high"),
+        F.bit_or(_bit(F.ascii("letter"))).alias("letters"),
+        F.bit_or(_bit(F.col("rest"))).alias("rests"),
+    )
     parting = nodes.filter((F.col("low") != F.col("high")) | (F.col("low") == "")).select(
-        "node", (F.col("low") == "").alias("terminal")
+        "node", (F.col("low") == "").alias("terminal"), "letters", "rests"
     )
-    stop = F.struct("p", "node", "terminal")
+    stop = F.struct("p", "node", "terminal", "letters", "rests")
     stops = places.join(parting, "node").groupBy("way", "key").agg(F.sort_array(F.collect_list(stop)).alias("stops"))
     return spelled.join(stops, ["way", "key"]).select("way", "s", "start", "stops")
 
 
 def _edges(stops: DataFrame) -> DataFrame:
-    """node, first, label, child, ``ending``: the word that ends at the child, and ``nexts``: first letters of the child's edges."""
+    """node, first, label, child, ``ending``: the word that ends at the child, and the masks of the child."""
     n = F.size("stops")
     pairs = F.when(n > 1, F.arrays_zip(
         F.slice("stops", F.lit(1), n - 1).alias("a"), F.slice("stops", F.lit(2), n - 1).alias("b")
@@ -95,15 +108,12 @@ def _edges(stops: DataFrame) -> DataFrame:
         F.expr("substring(s, e.a.p + 1, e.b.p - e.a.p)").alias("label"),
         F.col("e.b.node").alias("child"),
         F.expr("CASE WHEN e.b.terminal THEN substring(s, 1, e.b.p) END").alias("ending"),
+        F.col("e.b.letters").alias("letters"),
+        F.col("e.b.rests").alias("rests"),
     )
     first = F.substring("label", 1, 1)
-    edges = steps.groupBy("node", first.alias("first")).agg(
-        F.min("label").alias("label"), F.min("child").alias("child"), F.min("ending").alias("ending")
-    )
-    edges = materialise(edges, "trie-edges")
-    # As many letters as the alphabet has, at most.
-    letters = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set("first"), "").alias("nexts"))
-    return edges.join(letters, "child", "left").withColumn("nexts", F.coalesce("nexts", F.lit("")))
+    columns = ["label", "child", "ending", "letters", "rests"]
+    return steps.groupBy("node", first.alias("first")).agg(*[F.min(c).alias(c) for c in columns])
 
 
 _STATE = ["way", "s", "pos", "node", "edits", "ending"]
@@ -121,16 +131,22 @@ def _first_states(stops: DataFrame) -> DataFrame:
 def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States one edge further: along the word, or with the one edit at the start of the edge.
 
-    After the edit a state lives on only where a word ends with it or an edge
-    goes on with its next letter.
+    After the edit a state lives on only where a word ends with it, or where the
+    masks of the child do not rule out its next letter and its remainder.
     """
-    joined = states.drop("ending").join(edges, "node").selectExpr(
-        "way", "s", "pos", "edits", "label", "child", "ending", "nexts", "length(label) AS size",
+    own = F.substring(F.col("s"), F.col("pos") + 1, F.lit(1)) == F.col("first")
+    on = (F.col("t.node") == F.col("e.node")) & ((F.col("edits") == 0) | own)
+    joined = states.drop("ending").alias("t").join(edges.alias("e"), on).selectExpr(
+        "way", "s", "pos", "edits", "label", "child", "ending", "letters", "rests", "length(label) AS size",
         "substring(s, pos + 1, 1) = first AS own", "substring(label, 2) AS tail", "length(s) AS whole",
     )
 
     def state(condition: str, pos: str, edits: int) -> Column:
-        alive = f"({pos} = whole AND ending IS NOT NULL OR {pos} < whole AND instr(nexts, substring(s, {pos} + 1, 1)) > 0)"
+        letter, rest = f"ascii(substring(s, {pos} + 1, 1))", f"xxhash64(substring(s, {pos} + 1, whole))"
+        alive = (
+            f"CASE WHEN {pos} = whole THEN ending IS NOT NULL ELSE {pos} < whole AND getbit(letters, pmod({letter}, 64)) = 1 "
+            f"AND getbit(rests, int(pmod({rest}, 64))) = 1 END"
+        )
         return F.expr(
             f"CASE WHEN {condition}{f' AND {alive}' if edits else ''} THEN named_struct('way', way, 's', s, 'pos', {pos}, "
             f"'node', child, 'edits', {edits}, 'ending', ending) END"
