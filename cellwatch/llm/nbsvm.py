@@ -6,9 +6,11 @@ counts. Every n-gram is scaled by its class log-count ratio, and a linear
 hinge-loss model is fitted to the scaled indicators by dual coordinate
 descent; a sigmoid fitted to held-back margins turns margins into scores.
 
-The model is fitted on all n-grams of at most ``max_rows`` labelled rows per
-class, picked by a hash of their id. Scoring runs over whole
-texts in Arrow batches; the weights are one array of fixed size.
+The model is fitted on all n-grams of at most ``max_rows`` labelled ids per
+class, picked by a hash of the id, and of at most ``max_ngrams`` n-grams in
+all, so what the driver receives is bounded whatever the length of the texts.
+Scoring runs over whole texts in Arrow batches; the weights are one array of
+fixed size.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellwatch.llm.frames import materialise
+
 BUCKETS = 1 << 18
 MAX_ROWS = 4000
+# Four bytes each on their way to the driver, twelve in the fit.
+MAX_NGRAMS = 1 << 25
 _WINDOW = 1 << 20
 
 
@@ -168,14 +174,20 @@ def learn(
     text: str = "text",
     label_id: str = "doc_id",
     max_rows: int = MAX_ROWS,
+    max_ngrams: int = MAX_NGRAMS,
     buckets: int = BUCKETS,
 ) -> Model:
-    """Fit on at most ``max_rows`` labelled rows per class that are not held out.
-
-    Rows are picked by the smallest hash of their id within a class, so the
-    bound is the same at every size and the pick does not depend on order. A
-    document with several labels counts with the smallest one; null ids and
-    null labels are left out. No column but id, text and the label is read.
+    """Fit on at most ``max_rows`` labelled ids per class that are not held out.
+
+    Ids are picked by the smallest hash within a class, so the bound is the
+    same at every size and the pick does not depend on order. Each class takes
+    ids in that order while all n-grams of its texts fit in half of
+    ``max_ngrams``: texts are fitted whole or not at all. Rows of one id with
+    equal n-grams count once; an id whose rows alone fill more than a sixteenth
+    of that half (distinct texts under one id) is passed over, but never the
+    last one of a class. A document with several labels counts with the
+    smallest one; null ids and null labels are left out; null and empty texts
+    have no n-grams. No column but id, text and the label is read.
     """
     known = (
         labels.select(F.col(label_id).cast("long").alias("i"), F.col(label).cast("int").alias("y"))
@@ -201,7 +213,17 @@ def learn(
                 [batch.column("i"), batch.column("y"), pa.array(found, pa.binary())], names=["i", "y", "f"]
             )
 
-    sample = rows.select("i", "y", "t").mapInArrow(features, "i long, y int, f binary").collect()
+    found = rows.select("i", "y", "t").mapInArrow(features, "i long, y int, f binary").distinct()
+    found = materialise(found, "fit-rows")
+    # One row an id, 2 * max_rows at most, so one task a class is enough here.
+    sizes = found.groupBy("i", "y").agg(F.sum(F.length("f") / 4 + 1).alias("size"))
+    half = max_ngrams / 2
+    by_hash = Window.partitionBy("y").orderBy("large", order, "i")
+    taken = sizes.withColumn("large", F.col("size") > half / 16).withColumns(
+        {"first": F.row_number().over(by_hash) == 1, "total": F.sum("size").over(by_hash)}
+    )
+    fitting = taken.filter("NOT large AND total <= %d OR first AND size <= %d" % (half, half)).select("i")
+    sample = found.join(F.broadcast(fitting), "i").collect()
     sample.sort(key=lambda r: (r["i"], bytes(r["f"])))
     shuffled = np.random.default_rng(5).permutation(len(sample))
     # Views of the bytes collected: the n-grams of whole texts are held once.

@@ -91,3 +91,56 @@ def test_the_fit_reads_whole_texts(spark, monkeypatch):
     nbsvm.learn(documents(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     whole = {i: nbsvm.ngrams(t) for i, t in docs if zlib.crc32(str(i).encode()) % 3 != 1}
     assert sorted(map(len, seen)) == sorted(map(len, whole.values())) and min(map(len, seen)) > 4000
+
+
+def test_very_long_texts_stay_within_the_ngram_budget(spark, monkeypatch):
+    docs, labels = labelled(300)
+    rng = random.Random(5)
+    docs = [(i, t if i % 10 else " ".join(f"{rng.randrange(10**6)}" for _ in range(4000))) for i, t in docs]
+    docs += docs[:50]
+    seen, fit = [], nbsvm.fit
+    monkeypatch.setattr(nbsvm, "fit", lambda grams, *a, **k: (seen.append(grams), fit(grams, *a, **k))[1])
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    texts = {i: t for i, t in docs}
+    whole = {nbsvm.ngrams(t).astype("<i4").tobytes() for t in texts.values()}
+    for budget in (nbsvm.MAX_NGRAMS, 60_000):
+        nbsvm.learn(documents(spark, docs), known, max_ngrams=budget)
+        assert sum(len(g) for g in seen[-1]) <= budget
+        assert all(g.astype("<i4").tobytes() in whole for g in seen[-1])
+    free = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(seen[0]) == len(free)
+    assert 0 < len(seen[1]) < len(free)
+
+
+def test_ratios_equal_counts_of_the_classes():
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, 20, 6)) for _ in range(40)]
+    good = rng.random(40) < 0.4
+    found = nbsvm.log_count_ratios(rows, good, 20)
+    for f in range(20):
+        n = {c: 1 + sum(f in r for r, g in zip(rows, good) if g == c) for c in (True, False)}
+        all_of = {c: 20 + sum(len(r) for r, g in zip(rows, good) if g == c) for c in (True, False)}
+        assert np.isclose(found[f], np.log((n[True] / all_of[True]) / (n[False] / all_of[False])))
+
+
+def test_dual_descent_reaches_the_least_objective():
+    rng = np.random.default_rng(3)
+    dims, n = 6, 60
+    x = rng.normal(size=(n, dims))
+    signs = np.where(x[:, 0] + 0.8 * rng.normal(size=n) > 0, 1.0, -1.0)
+    costs = np.where(signs > 0, 0.5, 1.5)
+    rows = [(np.arange(dims), v) for v in x]
+    w, bias = nbsvm.dual_coordinate_descent(rows, signs, dims, costs, epochs=2000)
+
+    # The bias is a weight of a constant column; plain subgradient steps from zero, the best point seen.
+    full = np.hstack([x, np.ones((n, 1))])
+
+    def objective(v):
+        return 0.5 * v @ v + costs @ np.maximum(0, 1 - signs * (full @ v))
+
+    v, best = np.zeros(dims + 1), np.inf
+    for t in range(1, 20001):
+        active = signs * (full @ v) < 1
+        v = v - (v - (costs * signs * active) @ full) / (t + 10)
+        best = min(best, objective(v))
+    assert objective(np.append(w, bias)) <= best * 1.001
