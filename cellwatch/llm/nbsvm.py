@@ -184,8 +184,9 @@ def learn(
     ids in that order while all n-grams of its texts fit in half of
     ``max_ngrams``: texts are fitted whole or not at all. Rows of one id with
     equal n-grams count once; an id whose rows alone fill more than a sixteenth
-    of that half (distinct texts under one id) is passed over, but never the
-    last one of a class. A document with several labels counts with the
+    of that half (distinct texts under one id) is passed over; where a class
+    has only such ids, the first is taken if it fits in the half, else the
+    class counts as missing. A document with several labels counts with the
     smallest one; null ids and null labels are left out; null and empty texts
     have no n-grams. No column but id, text and the label is read.
     """
