@@ -45,14 +45,18 @@ def word_counts(words: DataFrame, min_length: int = 7, min_count: int = 2) -> Da
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
 
 
+def _start(way: Column, size: Column) -> Column:
+    half = F.floor(size / 2).cast("int")
+    return F.when(way == 0, half).otherwise(size - half)
+
+
 def _spelled(words: DataFrame) -> DataFrame:
     """Every word in both directions as ``s``, with ``start``, the place from which edits are looked for."""
-    half, whole = F.floor(F.length("word") / 2).cast("int"), F.length("word")
     ways = F.array(
-        F.struct(F.lit(0).alias("way"), F.col("word").alias("s"), half.alias("start")),
-        F.struct(F.lit(1).alias("way"), F.reverse("word").alias("s"), (whole - half).alias("start")),
+        F.struct(F.lit(0).alias("way"), F.col("word").alias("s")),
+        F.struct(F.lit(1).alias("way"), F.reverse("word").alias("s")),
     )
-    return words.select(F.inline(ways))
+    return words.select(F.inline(ways)).withColumn("start", _start(F.col("way"), F.length("s")))
 
 
 def _bit(number: Column) -> Column:
@@ -70,18 +74,18 @@ def _stops(spelled: DataFrame) -> DataFrame:
     """
     size = F.length("s")
     # Long words are known by a digest, so that their places do not carry them.
-    spelled = spelled.withColumn("key", F.when(size <= 32, F.col("s")).otherwise(F.concat(F.lit("#"), F.md5("s"))))
+    long = size > 32
+    spelled = spelled.withColumn("key", F.when(long, F.concat(F.lit("#"), F.md5("s"))).otherwise(F.col("s")))
     begin = F.greatest(F.lit(0), F.col("start") - 1)
-    place = F.transform(
-        F.sequence(begin, size),
-        lambda p: F.struct(
-            p.alias("p"),
-            F.xxhash64("way", F.substring("s", F.lit(1), p)).alias("node"),
-            F.substring("s", p + 1, F.lit(1)).alias("letter"),
-            F.xxhash64(F.substring("s", p + 1, size)).alias("rest"),
-        ),
+    # Exploded before anything is computed: the body of a transform would not be compiled.
+    places = spelled.select("way", "key", "s", F.explode(F.sequence(begin, size)).alias("p")).select(
+        "way",
+        "key",
+        "p",
+        F.xxhash64("way", F.substring("s", F.lit(1), F.col("p"))).alias("node"),
+        F.substring("s", F.col("p") + 1, F.lit(1)).alias("letter"),
+        F.xxhash64(F.substring("s", F.col("p") + 1, F.length("s"))).alias("rest"),
     )
-    places = spelled.select("way", "key", F.inline(place))
     # The end of a word is the empty letter, the smallest.
     nodes = places.groupBy("node").agg(
         F.min("letter").alias("low"),
@@ -93,8 +97,12 @@ def _stops(spelled: DataFrame) -> DataFrame:
         "node", (F.col("low") == "").alias("terminal"), "letters", "rests"
     )
     stop = F.struct("p", "node", "terminal", "letters", "rests")
-    stops = places.join(parting, "node").groupBy("way", "key").agg(F.sort_array(F.collect_list(stop)).alias("stops"))
-    return spelled.join(stops, ["way", "key"]).select("way", "s", "start", "stops")
+    # A node stands once in ``parting``, so no partition of it can be hot.
+    met = places.join(parting.hint("shuffle_hash"), "node")
+    stops = met.groupBy("way", "key").agg(F.sort_array(F.collect_list(stop)).alias("stops"))
+    whole = spelled.filter(long).select("way", "key", "s")
+    stops = stops.join(whole, ["way", "key"], "left").select("way", F.coalesce("s", "key").alias("s"), "stops")
+    return stops.select("way", "s", _start(F.col("way"), F.length("s")).alias("start"), "stops")
 
 
 def _edges(stops: DataFrame) -> DataFrame:
@@ -136,32 +144,34 @@ def _moved(states: DataFrame, edges: DataFrame) -> DataFrame:
     """
     own = F.substring(F.col("s"), F.col("pos") + 1, F.lit(1)) == F.col("first")
     on = (F.col("t.node") == F.col("e.node")) & ((F.col("edits") == 0) | own)
-    joined = states.drop("ending").alias("t").join(edges.alias("e"), on).selectExpr(
+    # A node has at most one edge a letter, so no partition of edges can be hot.
+    joined = states.drop("ending").alias("t").join(edges.alias("e").hint("shuffle_hash"), on).selectExpr(
         "way", "s", "pos", "edits", "label", "child", "ending", "letters", "rests", "length(label) AS size",
         "substring(s, pos + 1, 1) = first AS own", "substring(label, 2) AS tail", "length(s) AS whole",
     )
 
-    def state(condition: str, pos: str, edits: int) -> Column:
+    def alive(pos: str) -> str:
         letter, rest = f"ascii(substring(s, {pos} + 1, 1))", f"xxhash64(substring(s, {pos} + 1, whole))"
-        alive = (
+        return (
             f"CASE WHEN {pos} = whole THEN ending IS NOT NULL ELSE {pos} < whole AND getbit(letters, pmod({letter}, 64)) = 1 "
             f"AND getbit(rests, int(pmod({rest}, 64))) = 1 END"
         )
-        return F.expr(
-            f"CASE WHEN {condition}{f' AND {alive}' if edits else ''} THEN named_struct('way', way, 's', s, 'pos', {pos}, "
-            f"'node', child, 'edits', {edits}, 'ending', ending) END"
-        )
 
-    nexts = F.array(
-        state("edits = 0 AND own", "pos + size", 0),
-        state("edits = 1 AND own AND substring(s, pos + 1, size) = label", "pos + size", 1),
+    moves = [
+        ("edits = 0 AND own", "pos + size", 0),
+        (f"edits = 1 AND substring(s, pos + 1, size) = label AND {alive('pos + size')}", "pos + size", 1),
         # Another letter; a letter more; a letter less.
-        state("edits = 0 AND NOT own AND pos < whole AND substring(s, pos + 2, size - 1) = tail AND pos + size <= whole",
-              "pos + size", 1),
-        state("edits = 0 AND NOT own AND substring(s, pos + 1, size - 1) = tail", "pos + size - 1", 1),
-        state("edits = 0 AND NOT own AND substring(s, pos + 2, size) = label", "pos + size + 1", 1),
-    )
-    return joined.select(F.inline(F.array_compact(nexts))).select(_STATE)
+        (f"edits = 0 AND NOT own AND pos + size <= whole AND {alive('pos + size')} AND substring(s, pos + 2, size - 1) = tail",
+         "pos + size", 1),
+        (f"edits = 0 AND NOT own AND {alive('pos + size - 1')} AND substring(s, pos + 1, size - 1) = tail", "pos + size - 1", 1),
+        (f"edits = 0 AND NOT own AND {alive('pos + size + 1')} AND substring(s, pos + 2, size) = label", "pos + size + 1", 1),
+    ]
+    # Most edges lead nowhere, so rows are dropped before arrays are made. No
+    # lambdas here: Spark would not compile what stands around them.
+    some = joined.filter(" OR ".join(f"({condition})" for condition, _, _ in moves))
+    nexts = [f"CASE WHEN {condition} THEN named_struct('pos', {pos}, 'edits', {edits}) END" for condition, pos, edits in moves]
+    moved = some.selectExpr("way", "s", "child AS node", "ending", f"inline(array({', '.join(nexts)}))")
+    return moved.filter("pos IS NOT NULL").select(_STATE)
 
 
 def _ended(states: DataFrame) -> DataFrame:
@@ -225,8 +235,7 @@ def variant_groups(counts: DataFrame, ratio: int = 10) -> DataFrame:
     if ratio <= 1:
         raise ValueError("ratio must be above 1, or forms could follow each other in circles")
     counts = materialise(counts.select("word", "n").filter("word is not null"), "words")
-    pairs = materialise(neighbours(counts), "neighbours")
-    near = pairs.join(counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = neighbours(counts).join(counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = near.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("best")
     )
