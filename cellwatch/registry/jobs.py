@@ -27,6 +27,7 @@ from cellwatch.schemas import (
     TRAINING_COLUMNS,
 )
 from cellwatch.session import materialise, scratch_path
+from cellwatch.sinks.manifests import read_transactions, start_transactions, write_transaction
 from cellwatch.sinks.tables import Table
 from cellwatch.sources.decode import accepted, decode_events, require_keys
 from cellwatch.sources.record_log import log_records, write_log
@@ -99,6 +100,29 @@ def append_replayed(spark, sf_dir):
     return table.read(spark)
 
 
+@query("append_transactions", sql(*BASE, SNAPSHOTS, select=f"SELECT {SNAPSHOT_SELECT} FROM snap"))
+def append_transactions(spark, sf_dir):
+    """The same batches, each a transaction of all tasks that write it."""
+    path = scratch_path(spark, "transactions")
+    snapshots = dt.job(spark, sf_dir).snapshots(dt.weather(dt.events(spark, sf_dir)))
+    for run, batch, part in (("a", 0, 0), ("a", 1, 1), ("a", 0, 0), ("b", 0, 2)):
+        write_transaction(snapshots.filter(F.col("seq") % 3 == part).select(SNAPSHOT_COLUMNS), path, run, batch)
+    return read_transactions(spark, path, SNAPSHOT_SCHEMA)
+
+
+@query("stream_transactions", sql(*BASE, SNAPSHOTS, select=f"SELECT {SNAPSHOT_SELECT} FROM snap"))
+def stream_transactions(spark, sf_dir):
+    """A stream of snapshots, a transaction each micro-batch; it stops after two steps and goes on from its checkpoint."""
+    path, arrived, checkpoint = (scratch_path(spark, n) for n in ("transactions", "events", "stream"))
+    raw = dt.table(spark, sf_dir, "events")
+    for start, stop in ((0, STEPS - 1), (STEPS - 1, STEPS)):
+        arriving(raw, "event_id", arrived, start, stop)
+        ev = dt.shape_events(table_stream(spark, arrived, raw.schema, max_files=files_of(raw)))
+        snapshots = dt.job(spark, sf_dir).snapshots(dt.weather(ev)).select(SNAPSHOT_COLUMNS)
+        finish(start_transactions(snapshots, path, "main", checkpoint, availableNow=True), stop - start)
+    return read_transactions(spark, path, SNAPSHOT_SCHEMA)
+
+
 _LAST_OF_DAY = sql(
     *BASE,
     select=f"""SELECT h3_cell, {day()}, seq, event_type, k, round(value, 6) + 0.0 AS value FROM (
