@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellwatch.operators import aggregate, enrich, history, partials
+from cellwatch.operators.history_state import HISTORY_STATE, history_step, maxima_step
 from cellwatch.plans import driver_tables as dt
 from cellwatch.plans.risk import snapshot_scores
-from cellwatch.registry.common import BASE, CELLS, ENCODER, EV, UNIFIED, calendar, day, num, query, scores, slot, sql
+from cellwatch.registry.common import BASE, CELLS, ENCODER, EV, SQL, UNIFIED, calendar, day, num, query, scores, slot, sql
 from cellwatch.registry.inputs import SNAPSHOT_SELECT, unified, unified_alone
 from cellwatch.schemas import METADATA_COLUMNS, PREDICTION_COLUMNS, STATIC_COLUMNS
-from cellwatch.session import scratch_path
+from cellwatch.session import materialise, scratch_path
 from cellwatch.sinks.tables import Table
 from cellwatch.sources import payload
 
@@ -262,6 +263,36 @@ def fire_history(spark, sf_dir):
     return history.fire_history(unified(spark, sf_dir))
 
 
+def _in_time(uni, parts: int = 3):
+    """The events in parts that follow each other in time; cuts fall inside days."""
+    low, high = uni.agg(F.min("event_time"), F.max("event_time")).first()
+    part = F.floor((F.col("event_time") - low) * parts / F.lit(high + 1 - low))
+    return [uni.filter(part == i) for i in range(parts)]
+
+
+_HISTORY_ROWS = (
+    "h3_cell string, event_date date, fires_cell_last_7d bigint, fires_cell_last_30d bigint, days_since_last_fire int, "
+    "seasonal_fire_count bigint, never_burned_before int, precipitation_1d double, precipitation_true_7d double"
+)
+
+
+def _carried_history(spark, sf_dir):
+    """Three batches, one of them written twice; each starts from the states of those before it."""
+    rows = Table(scratch_path(spark, "history"), _HISTORY_ROWS, ("h3_cell", "event_date"))
+    states = Table(scratch_path(spark, "history-state"), HISTORY_STATE, ("h3_cell",))
+    batches = _in_time(materialise(unified(spark, sf_dir), "unified"))
+    for i in (0, 1, 1, 2):
+        found, state = history_step(batches[i], states.read(spark, "main", i) if i else None)
+        rows.write(found, "main", i)
+        states.write(state, "main", i)
+    return rows.read(spark)
+
+
+@query("fire_history_batches", SQL["fire_history"])
+def fire_history_batches(spark, sf_dir):
+    return _carried_history(spark, sf_dir).drop("precipitation_1d", "precipitation_true_7d")
+
+
 @query(
     "true_precipitation",
     sql(
@@ -277,6 +308,14 @@ def true_precipitation(spark, sf_dir):
     return history.precipitation_7d(unified(spark, sf_dir))
 
 
+@query("true_precipitation_batches", SQL["true_precipitation"])
+def true_precipitation_batches(spark, sf_dir):
+    return _carried_history(spark, sf_dir).select("h3_cell", "event_date", "precipitation_1d", "precipitation_true_7d")
+
+
+_HOUR = 3_600_000
+
+
 @query(
     "recent_maxima",
     sql(
@@ -293,8 +332,10 @@ GROUP BY a.seq, a.h3_cell, a.event_time""",
 )
 def recent_maxima(spark, sf_dir):
     """Ten hours instead of ten minutes, since a cell here has three events a day."""
-    hours = 3_600_000
-    recent = history.recent_maxima(unified(spark, sf_dir), span_ms=10 * hours)
+    return _maxima(history.recent_maxima(unified(spark, sf_dir), span_ms=10 * _HOUR))
+
+
+def _maxima(recent):
     return recent.select(
         "seq",
         "h3_cell",
@@ -308,6 +349,17 @@ def recent_maxima(spark, sf_dir):
     )
 
 
+@query("recent_maxima_batches", SQL["recent_maxima"])
+def recent_maxima_batches(spark, sf_dir):
+    """Three batches; each reads the last ten hours of every cell besides its own events."""
+    found, tail = [], None
+    for batch in _in_time(materialise(unified(spark, sf_dir), "unified")):
+        rows, tail = maxima_step(batch, tail, 10 * _HOUR)
+        found.append(materialise(rows, "maxima"))
+        tail = materialise(tail, "tail")
+    return _maxima(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
 @query(
     "latest_weather",
     sql(
