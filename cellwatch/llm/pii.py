@@ -8,31 +8,38 @@ Boosted trees score each proposal from its form and its surroundings, and
 thresholds calibrated on rows held out of the fit decide. Of the accepted spans
 those of higher score win; spans of the fixed patterns always stay.
 
-Nobody labelled spans, so examples are made from a bounded sample of the
-documents: a span of the fixed patterns is one to find, also after it has been
-rewritten the way people hide or group such data, in its own surroundings;
-damaged rewritings (a wrong check digit, parts over 255), spans that cover only
-a part, and everything else that the generators propose are not.
+Nobody labelled spans, so examples are made from all documents: a span of the
+fixed patterns is one to find, also after it has been rewritten the way people
+hide or group such data, in its own surroundings; damaged rewritings (a wrong
+check digit, parts over 255), spans that cover only a part, and everything else
+that the generators propose are not.
+
+The fit counts every example. Spark counts equal ones, and every level of a tree
+is one job that sums gradients by node, feature and bin, so the driver holds
+sums of fixed size and no example.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellwatch.llm.frames import materialise
+
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 
-# Bounds of the fit: documents that are sampled, and examples that are fitted on.
-MAX_DOCUMENTS = 20_000
-MAX_EXAMPLES = 40_000
+# One in so many parts of the documents is held out of the trees, for the thresholds.
 HELD_OUT = 3
 PRECISION = 0.95
 AROUND = 60
@@ -283,6 +290,9 @@ def examples(text: str) -> Iterator[tuple[list[float], int]]:
 # ---- boosted trees ----
 
 DEPTH, TREES, RATE, BINS, PENALTY = 4, 80, 0.2, 32, 1.0
+# Gradients are whole multiples of 1 / UNIT, so that sums do not depend on their order.
+UNIT = 1 << 20
+_SHARES = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
 
 
 @dataclass(frozen=True)
@@ -297,73 +307,119 @@ class Trees:
     def margins(self, x: np.ndarray) -> np.ndarray:
         total, rows = np.full(len(x), self.start), np.arange(len(x))
         for feature, threshold, leaf in zip(self.feature, self.threshold, self.leaf):
-            at = np.zeros(len(x), dtype=np.int64)
-            for _ in range(DEPTH):
-                at = 2 * at + 1 + (x[rows, feature[at]] > threshold[at])
-            total += leaf[at - (2**DEPTH - 1)]
+            total += leaf[_places(x, feature, threshold, DEPTH, rows) - (2**DEPTH - 1)]
         return total
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Gradient boosting with logistic loss: every node takes the split of largest gain over binned features."""
-    n, m = x.shape
-    share = np.clip(y.mean() if n else 0.5, 1e-3, 1 - 1e-3)
-    start = float(np.log(share / (1 - share)))
-    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if n else np.zeros(1) for j in range(m)]
-    bins = np.stack([np.searchsorted(cuts[j], x[:, j], side="left") for j in range(m)], axis=1) if n else np.zeros((0, m), int)
-    inner, margin = 2**DEPTH - 1, np.full(n, start)
-    features_, thresholds, leaves = [], [], []
+def _places(x: np.ndarray, feature: np.ndarray, threshold: np.ndarray, level: int, rows: np.ndarray) -> np.ndarray:
+    """The node of every row on a level of one tree."""
+    at = np.zeros(len(x), dtype=np.int64)
+    for _ in range(level):
+        at = 2 * at + 1 + (x[rows, feature[at]] > threshold[at])
+    return at
+
+
+def _start(n: int, good: int) -> float:
+    share = np.clip(good / n if n else 0.5, 1e-3, 1 - 1e-3)
+    return float(np.log(share / (1 - share)))
+
+
+def _binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """The number of cuts below every value, so that ``x > cuts[c]`` is ``bin > c``."""
+    return np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1).astype(np.uint8)
+
+
+def _sums(
+    bins: np.ndarray, n: np.ndarray, good: np.ndarray, margin: np.ndarray, feature: np.ndarray, threshold: np.ndarray, level: int
+) -> np.ndarray:
+    """First and second derivatives of the logistic loss by node of a level, feature and bin, in units."""
+    width, m = 2**level, bins.shape[1]
+    p = 1 / (1 + np.exp(-margin))
+    node = _places(bins, feature, threshold, level, np.arange(len(bins))) - (width - 1)
+    key = ((node[:, None] * m + np.arange(m)) * BINS + bins).ravel()
+    sides = (n * p - good, n * p * (1 - p))
+    return np.stack([np.bincount(key, np.repeat(np.rint(s * UNIT), m), width * m * BINS) for s in sides])
+
+
+def _grown(m: int, start: float, sums: Callable[[Trees, np.ndarray, np.ndarray, int], np.ndarray]) -> Trees:
+    """Gradient boosting with logistic loss: every node takes the split of largest gain over binned features.
+
+    ``sums`` gives those of ``_sums`` for the trees so far and the splits of the
+    next one above a level. The thresholds are bins.
+    """
+    inner = 2**DEPTH - 1
+    trees = Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, inner + 1)), start)
     for _ in range(TREES):
-        p = 1 / (1 + np.exp(-margin))
-        g, h = p - y, p * (1 - p)
-        feature, threshold = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf)
-        at = np.zeros(n, dtype=np.int64)
+        feature, threshold, leaf = np.zeros(inner, dtype=np.int64), np.full(inner, np.inf), np.zeros(inner + 1)
         for level in range(DEPTH):
             width, first = 2**level, 2**level - 1
-            best = np.full(width, 1e-9)
-            for j in range(m):
-                size = len(cuts[j]) + 1
-                key = (at - first) * size + bins[:, j]
-                gs = np.bincount(key, g, width * size).reshape(width, size).cumsum(axis=1)
-                hs = np.bincount(key, h, width * size).reshape(width, size).cumsum(axis=1)
-                total_g, total_h = gs[:, -1:], hs[:, -1:]
-                gain = gs**2 / (hs + PENALTY) + (total_g - gs) ** 2 / (total_h - hs + PENALTY) - total_g**2 / (total_h + PENALTY)
-                gain = gain[:, :-1]
-                if not gain.shape[1]:
-                    continue
-                cut = gain.argmax(axis=1)
-                value = gain[np.arange(width), cut]
-                better = np.flatnonzero(value > best)
-                best[better] = value[better]
-                feature[first + better] = j
-                threshold[first + better] = cuts[j][cut[better]]
-            at = 2 * at + 1 + (x[np.arange(n), feature[at]] > threshold[at]) if n else at
-        leaf_at = at - inner
-        leaf = -RATE * np.bincount(leaf_at, g, inner + 1) / (np.bincount(leaf_at, h, inner + 1) + PENALTY)
-        margin = margin + leaf[leaf_at]
-        features_.append(feature)
-        thresholds.append(threshold)
-        leaves.append(leaf)
-    return Trees(np.array(features_), np.array(thresholds), np.array(leaves), start)
+            gs, hs = (sums(trees, feature, threshold, level) / UNIT).reshape(2, width, m, BINS).cumsum(axis=3)
+            total_g, total_h = gs[:, :, -1:], hs[:, :, -1:]
+            gain = gs**2 / (hs + PENALTY) + (total_g - gs) ** 2 / (total_h - hs + PENALTY) - total_g**2 / (total_h + PENALTY)
+            gain = gain[:, :, :-1].reshape(width, -1)
+            best = gain.argmax(axis=1)
+            for k, at in enumerate(best):
+                split = gain[k, at] > 1e-9
+                j, cut = divmod(int(at), BINS - 1) if split else (0, BINS - 1)
+                if split:
+                    feature[first + k], threshold[first + k] = j, cut
+                # Rows of a node without a split go left.
+                below = np.array([gs[k, j, cut], hs[k, j, cut]])
+                for side, (g, h) in enumerate((below, np.array([gs[k, j, -1], hs[k, j, -1]]) - below)):
+                    if level == DEPTH - 1:
+                        leaf[2 * k + side] = -RATE * g / (h + PENALTY)
+        trees = Trees(np.vstack([trees.feature, feature]), np.vstack([trees.threshold, threshold]), np.vstack([trees.leaf, leaf]), start)
+    return trees
+
+
+def _unbinned(trees: Trees, cuts: list[np.ndarray]) -> Trees:
+    """The same trees for values instead of bins."""
+    threshold = np.full(trees.threshold.shape, np.inf)
+    for at in zip(*np.nonzero(np.isfinite(trees.threshold))):
+        threshold[at] = cuts[trees.feature[at]][int(trees.threshold[at])]
+    return Trees(trees.feature, threshold, trees.leaf, trees.start)
 
 
-def calibrated(margins: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
-    """The lowest margin from which on an increasing fit of the outcomes is at least ``precision``; infinite if none is.
+def fit_trees(x: np.ndarray, y: np.ndarray) -> Trees:
+    """Trees for rows in memory."""
+    n, m = x.shape
+    cuts = [np.unique(np.quantile(x[:, j], _SHARES)) if n else np.zeros(1) for j in range(m)]
+    bins, ones = _binned(x, cuts), np.ones(n)
+
+    def sums(trees: Trees, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
+        return _sums(bins, ones, y, trees.margins(bins), feature, threshold, level)
+
+    return _unbinned(_grown(m, _start(n, y.sum()), sums), cuts)
+
+
+Block = tuple[float, float, int]
+
+
+def _pooled(blocks: Iterator[Block]) -> list[Block]:
+    """Blocks (lowest margin, good ones, all) of an increasing fit: adjacent ones are pooled until their shares increase.
 
-    The fit pools adjacent blocks until their shares increase.
+    Blocks of neighbouring ranges that were pooled on their own give the same.
     """
+    out: list[Block] = []
+    for block in blocks:
+        out.append(block)
+        while len(out) > 1 and out[-2][1] * out[-1][2] >= out[-1][1] * out[-2][2]:
+            _, good, count = out.pop()
+            out[-1] = (out[-1][0], out[-1][1] + good, out[-1][2] + count)
+    return out
+
+
+def _lowest(blocks: list[Block], precision: float) -> float:
+    return next((low for low, good, count in blocks if good >= precision * count), float("inf"))
+
+
+def calibrated(margins: np.ndarray, y: np.ndarray, precision: float = PRECISION) -> float:
+    """The lowest margin from which on an increasing fit of the outcomes is at least ``precision``; infinite if none is."""
     order = np.argsort(margins, kind="stable")
     values, firsts = np.unique(margins[order], return_index=True)
     sums = np.add.reduceat(y[order].astype(float), firsts) if len(values) else np.zeros(0)
     counts = np.diff(np.append(firsts, len(order)))
-    blocks: list[list[float]] = []
-    for value, total, count in zip(values, sums, counts):
-        blocks.append([float(value), float(total), int(count)])
-        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
-            _, total, count = blocks.pop()
-            blocks[-1][1] += total
-            blocks[-1][2] += count
-    return next((low for low, total, count in blocks if total >= precision * count), float("inf"))
+    return _lowest(_pooled(zip(values.tolist(), sums.tolist(), counts.tolist())), precision)
 
 
 @dataclass(frozen=True)
@@ -388,44 +444,170 @@ class Detector:
         return out
 
 
-_EXAMPLE = "key long, part int, x array<float>, y int"
+# ---- the fit ----
+
+# Margins are written with the rows after so many trees.
+_WRITTEN = 16
+_TASKS = 64
+
 
+def _batch(**columns: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
-def learn(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_examples: int = MAX_EXAMPLES) -> Detector:
-    """Fit the trees and thresholds on a sample of ``docs`` (doc_id, text).
 
-    About ``max_documents`` documents are taken by a hash of their id, and of
-    their examples at most ``max_examples``, by a hash of the example. Only
-    those, a fixed number of values each, come to the driver. A third of them
-    is held out of the trees for the thresholds. Where a kind has no examples
-    its threshold is infinite, and only the fixed pattern finds it.
+def counted_examples(docs: DataFrame) -> DataFrame:
+    """part, x, n and good: how often all texts give each row of features, and how often as one to find.
+
+    ``x`` holds the features as 64-bit floats. Equal texts share a part.
     """
-    n = docs.count()
-    share = int(2**31 * min(1.0, max_documents / max(1, n)))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < share).select(F.coalesce("text", F.lit("")).alias("text"))
+    form = f"<{len(FEATURES)}d"
 
-    def make(batches):
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
+            found: dict[tuple[int, bytes], list[int]] = {}
+            for text in batch.column("text").to_pylist():
                 part = zlib.crc32(text.encode("utf-8", "surrogatepass")) % HELD_OUT
                 for x, y in examples(text):
-                    x = np.asarray(x, dtype=np.float32)
-                    rows.append((zlib.crc32(x.tobytes() + text[:50].encode("utf-8", "surrogatepass")), part, x, y))
-            yield pd.DataFrame(rows, columns=["key", "part", "x", "y"]) if rows else pd.DataFrame(
-                {"key": pd.Series(dtype="int64"), "part": pd.Series(dtype="int32"), "x": pd.Series(dtype=object), "y": pd.Series(dtype="int32")}
-            )
-
-    rows = sample.mapInPandas(make, _EXAMPLE).orderBy("key", "part", "y", "x").limit(max_examples).collect()
-    x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
-    y = np.array([r["y"] for r in rows], dtype=float)
-    held = np.array([r["part"] == 0 for r in rows], dtype=bool)
-    if held.all() or not held.any():
-        held = np.arange(len(rows)) % HELD_OUT == 0
-    trees = fit_trees(x[~held], y[~held])
-    margins = trees.margins(x[held])
-    thresholds = tuple(calibrated(margins[x[held, k] > 0], y[held][x[held, k] > 0]) for k in range(len(KINDS)))
-    return Detector(trees, thresholds)
+                    count = found.setdefault((part, struct.pack(form, *x)), [0, 0])
+                    count[0] += 1
+                    count[1] += y
+            yield _batch(
+                part=([k[0] for k in found], pa.int32()), x=([k[1] for k in found], pa.binary()),
+                n=([c[0] for c in found.values()], pa.int64()), good=([c[1] for c in found.values()], pa.int64()),
+            )
+
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.mapInArrow(make, "part int, x binary, n long, good long")
+    return rows.groupBy("part", "x").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+
+
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, len(FEATURES))
+
+
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+
+
+def _exact_cuts(rows: DataFrame) -> list[np.ndarray]:
+    """Exact quantiles of every feature over all examples."""
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, (n,) = _matrix(batch.column("x"), "<f8"), _numbers(batch, "n")
+            for j in range(x.shape[1]):
+                value, at = np.unique(x[:, j], return_inverse=True)
+                count = np.bincount(at, n, len(value)).astype(np.int64)
+                yield _batch(j=(np.full(len(value), j), pa.int32()), value=(value, pa.float64()), n=(count, pa.int64()))
+
+    quantiles = rows.select("x", "n").mapInArrow(values, "j int, value double, n long").groupBy("j").agg(
+        F.percentile("value", _SHARES, F.col("n")).alias("q")
+    )
+    found = {r["j"]: np.unique(r["q"]) for r in quantiles.collect()}
+    return [found[j] for j in range(len(FEATURES))]
+
+
+def _boosted(rows: DataFrame, start: float) -> tuple[Trees, DataFrame]:
+    """Binned trees for the rows that are not held out, and all rows with their margins."""
+    rows = materialise(rows.withColumn("margin", F.lit(start)), "examples")
+    state = {"rows": rows, "trees": 0, "tasks": rows.rdd.getNumPartitions()}
+
+    def newer(trees: Trees) -> Trees:
+        """The trees that the written margins do not have, with a start of 0."""
+        at = state["trees"]
+        return Trees(trees.feature[at:], trees.threshold[at:], trees.leaf[at:], 0.0)
+
+    def write(trees: Trees) -> None:
+        new, schema = newer(trees), state["rows"].schema
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                margin = batch.column("margin").to_numpy() + new.margins(_matrix(batch.column("bins"), np.uint8))
+                yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
+
+        state["rows"] = materialise(state["rows"].mapInArrow(add, schema), "examples")
+        state["trees"] = len(trees.leaf)
+
+    def sums(trees: Trees, feature: np.ndarray, threshold: np.ndarray, level: int) -> np.ndarray:
+        if len(trees.leaf) - state["trees"] == _WRITTEN:
+            write(trees)
+        new = newer(trees)
+
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                bins, (n, good, margin) = _matrix(batch.column("bins"), np.uint8), _numbers(batch, "n", "good", "margin")
+                total = total + _sums(bins, n, good, margin + new.margins(bins), feature, threshold, level)
+            if not isinstance(total, int):
+                yield _batch(sums=([total.tobytes()], pa.binary()))
+
+        def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = [np.frombuffer(b) for batch in batches for b in batch.column("sums").to_pylist()]
+            if parts:
+                yield _batch(sums=([reduce(np.add, parts).tobytes()], pa.binary()))
+
+        parts = state["rows"].filter("NOT held").select("bins", "n", "good", "margin").mapInArrow(some, "sums binary")
+        if state["tasks"] > _TASKS:
+            parts = parts.repartition(int(state["tasks"] ** 0.5)).mapInArrow(all_of, "sums binary")
+        return reduce(np.add, [np.frombuffer(r["sums"]) for r in parts.collect()])
+
+    trees = _grown(len(FEATURES), start, sums)
+    write(trees)
+    return trees, state["rows"]
+
+
+def _thresholds(rows: DataFrame, precision: float = PRECISION) -> tuple[float, ...]:
+    """The calibrated threshold of every kind over all rows (kind, margin, n, good)."""
+
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list[Block]] = {}
+        for batch in batches:
+            found: dict[int, list[Block]] = {}
+            for kind, *block in zip(*(batch.column(c).to_pylist() for c in ("kind", "margin", "good", "n"))):
+                found.setdefault(kind, []).append(tuple(block))
+            blocks |= {kind: _pooled([*blocks.get(kind, []), *own]) for kind, own in found.items()}
+        flat = [(kind, *block) for kind, own in blocks.items() for block in own]
+        kinds, lows, goods, counts = zip(*flat) if flat else ((), (), (), ())
+        yield _batch(kind=(kinds, pa.int32()), margin=(lows, pa.float64()), good=(goods, pa.int64()), n=(counts, pa.int64()))
+
+    sums = rows.groupBy("kind", "margin").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    ranges = sums.repartitionByRange("kind", "margin").sortWithinPartitions("kind", "margin").select("kind", "margin", "good", "n")
+    pooled = sorted(ranges.mapInArrow(pool, "kind int, margin double, good long, n long").collect())
+    return tuple(_lowest(_pooled(tuple(r)[1:] for r in pooled if r["kind"] == k), precision) for k in range(len(KINDS)))
+
+
+def learn(docs: DataFrame) -> Detector:
+    """Fit the trees and thresholds on the examples of all ``docs`` (doc_id, text).
+
+    A third of the texts is held out of the trees for the thresholds. Equal
+    examples are one row with a count, and Spark sums over the rows: the driver
+    gets quantiles, sums by node, feature and bin, and the blocks of the
+    increasing fits. Where a kind has no examples its threshold is infinite,
+    and only the fixed pattern finds it.
+    """
+    counted = materialise(counted_examples(docs), "examples")
+    parts = {r["part"] for r in counted.select("part").distinct().collect()}
+    held = F.col("part") == 0
+    if parts and (parts == {0} or 0 not in parts):
+        held = F.crc32("x") % HELD_OUT == 0
+    counted = counted.withColumn("held", held)
+    fitted = counted.filter("NOT held")
+    n, good = fitted.agg(F.sum("n"), F.sum("good")).first()
+    if not n:
+        return Detector(fit_trees(np.zeros((0, len(FEATURES))), np.zeros(0)), (float("inf"),) * len(KINDS))
+    cuts = _exact_cuts(fitted)
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column("x"), "<f8")
+            kind, rows = x[:, : len(KINDS)].argmax(axis=1), _binned(x, cuts)
+            columns = [batch.column("held"), pa.array(kind, pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("n"), batch.column("good")], names=["held", "kind", "bins", "n", "good"])
+
+    rows = counted.select("held", "x", "n", "good").mapInArrow(bins, "held boolean, kind int, bins binary, n long, good long")
+    rows = rows.groupBy("held", "kind", "bins").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    trees, rows = _boosted(rows, _start(n, good))
+    return Detector(_unbinned(trees, cuts), _thresholds(rows.filter("held")))
 
 
 SPANS = "array<struct<kind: string, start: int, end: int, base: boolean, margin: double>>"

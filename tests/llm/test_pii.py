@@ -4,6 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cellwatch.llm import pii
 from cellwatch.llm.queries import op12
@@ -147,3 +148,42 @@ def test_redaction(spark):
                                   "text string, spans array<struct<kind: string, start: int, end: int>>")
     out = [r[0] for r in frame.select(pii.redacted(frame["text"], frame["spans"])).collect()]
     assert out == ["é [EMAIL] and [IP]!", None, "none"]
+
+
+def test_every_document_counts_in_the_fit(spark):
+    # More documents than a sample of 20,000 takes; only those that its hash leaves out hold personal data.
+    ids = spark.range(60_000).withColumnRenamed("id", "doc_id")
+    rare = F.expr("pmod(xxhash64(doc_id), 2147483648L) >= 1500000000L AND doc_id % 25 = 0")
+    data = F.concat(F.lit("mail me: a"), "doc_id", F.lit("@b.org or call +1 426 555 "), F.lpad(F.col("doc_id") % 10_000, 4, "0"), F.lit(" now"))
+    docs = ids.withColumn("text", F.when(rare, data).otherwise("plain words"))
+    counted = pii.counted_examples(docs).agg(F.sum("n"), F.sum("good")).first()
+    found = [y for r in docs.filter(rare).collect() for _, y in pii.examples(r["text"])]
+    assert tuple(counted) == (len(found), sum(found))
+    model = pii.learn(docs)
+    assert np.isfinite([model.thresholds[pii.EMAIL], model.thresholds[pii.PHONE]]).all()
+
+
+def test_fit_over_tasks_equals_the_fit_in_memory(spark):
+    docs = documents(spark, [(i, f"ask x{i % 7}@mail.org or 192.168.{i % 9}.{i % 11} on {i % 5} 2024") for i in range(300)])
+    fitted = pii.counted_examples(docs).filter("part <> 0")
+    cuts, counts = pii._exact_cuts(fitted), {}
+    for r in fitted.collect():
+        x = np.frombuffer(r["x"])
+        row = counts.setdefault((x[:4].argmax(), *pii._binned(x[None], cuts)[0].tolist()), np.zeros(2))
+        row += r["n"], r["good"]
+    bins = np.array(list(counts), np.uint8)[:, 1:]
+    n, good = np.array(list(counts.values())).T
+
+    def sums(trees, *splits):
+        return pii._sums(bins, n, good, trees.margins(bins), *splits)
+
+    here = pii._unbinned(pii._grown(len(cuts), pii._start(n.sum(), good.sum()), sums), cuts)
+    there = pii.learn(docs).trees
+    assert (here.feature == there.feature).all() and (here.threshold == there.threshold).all()
+    assert np.allclose(here.leaf, there.leaf)
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 4)), max_size=30), st.integers(0, 30))
+def test_ranges_pooled_apart_give_the_same_blocks(counts, cut):
+    blocks = [(float(i), min(good, n), n) for i, (good, n) in enumerate(counts)]
+    assert pii._pooled(pii._pooled(blocks[:cut]) + pii._pooled(blocks[cut:])) == pii._pooled(blocks)
