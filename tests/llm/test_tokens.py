@@ -94,3 +94,20 @@ def test_written_files_read_back(spark, kind):
 def test_empty_table_gives_no_files(spark):
     files = write_ids(documents(spark).limit(0), scratch_path(spark, "ids"), PATH)
     assert files == [] and got(read_documents(spark, files), "doc_id") == []
+
+
+def test_each_distinct_piece_of_many_texts_is_looked_up_once():
+    from cellwatch.llm.tokens import _Encoder
+
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            Counting.asked += 1
+            return dict.__getitem__(self, piece)
+
+    encoder = _Encoder(PATH)
+    encoder.known = Counting()
+    texts = ["é one two\none two\x00three  é\xa0 one"] * 200
+    want = np.array(WHOLE.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()
+    assert encoder.many(texts) == [want] * 200 and Counting.asked < 20
