@@ -32,7 +32,7 @@ _REMEMBERED = 600_000
 _LONGEST_PIECE = 64
 _LINES = 500
 _DOCUMENTS = 2_000
-_CHARACTERS = 4_000_000
+_CHARACTERS = 1_000_000
 
 
 def _strings(column: pa.LargeStringArray) -> list[str]:
