@@ -67,6 +67,31 @@ def test_centres_that_nearly_coincide_are_refused(spark):
         cells.grid_index(two).collect()
 
 
+@pytest.mark.parametrize("lat, spread, turn", [(36.0, 0.05, 0.1), (78.0, 0.05, 0.2), (89.99, 0.03, 360.0), (90.0, 0.04, 0.5), (-90.0, 0.03, 360.0), (179.99, 0.05, 0.1)])
+def test_close_centres_anywhere_equal_brute_force(spark, lat, spread, turn):
+    """Centres of any density, near and beyond the poles; five cells share one centre."""
+    rng = random.Random(11)
+
+    def place():
+        return lat + (rng.random() - 0.5) * 2 * spread, 3.0 + (rng.random() - 0.5) * turn
+
+    known = {f"c{i:03d}": place() for i in range(120)}
+    known |= {f"d{i}": known["c007"] for i in range(5)}
+    schema = "h3_cell string, h3_center_lat double, h3_center_lon double"
+    centres = spark.createDataFrame([(c, *p) for c, p in known.items()], schema)
+    pairs = [tuple(r) for r in cells.adjacency(centres).collect()]
+    assert sorted(pairs) == sorted((a, b) for a in known for b in known if a != b and km(known[a], known[b]) <= 1.3)
+
+    points = {i: place() for i in range(200)} | {200: known["c007"]}
+    events = spark.createDataFrame([(i, "given", *p) for i, p in points.items()], "seq int, h3_cell string, lat double, lon double")
+    index = cells.grid_index(centres, min_spacing_km=None)
+    got = {r.seq: r.h3_cell for r in cells.resolve_cell(events, index).collect()}
+    assert len(got) == len(points) and got[200] == "c007"
+    for i, p in points.items():
+        best = min((km(p, q), c) for c, q in known.items())
+        assert got[i] == (best[1] if best[0] <= 0.9 else "given")
+
+
 def test_clock_functions(spark):
     ms = [1735689599999, 1735689600000, 1750000000000]
     df = spark.createDataFrame([(m,) for m in ms], "t long")
