@@ -112,6 +112,50 @@ def test_very_long_texts_stay_within_the_ngram_budget(spark, monkeypatch):
     assert 0 < len(seen[1]) < len(free)
 
 
+def test_every_labelled_row_is_fitted(spark, monkeypatch):
+    """More ids of a class than the 4,000 that were once taken; a repeated row counts once, distinct texts of an id all."""
+    docs = [(i, f"t{i}") for i in range(7000)]
+    labels = [(i, int(i % 50 > 0), 0) for i in range(7000)]
+    seen = []
+    monkeypatch.setattr(nbsvm, "fit", lambda rows, good, *a, **k: seen.append((rows, good)))
+    frame = documents(spark, [*docs, *docs[:100], (0, "another"), (0, "t0")])
+    nbsvm.learn(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    free = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows, good = seen[0]
+    assert sum(i % 50 > 0 for i in free) > 4000 and good.sum() == sum(i % 50 > 0 for i in free)
+    want = [nbsvm.ngrams(docs[i][1]) for i in free] + [nbsvm.ngrams("another")]
+    assert sorted(map(bytes, (r.astype("<i4") for r in rows))) == sorted(bytes(w.astype("<i4")) for w in want)
+
+
+def test_packed_ngrams_come_back():
+    for grams in ([], [0], [5, 70_000, 70_001], [0, 3, 65_539], list(range(0, 3000, 7))):
+        assert nbsvm._unpacked(nbsvm._packed(np.array(grams, np.int64))).tolist() == grams
+
+
+def test_blocks_fit_all_rows_as_one_piece_does(spark):
+    docs, labels = labelled(300)
+    # Some rows that the words do not part, so that the loss stays over zero.
+    labels = [(i, q if i % 10 else 1 - q, t) for i, q, t in labels]
+    frame, known = documents(spark, [*docs, *docs[:30]]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    once = nbsvm.learn(frame, known)
+    free = [i for i, _, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows, signs = [nbsvm.ngrams(docs[i][1]) for i in free], np.array([2 * labels[i][1] - 1 for i in free])
+    ratios = nbsvm.log_count_ratios(rows, signs > 0, nbsvm.BUCKETS)
+
+    def objective(m):
+        w = np.divide(m.weights, ratios, out=np.zeros(nbsvm.BUCKETS), where=ratios != 0)
+        return (w @ w + m.bias**2) / 2 + sum(max(0, 1 - s * m.margin(f)) for f, s in zip(rows, signs))
+
+    size = sum(len(f) + 1 for f in rows)
+    for number, off in ((1, 0.02), (4, 0.3)):
+        found = nbsvm.learn(frame, known, local_ngrams=0, block_ngrams=2 * size // number)
+        assert abs(objective(found) / objective(once) - 1) < off
+        again = nbsvm.learn(frame.repartition(3), known, local_ngrams=0, block_ngrams=2 * size // number)
+        assert np.allclose(again.weights, found.weights, atol=1e-6) and np.isclose(again.slope, found.slope)
+    one_class = nbsvm.learn(frame, known.filter("quality = 1"), local_ngrams=0)
+    assert not one_class.weights.any()
+
+
 def test_ratios_equal_counts_of_the_classes():
     rng = np.random.default_rng(1)
     rows = [np.unique(rng.integers(0, 20, 6)) for _ in range(40)]
